@@ -6,7 +6,7 @@ that takes t of its S words takes floor(t / S) whole copies of each document for
 certain. The rest is a sample without replacement: documents are ranked by
 random odds u / (1 - u) over the odds of their inclusion, and taken in this
 order up to the words that remain; of the others, the one whose size comes
-nearest to the gap is taken when that brings the sum nearer.
+nearest to the gap is taken when that brings the sum nearer (three times at most).
 
 No source is sorted in one task: the order is cut by sums over fixed bins of the
 ranking number, and only the bin where the target falls is ordered row by row.
@@ -61,7 +61,7 @@ def uniform(key: Column, seed: str) -> Column:
     return (F.conv(F.substring(text, 1, U_BITS // 4), 16, 10).cast("long") + 0.5) / float(1 << U_BITS)
 
 
-def mix(docs: DataFrame, targets: DataFrame, seed: str = "mix", inclusion: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, targets: DataFrame, seed: str = "mix", inclusion: Column | None = None, fills: int = 3) -> DataFrame:
     """``taken`` words for rows of (doc_id, source, size), given (source, source_size, target).
 
     ``inclusion`` may tilt the odds: a positive number for each row, 1 where none is given. The targets are met
@@ -100,18 +100,26 @@ def mix(docs: DataFrame, targets: DataFrame, seed: str = "mix", inclusion: Colum
     whole = whole.withColumn("extra", F.when(F.col("e_bin").isNull() | (F.col("bin") < F.col("e_bin")), F.col("n")).otherwise(F.lit(0)))
     picked = cut(whole.unionByName(inside).withColumn("extra", F.col("extra").cast("long")).drop("before", "e_bin", "bin", "q", "share"))
 
+    for _ in range(fills):
+        picked = cut(_fill(picked))
+    # One row again for each document.
+    out = picked.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    taken = F.col("size") * (F.col("copies") + F.when(F.col("i") <= F.col("extra"), F.lit(1)).otherwise(F.lit(0)))
+    return out.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+def _fill(picked: DataFrame) -> DataFrame:
+    """Take one more row in each source whose gap it narrows most."""
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     gaps = picked.groupBy("source").agg((F.first("rest") - F.sum(F.col("extra") * F.col("size"))).alias("gap"))
     gaps = F.broadcast(gaps.select(F.col("source").alias("g_source"), "gap"))
     left = picked.where((F.col("extra") < F.col("n")) & (F.col("size") > 0)).join(gaps, same("source", "g_source")).where(F.abs(F.col("gap") - F.col("size")) < F.abs(F.col("gap")))
     best = F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "size", F.col("doc_id").isNull().alias("no_id"), "doc_id", "tilt"))
-    fill = left.groupBy("source").agg(best.alias("b")).select(F.col("source").alias("f_source"), "b.size", "b.doc_id", "b.tilt")
-    fill = F.broadcast(fill.select("f_source", F.col("size").alias("f_size"), F.col("doc_id").alias("f_id"), F.col("tilt").alias("f_tilt"), F.lit(1).alias("f")))
+    fill = left.groupBy("source").agg(best.alias("b")).select(F.col("source").alias("f_source"), F.col("b.size").alias("f_size"), F.col("b.doc_id").alias("f_id"), F.col("b.tilt").alias("f_tilt"), F.lit(1).alias("f"))
     on = same("source", "f_source") & same("doc_id", "f_id") & (F.col("size") == F.col("f_size")) & (F.col("tilt") == F.col("f_tilt"))
-    out = picked.join(fill, on, "left").withColumn("extra", F.least(F.col("n"), F.col("extra") + F.coalesce("f", F.lit(0))))
-    # One row again for each document.
-    out = out.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    taken = F.col("size") * (F.col("copies") + F.when(F.col("i") <= F.col("extra"), F.lit(1)).otherwise(F.lit(0)))
-    return out.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    # One row for each source at most, so it is broadcast.
+    more = picked.join(F.broadcast(fill), on, "left").withColumn("extra", F.least(F.col("n"), F.col("extra") + F.coalesce("f", F.lit(0))))
+    return more.select(picked.columns)
 
 
 def sized(docs: DataFrame) -> DataFrame:
