@@ -1,0 +1 @@
+"""Telemetry functions."""
