@@ -9,10 +9,10 @@ near duplicate when the labelled k-mers have a Jaccard similarity of 0.8 or more
 and a banded alignment of the words shows an edit similarity of 0.8 or more.
 
 Copies of one word sequence are one node, told by its digest, so copies make no
-pairs. In a band's bucket every node is compared with one chosen at random by a
-hash (another one in each band); afterwards nodes of a bucket that are still in
-different classes are compared with each other, as long as their sketches allow
-the similarity, until no bucket joins two classes. Classes are connected
+pairs. In a band's bucket every node is compared with the one that shares buckets
+with the most others; afterwards nodes of a bucket that are still in different
+classes are compared with each other, as long as their sketches allow the
+similarity, until no bucket joins two classes. Classes are connected
 components. Nothing is capped; large buckets are split by Spark as skewed joins.
 
 Defined results: texts without words (null, empty, blank) are alone, each its own
@@ -39,7 +39,7 @@ BANDS, BAND_ROWS = 20, 2
 ROWS = BANDS * BAND_ROWS
 SIMILARITY = 0.8
 #: A pair of similarity 0.8 agrees on 25 of 40 rows on average (standard deviation 3); fewer than this many rule it out.
-LEAST_AGREEMENT = 10
+LEAST_AGREEMENT = 16
 FACTORS = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ADDENDS = np.random.Generator(np.random.PCG64(6)).integers(0, 1 << 63, ROWS, dtype=np.uint64)
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -283,10 +283,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = cut(small_batches(keyed).mapInArrow(_sketch, schema))
     nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("row_key", "bands", "short", "n_words")).alias("r")).select("node", "r.*")
     members = cut(nodes.select("node", "row_key", "short", "n_words", F.explode("bands").alias("band")))
-    center = members.groupBy("band").agg(
-        F.min(F.struct(F.xxhash64("band", "node").alias("h"), F.col("node").alias("node"), F.col("short").alias("short"), F.col("n_words").alias("n_words"))).alias("c"), F.count("*").alias("size")
-    ).where("size > 1").select("band", F.col("c.node").alias("b"), F.col("c.short").alias("short_b"), F.col("c.n_words").alias("n_b"))
-    grouped = cut(members.join(center, "band"))
+    shared = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    shared = cut(members.join(shared, "band"))
+    # The text from which others were made lies in the largest buckets: compare with it first.
+    weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    weighed = shared.drop("size").join(weight, "node")
+    center = weighed.groupBy("band").agg(F.max(F.struct("weight", F.xxhash64("band", "node").alias("h"), "node", "short", "n_words")).alias("c"))
+    center = center.select("band", F.col("c.node").alias("b"), F.col("c.short").alias("short_b"), F.col("c.n_words").alias("n_b"))
+    grouped = cut(shared.drop("size").join(center, "band"))
     used = grouped.select("node", "row_key").distinct()
     texts = cut(keyed.select("row_key", "text").join(used, "row_key").groupBy("node").agg(F.first("text").alias("text")))
 
