@@ -296,7 +296,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     def possible(df: DataFrame) -> DataFrame:
         near = F.least("n_a", "n_b") >= SIMILARITY * F.greatest("n_a", "n_b") - K
-        pairs = df.where((F.col("a") != F.col("b")) & near & (_agree("short_a", "short_b") >= LEAST_AGREEMENT))
+        pairs = df.where((F.col("a") != F.col("b")) & near).groupBy("a", "b").agg(F.first("short_a").alias("short_a"), F.first("short_b").alias("short_b"))
+        pairs = pairs.where(_agree("short_a", "short_b") >= LEAST_AGREEMENT)
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     tried = cut(possible(grouped.select(F.col("node").alias("a"), "b", F.col("short").alias("short_a"), "short_b", F.col("n_words").alias("n_a"), "n_b")))
@@ -309,7 +310,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         # One side is outside the bucket's least class; pairs within a class add nothing and are not made.
         x = open_.where("root != lo").select("band", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("short").alias("short_a"), F.col("n_words").alias("n_a"))
         y = open_.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("short").alias("short_b"), F.col("n_words").alias("n_b"))
-        more = possible(x.join(y, "band").where((F.col("root_a") != F.col("root_b"))))
+        # The sketch test belongs to the join, so pairs it rules out are never rows.
+        other = (x["band"] == y["band"]) & (F.col("root_a") != F.col("root_b")) & (_agree("short_a", "short_b") >= LEAST_AGREEMENT)
+        more = possible(x.join(y, other))
         more = cut(more.join(tried, ["a", "b"], "left_anti"))
         if more.isEmpty():
             break
