@@ -11,8 +11,11 @@ and a banded alignment of the words shows an edit similarity of 0.8 or more.
 Copies of one word sequence are one node, told by its digest, so copies make no
 pairs. In a band's bucket every node is compared with the one that shares buckets
 with the most others; afterwards nodes of a bucket that are still in different
-classes are compared with each other, as long as their sketches allow the
-similarity, until no bucket joins two classes. Classes are connected
+classes are compared with each other, as long as their sketches and parity prints
+allow the similarity, until no bucket joins two classes. A parity print has a bit
+for whether an odd number of labelled k-mers fall on it; where the prints of two
+texts differ in more bits than near duplicates have unshared k-mers, the pair is
+none, with certainty. Classes are connected
 components. Nothing is capped; large buckets are split by Spark as skewed joins.
 
 Defined results: texts without words (null, empty, blank) are alone, each its own
@@ -26,6 +29,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +47,10 @@ SIMILARITY = 0.8
 LEAST_AGREEMENT = 16
 FACTORS = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ADDENDS = np.random.Generator(np.random.PCG64(6)).integers(0, 1 << 63, ROWS, dtype=np.uint64)
+#: Sets of similarity 0.8 differ in at most this share of the sum of their sizes.
+UNSHARED = (1 - SIMILARITY) / (1 + SIMILARITY)
+#: Bits of a parity print.
+PARITY = 2048
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,14 +139,34 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             band = two[:, :, 0] * GOLD + two[:, :, 1]
             band = (band ^ (band >> np.uint64(29))) * GOLD + np.arange(BANDS, dtype=np.uint64)
             # A byte of each row is enough to rule out pairs that agree on too few.
-            short = (sketch >> np.uint64(56)).astype(np.uint8)
-            offsets = pa.array(np.arange(0, len(split) * BANDS + 1, BANDS, dtype=np.int32))
+            short = (sketch >> np.uint64(56)).astype(np.uint8).view(np.int64)
+            lists = lambda x, n: pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, n, dtype=np.int32)), pa.array(x.reshape(-1)))
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, hi - lo), keys.slice(lo, hi - lo), pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(band.reshape(-1).view(np.int64))), pa.array([x.tobytes() for x in short], pa.binary()), pa.array(sizes.astype(np.int32))],
+                [ids.slice(lo, hi - lo), keys.slice(lo, hi - lo), pa.array(nodes, pa.binary()), lists(band.view(np.int64), BANDS), lists(short, ROWS // 8), pa.array(sizes.astype(np.int32))],
                 ["doc_id", "row_key", "node", "bands", "short", "n_words"],
             )
 
 
+def parities(kmers: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """(count, PARITY / 64) longs. Shared k-mers cancel out in the exclusive or of two prints, each unshared one changes at most a bit."""
+    at = owner * PARITY + (kmers % np.uint64(PARITY)).astype(np.int64)
+    odd = (np.bincount(at, minlength=count * PARITY) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(count, PARITY // 64)
+
+
+def _parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
+    for b in batches:
+        texts = b.column("text").cast(pa.binary()).to_pylist()
+        for lo, hi in slices([max(len(t), PARITY) for t in texts], 2_000_000):
+            split = [word_hashes(t, hashes) for t in texts[lo:hi]]
+            kmers, owner = labelled_kmers(np.concatenate(split), np.repeat(np.arange(hi - lo), [len(w) for w in split]))
+            bits = parities(kmers, owner, hi - lo)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bits.size + 1, PARITY // 64, dtype=np.int32)), pa.array(bits.reshape(-1)))
+            sizes = pa.array(np.bincount(owner, minlength=hi - lo).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([b.column("node").slice(lo, hi - lo), b.column("bands").slice(lo, hi - lo), lists, sizes], ["node", "bands", "parity", "kmers"])
+
+
 def trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Both without their common beginning and end, the longer first."""
     n = min(len(a), len(b))
@@ -260,9 +289,19 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _agree(x: str, y: str) -> Column:
-    """On how many rows two short sketches agree."""
-    bytes_of = lambda c: F.transform(F.sequence(F.lit(1), F.lit(ROWS)), lambda i: F.substring(F.col(c), i, F.lit(1)))
-    return F.size(F.filter(F.zip_with(bytes_of(x), bytes_of(y), lambda p, q: p == q), lambda s: s))
+    """On how many rows two short sketches agree: bytes that are 0 in the exclusive or of their longs."""
+    differ = F.lit(0)
+    for i in range(ROWS // 8):
+        z = F.col(x)[i].bitwiseXOR(F.col(y)[i])
+        for bits in (4, 2, 1):
+            z = z.bitwiseOR(F.shiftrightunsigned(z, bits))
+        differ = differ + F.bit_count(z.bitwiseAND(F.lit(0x0101010101010101)))
+    return F.lit(ROWS) - differ
+
+
+def _differ(x: str, y: str) -> Column:
+    """In how many bits two parity prints differ."""
+    return reduce(add, [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(PARITY // 64)])
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -279,7 +318,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Texts are read once for the sketches and once more for the rows that share a bucket; only the latter are moved.
     """
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
-    schema = "doc_id long, row_key long, node binary, bands array<long>, short binary, n_words int"
+    schema = "doc_id long, row_key long, node binary, bands array<long>, short array<long>, n_words int"
     rows = cut(small_batches(keyed).mapInArrow(_sketch, schema))
     nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("row_key", "bands", "short", "n_words")).alias("r")).select("node", "r.*")
     members = cut(nodes.select("node", "row_key", "short", "n_words", F.explode("bands").alias("band")))
@@ -304,15 +343,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = cut(_links(tried, texts))
     while True:
         found = cut(components(links))
-        member = grouped.select("band", "node", "short", "n_words").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        member = grouped.select("band", "node", "row_key", "short", "n_words").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
         split = member.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").drop("hi")
         open_ = cut(member.join(split, "band"))
+        few = open_.select("node", "row_key").distinct().join(texts, "node").join(rows.select("row_key", "bands").dropDuplicates(["row_key"]), "row_key")
+        prints = small_batches(few.select("node", "text", "bands"), 500).mapInArrow(_parity, "node binary, bands array<long>, parity array<long>, kmers int")
+        open_ = cut(open_.join(prints, "node"))
         # One side is outside the bucket's least class; pairs within a class add nothing and are not made.
-        x = open_.where("root != lo").select("band", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("short").alias("short_a"), F.col("n_words").alias("n_a"))
-        y = open_.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("short").alias("short_b"), F.col("n_words").alias("n_b"))
-        # The sketch test belongs to the join, so pairs it rules out are never rows.
-        other = (x["band"] == y["band"]) & (F.col("root_a") != F.col("root_b")) & (_agree("short_a", "short_b") >= LEAST_AGREEMENT)
-        more = possible(x.join(y, other))
+        names = ["band", "node", "root", "short", "n_words", "bands", "parity", "kmers"]
+        x = open_.where("root != lo").select([F.col(c).alias(f"{c}_a") for c in names])
+        y = open_.select([F.col(c).alias(f"{c}_b") for c in names])
+        # The tests belong to the join, so a pair is one row, in the first bucket it shares, or none where its sketches rule it out.
+        near = F.least("n_words_a", "n_words_b") >= SIMILARITY * F.greatest("n_words_a", "n_words_b") - K
+        near &= (_agree("short_a", "short_b") >= LEAST_AGREEMENT) & (_differ("parity_a", "parity_b") <= UNSHARED * (F.col("kmers_a") + F.col("kmers_b")) + 1e-6)
+        first = F.element_at(F.array_intersect("bands_a", "bands_b"), 1) == F.col("band_a")
+        other = (F.col("band_a") == F.col("band_b")) & (F.col("root_a") > F.col("root_b")) & near & first
+        more = x.join(y, other).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
         more = cut(more.join(tried, ["a", "b"], "left_anti"))
         if more.isEmpty():
             break

@@ -70,6 +70,22 @@ def test_alignment_against_plain_distance():
         assert got == min(want, most + 1)
 
 
+def test_parity_prints_never_rule_out_near_duplicates():
+    r = np.random.Generator(np.random.PCG64(4))
+    for n in (1, 4, 60, 900, 6000):
+        a = r.integers(0, 1 << 32, n, dtype=np.uint32)
+        for edits in (0, 1, n // 50, n // 20):
+            b = a.copy()
+            b[r.integers(0, n, edits)] = 7
+            kmers, owner = nd.labelled_kmers(np.concatenate([a, b]), np.repeat([0, 1], n))
+            x, y = set(kmers[owner == 0].tolist()), set(kmers[owner == 1].tolist())
+            bits = nd.parities(kmers, owner, 2)
+            differ = sum(int(v).bit_count() for v in (bits[0] ^ bits[1]).view(np.uint64))
+            assert differ <= len(x ^ y)
+            if len(x & y) >= 0.8 * len(x | y):
+                assert differ <= nd.UNSHARED * (len(x) + len(y)) + 1e-6
+
+
 def test_near_duplicates_against_brute_force(spark, odd):
     texts = {}
     for k in range(30):
