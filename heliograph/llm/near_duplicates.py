@@ -274,12 +274,15 @@ def components(edges: DataFrame) -> DataFrame:
     print_of = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     state = print_of(edges)
     while True:
+        # Few edges in many partitions are many small files: no more partitions than the edges fill.
+        fit = lambda e, n=1 + state[0] // 50_000: e.coalesce(n)
+        edges = fit(edges)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("m").alias("u"), "v").where("u < v").distinct()
+        large = fit(fit(both.where("v > u").join(low, "u").select(F.col("m").alias("u"), "v").where("u < v")).distinct())
         low = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(low, "v")
-        edges = cut(small.select(F.col("m").alias("u"), "v").unionByName(small.where("u != m").select(F.col("m").alias("u"), F.col("u").alias("v"))).where("u < v").distinct())
+        small = fit(large.join(low, "v"))
+        edges = cut(fit(small.select(F.col("m").alias("u"), "v").unionByName(small.where("u != m").select(F.col("m").alias("u"), F.col("u").alias("v"))).where("u < v").distinct()))
         now = print_of(edges)
         if now == state:
             break
@@ -299,6 +302,11 @@ def _agree(x: str, y: str) -> Column:
     return F.lit(ROWS) - differ
 
 
+def _near() -> Column:
+    """Whether lengths and short sketches of a pair allow the similarity."""
+    return (F.least("n_words_a", "n_words_b") >= SIMILARITY * F.greatest("n_words_a", "n_words_b") - K) & (_agree("short_a", "short_b") >= LEAST_AGREEMENT)
+
+
 def _differ(x: str, y: str) -> Column:
     """In how many bits two parity prints differ."""
     return reduce(add, [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(PARITY // 64)])
@@ -321,41 +329,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     schema = "doc_id long, row_key long, node binary, bands array<long>, short array<long>, n_words int"
     rows = cut(small_batches(keyed).mapInArrow(_sketch, schema))
     nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("row_key", "bands", "short", "n_words")).alias("r")).select("node", "r.*")
-    members = cut(nodes.select("node", "row_key", "short", "n_words", F.explode("bands").alias("band")))
+    # What is dealt by band is only the node; facts on nodes are kept once each.
+    members = nodes.select("node", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     shared = cut(members.join(shared, "band"))
     # The text from which others were made lies in the largest buckets: compare with it first.
     weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
-    weighed = shared.drop("size").join(weight, "node")
-    center = weighed.groupBy("band").agg(F.max(F.struct("weight", F.xxhash64("band", "node").alias("h"), "node", "short", "n_words")).alias("c"))
-    center = center.select("band", F.col("c.node").alias("b"), F.col("c.short").alias("short_b"), F.col("c.n_words").alias("n_b"))
-    grouped = cut(shared.drop("size").join(center, "band"))
-    used = grouped.select("node", "row_key").distinct()
-    texts = cut(keyed.select("row_key", "text").join(used, "row_key").groupBy("node").agg(F.first("text").alias("text")))
-
-    def possible(df: DataFrame) -> DataFrame:
-        near = F.least("n_a", "n_b") >= SIMILARITY * F.greatest("n_a", "n_b") - K
-        pairs = df.where((F.col("a") != F.col("b")) & near).groupBy("a", "b").agg(F.first("short_a").alias("short_a"), F.first("short_b").alias("short_b"))
-        pairs = pairs.where(_agree("short_a", "short_b") >= LEAST_AGREEMENT)
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    tried = cut(possible(grouped.select(F.col("node").alias("a"), "b", F.col("short").alias("short_a"), "short_b", F.col("n_words").alias("n_a"), "n_b")))
+    center = shared.select("band", "node").join(weight, "node").groupBy("band").agg(F.max(F.struct("weight", F.xxhash64("band", "node").alias("h"), "node")).alias("c"))
+    grouped = shared.select("band", "node")
+    facts = cut(nodes.select("node", "row_key", "short", "n_words").join(weight.select("node"), "node"))
+    texts = cut(keyed.select("row_key", "text").join(facts.select("node", "row_key"), "row_key").groupBy("node").agg(F.first("text").alias("text")))
+
+    pairs = grouped.join(center.select("band", F.col("c.node").alias("other")), "band").where("node != other")
+    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(facts.select(F.col("node").alias(side), F.col("short").alias(f"short_{side}"), F.col("n_words").alias(f"n_words_{side}")), side)
+    tried = cut(pairs.where(_near()).select("a", "b"))
     links = cut(_links(tried, texts))
     while True:
         found = cut(components(links))
-        member = grouped.select("band", "node", "row_key", "short", "n_words").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        member = grouped.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
         split = member.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").drop("hi")
         open_ = cut(member.join(split, "band"))
-        few = open_.select("node", "row_key").distinct().join(texts, "node").join(rows.select("row_key", "bands").dropDuplicates(["row_key"]), "row_key")
+        few = facts.join(open_.select("node").distinct(), "node").join(texts, "node").join(rows.select("row_key", "bands").dropDuplicates(["row_key"]), "row_key")
         prints = small_batches(few.select("node", "text", "bands"), 500).mapInArrow(_parity, "node binary, bands array<long>, parity array<long>, kmers int")
-        open_ = cut(open_.join(prints, "node"))
+        open_ = open_.join(cut(prints.join(facts.drop("row_key"), "node")), "node")
         # One side is outside the bucket's least class; pairs within a class add nothing and are not made.
         names = ["band", "node", "root", "short", "n_words", "bands", "parity", "kmers"]
         x = open_.where("root != lo").select([F.col(c).alias(f"{c}_a") for c in names])
         y = open_.select([F.col(c).alias(f"{c}_b") for c in names])
         # The tests belong to the join, so a pair is one row, in the first bucket it shares, or none where its sketches rule it out.
-        near = F.least("n_words_a", "n_words_b") >= SIMILARITY * F.greatest("n_words_a", "n_words_b") - K
-        near &= (_agree("short_a", "short_b") >= LEAST_AGREEMENT) & (_differ("parity_a", "parity_b") <= UNSHARED * (F.col("kmers_a") + F.col("kmers_b")) + 1e-6)
+        near = _near() & (_differ("parity_a", "parity_b") <= UNSHARED * (F.col("kmers_a") + F.col("kmers_b")) + 1e-6)
         first = F.element_at(F.array_intersect("bands_a", "bands_b"), 1) == F.col("band_a")
         other = (F.col("band_a") == F.col("band_b")) & (F.col("root_a") > F.col("root_b")) & near & first
         more = x.join(y, other).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
