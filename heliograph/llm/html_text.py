@@ -1,27 +1,24 @@
 """Operator 10: main text of HTML pages by deducing each host's template.
 
 Every page becomes a list of blocks, each with the path of elements above it.
-Across the pages of a host, a token (an element path, or a block's path with its
-text) has an occurrence vector: how often it occurs on each page. Tokens with
-equal vectors form an equivalence class; vectors are compared by an order-free
-sum of hashes of (page, count), so no host's pages are gathered anywhere. A class
-that occurs once on most pages of a host is part of its template, and classes
-nest as their paths do. What is left between template tokens are slots: the main
-slot is the article element where a page has one, else the template path below
-which the host's pages hold most running text. Blocks outside the main slot,
-under page furniture (menus, headers, footers, sidebars, notices, adverts, forms,
-reader comments), or repeated as template text outside an article are dropped.
-
-Defined results: a null or empty page gives an empty text; a null url is a host
-of its own; a host with fewer than three pages has no template, and its pages are
-read by their elements alone; repeated pages each get a row; extra columns are
-not carried.
+A block's text at its path that occurs once on most pages of a host is template
+text; no host's pages are gathered anywhere. What is left are the slots: all of
+them are main text, whatever container they are in, or those of the article
+element alone where a page has one. Blocks under page furniture (menus, headers,
+footers, sidebars, notices, adverts, forms, reader comments), or repeated as
+template text outside an article are dropped, nothing else.
+
+Defined results: a null or empty page gives an empty text; pages without a host
+in their url, and a host with fewer than three pages, have no template and are
+read by their elements alone; a page with no other text than template text keeps
+it; repeated pages each get a row; extra columns are not carried.
 """
 
 from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -56,6 +53,8 @@ CLOSES = {
     "option": {"option"}, "body": {"head"}, "tbody": {"tr", "td", "th", "thead", "tbody"},
 }
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}}
+#: Pages without a host share no template.
+NO_HOST = "\0none"
 BLANK = re.compile(r"[\s ]+")
 
 
@@ -127,68 +126,47 @@ def _hash(*parts: str) -> int:
 
 def host_of(url: str | None) -> str:
     m = re.match(r"[a-z][a-z0-9+.-]*://([^/?#]*)", url or "", re.I)
-    return (m.group(1).rpartition("@")[2].lower() if m else "") or "\0none"
+    return (m.group(1).rpartition("@")[2].lower() if m else "") or NO_HOST
 
 
 def page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, kind, token, count on the page, hash of (page, count), and characters of running text under it."""
+    """host, token and its count on the page for each text outside furniture and articles; a row without token for each page. Pages without a host have none."""
     for b in batches:
         rows: list[tuple] = []
         for url, page in zip(b.column("url").to_pylist(), b.column("html").to_pylist()):
-            host, seen = host_of(url), {}
-            page_key = _hash(url or "", page or "")
-            for path, text, furniture, article in blocks(page):
-                if article or furniture:
-                    continue  # these need no template: their element tells
-                for kind, token in (("path", path), ("text", f"{path}\x1f{text}")):
-                    n, chars = seen.get((kind, token), (0, 0))
-                    seen[kind, token] = (n + 1, chars + len(text) * (kind == "path"))
-            rows += [(host, kind, token if kind == "path" else "", _hash(kind, token), n, _hash(str(page_key), str(n)), chars) for (kind, token), (n, chars) in seen.items()]
-            rows.append((host, "page", "", 0, 1, 0, 0))
-        cols = list(zip(*rows)) or [()] * 7
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))],
-            ["host", "kind", "path", "token", "n", "vector", "chars"],
-        )
+            host = host_of(url)
+            if host == NO_HOST:
+                continue
+            seen = Counter(_hash("text", f"{path}\x1f{text}") for path, text, furniture, article in blocks(page) if not (article or furniture))
+            rows += [(host, token, n) for token, n in seen.items()]
+            rows.append((host, None, 1))
+        cols = list(zip(*rows)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64()))], ["host", "token", "n"])
 
 
 def templates(pages: DataFrame, min_pages: int = 3, support: float = 0.5) -> DataFrame:
-    """host, ``main_path`` and ``repeated`` (hashes of template text) for each host with a template."""
-    schema = "host string, kind string, path string, token long, n long, vector long, chars long"
-    toks = small_batches(pages.select("url", "html"), 500).mapInArrow(page_tokens, schema)
-    per = toks.groupBy("host", "kind", "token").agg(
-        F.first("path").alias("path"), F.count("*").alias("pages"), F.max("n").alias("most"), F.sum("chars").alias("chars"),
-        F.sum(F.col("vector").cast("decimal(38,0)")).alias("fingerprint"),
-    )
-    size = per.where("kind = 'page'").select("host", F.col("pages").alias("host_pages")).where(F.col("host_pages") >= min_pages)
-    per = per.where("kind != 'page'").join(size, "host")
-    # Equivalence classes: equal vectors. A class of single tokens on most pages is template.
-    classes = per.where((F.col("pages") >= support * F.col("host_pages")) & (F.col("pages") >= min_pages) & (F.col("most") == 1) | (F.col("kind") == "path"))
-    grouped = classes.groupBy("host", "fingerprint", "pages").agg(
-        F.collect_list(F.when(F.col("kind") == "text", F.col("token"))).alias("texts"),
-        F.max(F.when(F.col("kind") == "path", F.struct("chars", "path"))).alias("slot"),
-    )
-    return grouped.groupBy("host").agg(F.max("slot").alias("slot"), F.flatten(F.collect_list("texts")).alias("repeated")).select("host", F.col("slot.path").alias("main_path"), "repeated")
-
-
-def main_text(page: str | None, main_path: str | None, repeated: set[int]) -> str:
+    """host and ``repeated`` (hashes of template text) for each host with a template."""
+    toks = small_batches(pages.select("url", "html"), 500).mapInArrow(page_tokens, "host string, token long, n long")
+    per = toks.groupBy("host", "token").agg(F.count("*").alias("pages"), F.max("n").alias("most"))
+    size = per.where("token IS NULL").select("host", F.col("pages").alias("host_pages")).where(F.col("host_pages") >= min_pages)
+    per = per.where("token IS NOT NULL").join(size, "host").where((F.col("pages") >= support * F.col("host_pages")) & (F.col("pages") >= min_pages) & (F.col("most") == 1))
+    return per.groupBy("host").agg(F.collect_list("token").alias("repeated"))
+
+
+def main_text(page: str | None, repeated: set[int]) -> str:
     found = blocks(page)
     if any(article for *_, article in found):
         return "\n".join(text for _, text, furniture, article in found if article and not furniture)
-    out = []
-    for path, text, furniture, _ in found:
-        if furniture or main_path and not (path == main_path or path.startswith(main_path + "/")):
-            continue
-        if repeated and _hash("text", f"{path}\x1f{text}") in repeated:
-            continue
-        out.append(text)
-    return "\n".join(out)
+    own = [(path, text) for path, text, furniture, _ in found if not furniture]
+    left = [text for path, text in own if not (repeated and _hash("text", f"{path}\x1f{text}") in repeated)]
+    # A page whose whole text others of its host repeat, as copies do, keeps it.
+    return "\n".join(left or [text for _, text in own])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        cols = [b.column(c).to_pylist() for c in ("html", "main_path", "repeated")]
-        texts = [main_text(h, m, set(r or ())) for h, m, r in zip(*cols)]
+        cols = [b.column(c).to_pylist() for c in ("html", "repeated")]
+        texts = [main_text(h, set(r or ())) for h, r in zip(*cols)]
         yield pa.RecordBatch.from_arrays(
             [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"]
         )
@@ -197,10 +175,10 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_main_text(pages: DataFrame, salts: int = 64) -> DataFrame:
     """page_id, url, text and n_chars of every page. A large host's pages are dealt over ``salts`` tasks; each gets the host's template."""
     host = F.lower(F.regexp_replace(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^[a-z][a-z0-9+.\-]*://([^/?#]*)", 1), "^.*@", ""))
-    keyed = pages.select("page_id", "url", "html").withColumn("host", F.when(host == "", F.lit("\0none")).otherwise(host))
+    keyed = pages.select("page_id", "url", "html").withColumn("host", F.when(host == "", F.lit(NO_HOST)).otherwise(host))
     keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
     found = cut(templates(pages)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = keyed.join(found, ["host", "salt"], "left").select("page_id", "url", "html", "main_path", "repeated")
+    joined = keyed.join(found, ["host", "salt"], "left").select("page_id", "url", "html", "repeated")
     return small_batches(joined, 500).mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 

@@ -240,6 +240,20 @@ def test_main_text(spark):
     assert all(got[10 + i].text == f"Body text number {i} runs here.\nSecond {i}." for i in range(5))
 
 
+def test_main_text_of_every_layout(spark):
+    page = "<html><body><div class='top'>Same on all</div>{}</body></html>"
+    post = "<div class='post'><p>Post {0} begins.</p><ul><li>A long item of the list in post number {0}.</li></ul><p>Post {0} ends.</p></div>"
+    wiki = "<div class='wiki'><p>Wiki {0}.</p></div><div class='more'><p>More of wiki {0}.</p></div>"
+    rows = [(i, f"http://c.example/{i}", page.format(post.format(i))) for i in range(6)] + [(10 + i, f"http://c.example/w{i}", page.format(wiki.format(i))) for i in range(4)]
+    rows += [(20 + i, None, f"<div class='long'><p>A page of no host, number {i}.</p></div>") for i in range(4)] + [(30, "x", "<div class='b'>Short.</div>")]
+    rows += [(40 + i, f"http://d.example/{i}", "<div class='k'><p>One copy.</p></div>") for i in range(3)]
+    got = {r.page_id: r.text for r in html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Post {i} begins.\nA long item of the list in post number {i}.\nPost {i} ends." for i in range(6))
+    assert all(got[10 + i] == f"Wiki {i}.\nMore of wiki {i}." for i in range(4))
+    assert all(got[20 + i] == f"A page of no host, number {i}." for i in range(4)) and got[30] == "Short."
+    assert {got[40 + i] for i in range(3)} == {"One copy."}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
     assert quality_rules.quality_rules(none.select("doc_id", "text", "lang")).count() == 0
