@@ -1,12 +1,17 @@
 """Operator 10: main text of HTML pages by deducing each host's template.
 
 Every page becomes a list of blocks, each with the path of elements above it.
-A block's text at its path that occurs once on most pages of a host is template
-text; no host's pages are gathered anywhere. What is left are the slots: all of
-them are main text, whatever container they are in, or those of the article
-element alone where a page has one. Blocks under page furniture (menus, headers,
-footers, sidebars, notices, adverts, forms, reader comments), or repeated as
-template text outside an article are dropped, nothing else.
+Across the pages of a host, a token (an element path, or a block's path with its
+text) has an occurrence vector: how often it occurs on each page. Tokens with
+equal vectors form an equivalence class; vectors are compared by an order-free
+sum of hashes of (page, count), so no host's pages are gathered anywhere. A class
+of two tokens or more that occur once each on most pages of a host is part of its
+template; on a page it counts with the tokens that keep the class's order. What
+is left between template tokens are slots: all of them are main text, whatever
+container they are in, or those of the article element alone where a page has
+one. Blocks that are template text or under page furniture (menus, headers,
+footers, sidebars, notices, adverts, forms, reader comments) are dropped, nothing
+else. Classes are not nested into one another: each marks its own text.
 
 Defined results: a null or empty page gives an empty text; pages without a host
 in their url, and a host with fewer than three pages, have no template and are
@@ -18,6 +23,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -129,44 +135,89 @@ def host_of(url: str | None) -> str:
     return (m.group(1).rpartition("@")[2].lower() if m else "") or NO_HOST
 
 
+def _tokens(path: str, text: str) -> tuple[int, int]:
+    return _hash("path", path), _hash("text", f"{path}\x1f{text}")
+
+
 def page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, token and its count on the page for each text outside furniture and articles; a row without token for each page. Pages without a host have none."""
+    """host, token, its count and first block on the page, and a hash of (page, count); a row without token for each page. Pages without a host have none."""
     for b in batches:
         rows: list[tuple] = []
         for url, page in zip(b.column("url").to_pylist(), b.column("html").to_pylist()):
             host = host_of(url)
             if host == NO_HOST:
                 continue
-            seen = Counter(_hash("text", f"{path}\x1f{text}") for path, text, furniture, article in blocks(page) if not (article or furniture))
-            rows += [(host, token, n) for token, n in seen.items()]
-            rows.append((host, None, 1))
-        cols = list(zip(*rows)) or [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64()))], ["host", "token", "n"])
-
-
-def templates(pages: DataFrame, min_pages: int = 3, support: float = 0.5) -> DataFrame:
-    """host and ``repeated`` (hashes of template text) for each host with a template."""
-    toks = small_batches(pages.select("url", "html"), 500).mapInArrow(page_tokens, "host string, token long, n long")
-    per = toks.groupBy("host", "token").agg(F.count("*").alias("pages"), F.max("n").alias("most"))
+            page_key, first, count = str(_hash(url or "", page or "")), {}, Counter()
+            for i, (path, text, *_) in enumerate(blocks(page)):
+                for token in _tokens(path, text):
+                    first.setdefault(token, i)
+                    count[token] += 1
+            rows += [(host, token, n, first[token], _hash(page_key, str(n))) for token, n in count.items()]
+            rows.append((host, None, 1, 0, 0))
+        cols = list(zip(*rows)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), *[pa.int64()] * 4))], ["host", "token", "n", "place", "vector"])
+
+
+def templates(pages: DataFrame, min_pages: int = 3, support: float = 0.5, least: int = 2) -> DataFrame:
+    """host and ``classes`` of each host with a template: for each class of ``least`` tokens or more its tokens in page order."""
+    toks = small_batches(pages.select("url", "html"), 500).mapInArrow(page_tokens, "host string, token long, n long, place long, vector long")
+    per = toks.groupBy("host", "token").agg(
+        F.count("*").alias("pages"), F.max("n").alias("most"), F.sum("place").alias("place"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("fingerprint")
+    )
     size = per.where("token IS NULL").select("host", F.col("pages").alias("host_pages")).where(F.col("host_pages") >= min_pages)
-    per = per.where("token IS NOT NULL").join(size, "host").where((F.col("pages") >= support * F.col("host_pages")) & (F.col("pages") >= min_pages) & (F.col("most") == 1))
-    return per.groupBy("host").agg(F.collect_list("token").alias("repeated"))
+    per = per.where((F.col("most") == 1) & (F.col("pages") >= min_pages) & F.col("token").isNotNull()).join(size, "host").where(F.col("pages") >= support * F.col("host_pages"))
+    # Tokens of a class are on the same pages, so their sums of places are in the order of their mean places.
+    classes = per.groupBy("host", "fingerprint", "pages").agg(F.array_sort(F.collect_list(F.struct("place", "token"))).alias("tokens")).where(F.size("tokens") >= least)
+    return classes.groupBy("host").agg(F.collect_list("tokens.token").alias("classes"))
+
+
+def in_order(places: list[int]) -> list[int]:
+    """Indexes of a longest subsequence of ``places`` that does not fall."""
+    ends: list[int] = []
+    last: list[int] = []
+    back: list[int] = []
+    for i, x in enumerate(places):
+        k = bisect_right(ends, x)
+        back.append(last[k - 1] if k else -1)
+        ends[k : k + 1], last[k : k + 1] = [x], [i]
+    out, i = [], last[-1] if last else -1
+    while i >= 0:
+        out.append(i)
+        i = back[i]
+    return out[::-1]
+
+
+def template_blocks(found: list[tuple[str, str, bool, bool]], classes: list[list[int]], least: int = 2) -> set[int]:
+    """Which blocks of a page are template text: text tokens of the classes that are on it, as far as they keep their class's order."""
+    place: dict[int, int] = {}
+    texts: dict[int, int] = {}
+    for i, (path, text, *_) in enumerate(found):
+        a, b = _tokens(path, text)
+        place.setdefault(a, i)
+        place.setdefault(b, i)
+        texts.setdefault(b, i)
+    out: set[int] = set()
+    for tokens in classes:
+        if all(t in place for t in tokens):
+            kept = in_order([place[t] for t in tokens])
+            if len(kept) >= least:
+                out |= {texts[tokens[k]] for k in kept if tokens[k] in texts}
+    return out
 
 
-def main_text(page: str | None, repeated: set[int]) -> str:
+def main_text(page: str | None, classes: list[list[int]]) -> str:
     found = blocks(page)
-    if any(article for *_, article in found):
-        return "\n".join(text for _, text, furniture, article in found if article and not furniture)
-    own = [(path, text) for path, text, furniture, _ in found if not furniture]
-    left = [text for path, text in own if not (repeated and _hash("text", f"{path}\x1f{text}") in repeated)]
+    only = any(article for *_, article in found)
+    own = [i for i, (_, _, furniture, article) in enumerate(found) if not furniture and (article or not only)]
+    template = template_blocks(found, classes) if classes else set()
     # A page whose whole text others of its host repeat, as copies do, keeps it.
-    return "\n".join(left or [text for _, text in own])
+    return "\n".join(found[i][1] for i in [i for i in own if i not in template] or own)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        cols = [b.column(c).to_pylist() for c in ("html", "repeated")]
-        texts = [main_text(h, set(r or ())) for h, r in zip(*cols)]
+        cols = [b.column(c).to_pylist() for c in ("html", "classes")]
+        texts = [main_text(h, c or []) for h, c in zip(*cols)]
         yield pa.RecordBatch.from_arrays(
             [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"]
         )
@@ -178,7 +229,7 @@ def extract_main_text(pages: DataFrame, salts: int = 64) -> DataFrame:
     keyed = pages.select("page_id", "url", "html").withColumn("host", F.when(host == "", F.lit(NO_HOST)).otherwise(host))
     keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
     found = cut(templates(pages)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = keyed.join(found, ["host", "salt"], "left").select("page_id", "url", "html", "repeated")
+    joined = keyed.join(found, ["host", "salt"], "left").select("page_id", "url", "html", "classes")
     return small_batches(joined, 500).mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 

@@ -254,6 +254,18 @@ def test_main_text_of_every_layout(spark):
     assert {got[40 + i] for i in range(3)} == {"One copy."}
 
 
+def test_main_text_by_classes_of_tokens(spark):
+    page = "<html><body><p>Head line</p><article><p>Share this story</p><p>Own {0}.</p>{1}<p>Rated by readers</p></article><p>Foot line</p></body></html>"
+    rows = [(i, f"http://e.example/{i}", page.format(i, "<p>On some pages</p>" if i % 3 else "")) for i in range(9)]
+    lines = ["<p>First line</p>", "<p>Second line</p>", "<p>Third line</p>"]
+    rows += [(20 + i, f"http://f.example/{i}", "".join([*lines, f"<p>Own {i}.</p>"] if i else [*lines[1:], f"<p>Own {i}.</p>", lines[0]])) for i in range(6)]
+    got = {r.page_id: r.text for r in html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    # The lines of every page are one class, in articles too; a line alone in its class is none.
+    assert all(got[i] == f"Own {i}." + ("\nOn some pages" if i % 3 else "") for i in range(9))
+    assert all(got[20 + i] == f"Own {i}." for i in range(1, 6)) and got[20] == "Own 0.\nFirst line"
+    assert html_text.in_order([0, 0, 5, 2, 3]) == [0, 1, 3, 4] and html_text.in_order([]) == []
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
     assert quality_rules.quality_rules(none.select("doc_id", "text", "lang")).count() == 0
