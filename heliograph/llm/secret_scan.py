@@ -1,11 +1,12 @@
 """Operator 9: secrets in texts, with a random forest against false positives.
 
-A candidate is a word of some length with digits, without its quotes and outer
-punctuation, or the value behind a key and an equals sign. Its features are
-length, character transitions, entropy, the share of its letters that known
-words cover, its path-like parts, and the words before and after it. Spark ML
-trains a random forest on labelled findings; the trees' nodes are read back as a
-table, and one pass over the texts finds and scores all candidates.
+A candidate is a run of a word (between quotes, brackets, ?, &, commas and the
+like) of some length with digits, or any value behind a key-like name (token,
+S3_SECRET_KEY). Its features are length, character transitions, entropy, the
+share of its letters that known words cover, its path-like parts, and the words
+before and after it. Spark ML trains a random forest on labelled findings; the
+trees' nodes are read back as a table, and one pass over the texts finds and
+scores all candidates.
 
 Findings may come labelled by hand (``labelled``: columns of ``FEATURES`` and
 ``label``). The tables here hold none, so by default a bounded sample of
@@ -24,6 +25,7 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +43,16 @@ TREES, DEPTH = 30, 6
 CANDIDATE = re.compile(rb"(?<!\S)\S{12,}")
 DIGIT = re.compile(rb"[0-9]")
 CORE = re.compile(rb"[A-Za-z0-9][A-Za-z0-9_+/.=@:~\-]*[A-Za-z0-9=]")
-ASSIGN = re.compile(rb"^([A-Za-z_.\-]{2,40})[=:]+[\"']?(.{8,})$", re.S)
+KEY = r"(?<![A-Za-z0-9_.\-])([A-Za-z_][A-Za-z0-9_.\-]{1,39})"
+ASSIGN = re.compile(rf"{KEY}[=:]+(?=.{{8}})".encode(), re.S)
+# A key inside a run; one just before a run, over white space and opening marks; the value of a key-like name, wherever it stands.
+INNER = re.compile(rf"{KEY}[=:]+(?=.)".encode(), re.S)
+BEFORE = re.compile(rf"{KEY}[\"']?\s*([=:]+)\s*[\"'(\[{{<]*$".encode())
+NAMED = re.compile(rf"{KEY}[\"']?\s*$".encode())
+SIGN, WORDS = re.compile(rb"[=:]+\s*(?=\S)"), re.compile(rb"\S+")
+OPENS = re.compile(rb"[\"'(\[{]+[A-Za-z0-9]")
+NAME_ONLY = re.compile(rb"[A-Za-z_][A-Za-z0-9_.\-]*[=:]+")
+MARKS = b"_+/.=@:~-"
 # Words that name secrets, prefixes of well-known keys, words often found inside harmless identifiers.
 KEY_WORDS = {"password", "passwd", "pwd", "pass", "secret", "token", "key", "apikey", "api_key", "access_key", "auth", "authorization", "bearer", "credential", "credentials", "private_key", "client_secret"}
 KEY_PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "sk-", "sk_live_", "rk_live_", "xoxb-", "xoxp-", "xoxa-", "AIza", "ya29.", "glpat-", "npm_", "eyJ", "SG.")
@@ -68,27 +79,63 @@ def describe(core: str, before: list[str], quoted: bool, assigned: bool) -> list
     ]
 
 
+def key_like(name: str) -> bool:
+    """Whether a key's name is a word that names secrets, or has one among its parts: S3_SECRET_KEY, dbPassword."""
+    low = name.lower()
+    return low in KEY_WORDS or any(p in KEY_WORDS for p in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1_\2", name).lower()))
+
+
 def candidates(text: bytes) -> list[tuple[int, int, list[float], str]]:
     """(start byte, end byte, features, core) of each candidate of one text."""
     out = []
-    for m in CANDIDATE.finditer(text):
-        raw, base = m.group(), m.start()
-        if not DIGIT.search(raw):
-            continue
-        assigned, name = False, []
-        if found := ASSIGN.match(raw):
-            base += found.start(2)
-            raw, assigned, name = found.group(2), b"=" in found.group()[: found.start(2) + 1], [found.group(1).decode("ascii")]
-        core = CORE.search(raw)
-        if core is None or len(core.group()) < 10 or not DIGIT.search(core.group()):
-            continue
-        near = text[max(0, m.start() - 60) : m.start()].decode("utf-8", "ignore").split()[-3:]
-        quoted = base + core.start() > 0 and text[base + core.start() - 1] in b"\"'"
-        value = core.group().decode("ascii")
-        out.append((base + core.start(), base + core.end(), describe(value, near + name, quoted, assigned or "=" in near), value))
+    words = {m.start(): m.end() for m in CANDIDATE.finditer(text)}
+    signs = [m.end() for m in SIGN.finditer(text) if (k := NAMED.search(text, max(0, m.start() - 60), m.start())) and key_like(k.group(1).decode("ascii"))]
+    if signs:
+        spans = [m.span() for m in WORDS.finditer(text)]
+        words.update(spans[bisect_right(spans, (at, len(text))) - 1] for at in signs)
+    for base, end in sorted(words.items()):
+        word = text[base:end]
+        long = len(word) >= 12 and DIGIT.search(word)
+        near = text[max(0, base - 60) : base].decode("utf-8", "ignore").split()[-3:]
+        for run in CORE.finditer(word):
+            for at, value, name, assigned in parts(text, base + run.start(), run.group(), OPENS.match(word, run.end()) is not None):
+                named = key_like(name)
+                if not named and (not long or len(value) < 10 or not DIGIT.search(value)):
+                    continue
+                quoted = at > 0 and text[at - 1] in b"\"'"
+                core = value.decode("ascii")
+                out.append((at, at + len(core), describe(core, near + [name, *["key"] * named], quoted, assigned or "=" in near), core))
     return out
 
 
+def key_like(name: str) -> bool:
+    """Whether a key's name, or a part of it, is a word that names secrets: token, S3_SECRET_KEY, dbPassword."""
+    parts = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1_\2", name).lower())
+    return name.lower() in KEY_WORDS or any(p in KEY_WORDS for p in parts)
+
+
+def parts(text: bytes, start: int, run: bytes, opens: bool) -> Iterator[tuple[int, bytes, str, bool]]:
+    """(start byte, value, key, whether an equals sign assigns it) of each value of a run; ``opens``: a quoted value follows."""
+    if opens and NAME_ONLY.fullmatch(run):
+        return  # a key whose value is the next run
+    keys = [m for m in INNER.finditer(run) if key_like(m.group(1).decode("ascii"))]
+    head = run[: keys[0].start()] if keys else run
+    before = BEFORE.search(text, max(0, start - 60), start)
+    name, equals, at = (before.group(1).decode("ascii"), b"=" in before.group(2), 0) if before else ("", False, 0)
+    if not (before and key_like(name)) and (m := ASSIGN.match(head)):
+        name, equals, at = m.group(1).decode("ascii"), b"=" in m.group(), m.end()
+    found = [(at, len(head), name, equals)]
+    for m, after in zip(keys, [*keys[1:], None]):
+        found.append((m.end(), after.start() if after else len(run), m.group(1).decode("ascii"), b"=" in m.group()))
+    for x, y, name, equals in found:
+        value = run[x:y].lstrip(MARKS)
+        x = y - len(value)
+        if y < len(run):
+            value = value.rstrip(MARKS)
+        if value:
+            yield start + x, value, name, equals
+
+
 def weak_label(core: str, features: list[float]) -> int | None:
     """1 for a secret by its form, 0 for a harmless thing by its form, None where form does not tell."""
     f = dict(zip(FEATURES, features))
@@ -175,7 +222,7 @@ def _scored(texts: list[bytes | None], forest: Forest | None) -> list[list[tuple
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
-    """doc_id, start, end (code points), length, score, is_secret and masked (first four characters) of every candidate."""
+    """doc_id, start, end (code points), length, score, is_secret and masked (the first four characters, of a value under 10 the first) of every candidate."""
     forest = train_forest(labelled if labelled is not None else labelled_sample(docs))
     shared = docs.sparkSession.sparkContext.broadcast(forest)
 
@@ -186,7 +233,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
             for i, text, per in zip(b.column("doc_id").to_pylist(), texts, _scored(texts, shared.value)):
                 for x, y, score, core in per:
                     start = len(text[:x].decode())
-                    rows.append((i, start, start + len(core), len(core), score, score >= threshold, core[:4] + "…"))
+                    rows.append((i, start, start + len(core), len(core), score, score >= threshold, core[: 4 if len(core) >= 10 else 1] + "…"))
             cols = list(zip(*rows)) or [[]] * 7
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "start", "end", "length", "score", "is_secret", "masked"])

@@ -229,6 +229,19 @@ def test_secret_features_and_redaction(spark, odd):
     assert secret_scan.scan(odd).count() == 0
 
 
+def test_every_run_of_a_word_is_a_candidate():
+    h = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    forms = ['{"api_key":"%s"}', '(token="%s")', 'a|token="%s"', "https://h.example/path?token=%s", "https://h.example/path?a=b&token=%s&x=1", "S3_SECRET_KEY='%s'", "S3_SECRET_KEY=%s", "env:dbPassword=%s", "token\t:\n%s", '{"user":"bob","password": "%s","id":1}']
+    for form in forms:
+        for value in (h, "lettersonlyhere", "pw1"):
+            text = ("some words " + form % value + " more").encode()
+            found = {text[a:b].decode(): secret_scan.weak_label(c, f) for a, b, f, c in secret_scan.candidates(text)}
+            assert value in found and not any("key" in x.lower() for x in found)
+            if value == h and ("=" in form or '"' in form):
+                assert found[h] == 1
+    assert [c for *_, c in secret_scan.candidates(f'x,{h},y <td>{h}</td> {h}== note: plain'.encode())] == [h, h, h + "=="]
+
+
 def test_main_text(spark):
     page = "<html><head><title>t</title></head><body><nav><a>menu</a></nav><div class='ad'>buy</div>{}<footer>f</footer>"
     art = "<article><h1>A &amp; B</h1><p>one\n two<p><b>three</b><script>var t='</p>'</script><aside>no</aside></article>"
