@@ -5,11 +5,13 @@ epochs; what a capped source cannot take goes to the others by weight. A source
 that takes t of its S words takes floor(t / S) whole copies of each document for
 certain. The rest is a sample without replacement: documents are ranked by
 random odds u / (1 - u) over the odds of their inclusion, and taken in this
-order up to the words that remain; of the others, the one whose size comes
-nearest to the gap is taken when that brings the sum nearer (three times at most).
+order up to the words that remain; one that does not fit is skipped, and the walk
+goes on to the end. Then, as long as it brings the sum nearer, one document is
+taken in, out, or exchanged for another, the best such move first.
 
 No source is sorted in one task: the order is cut by sums over fixed bins of the
-ranking number, and only the bin where the target falls is ordered row by row.
+ranking number, and only the bin where the target falls is ordered row by row,
+once for each document that does not fit and would have before.
 
 Defined results: a null text has size 0; a null source is a source of its own;
 rows with equal id, source and size share a rank and are taken one by one;
@@ -61,7 +63,7 @@ def uniform(key: Column, seed: str) -> Column:
     return (F.conv(F.substring(text, 1, U_BITS // 4), 16, 10).cast("long") + 0.5) / float(1 << U_BITS)
 
 
-def mix(docs: DataFrame, targets: DataFrame, seed: str = "mix", inclusion: Column | None = None, fills: int = 3) -> DataFrame:
+def mix(docs: DataFrame, targets: DataFrame, seed: str = "mix", inclusion: Column | None = None) -> DataFrame:
     """``taken`` words for rows of (doc_id, source, size), given (source, source_size, target).
 
     ``inclusion`` may tilt the odds: a positive number for each row, 1 where none is given. The targets are met
@@ -81,45 +83,92 @@ def mix(docs: DataFrame, targets: DataFrame, seed: str = "mix", inclusion: Colum
     g = g.withColumn("copies", copies).withColumn("share", share).withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size"))
     g = cut(g.withColumn("q", q / (1 + q)).withColumn("bin", F.floor(F.col("q") * BINS)))
 
-    bins = g.groupBy("source", "bin").agg(F.sum(F.col("n") * F.col("size")).alias("words"), F.first("rest").alias("rest"))
+    picked = g.withColumn("extra", F.lit(0).cast("long")).drop("share")
+    while True:
+        picked = cut(_take_in_order(picked))
+        if not _gaps(picked).where("least <= gap").head(1):
+            break
+    while moves := _moves(picked).collect():  # a row for each source at most
+        picked = cut(_fill(picked, moves))
+    # One row again for each document.
+    out = picked.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    taken = F.col("size") * (F.col("copies") + F.when(F.col("i") <= F.col("extra"), F.lit(1)).otherwise(F.lit(0)))
+    return out.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+def _same(a: str, b: str) -> Column:
+    return F.col(a).eqNullSafe(F.col(b))
+
+
+def _gaps(picked: DataFrame) -> DataFrame:
+    """source, gap (words still to take) and the least size that is left, for each source."""
+    left = F.min(F.when((F.col("extra") < F.col("n")) & (F.col("size") > 0), F.col("size")))
+    return picked.groupBy("source").agg((F.first("rest") - F.sum(F.col("extra") * F.col("size"))).alias("gap"), left.alias("least"))
+
+
+def _take_in_order(picked: DataFrame) -> DataFrame:
+    """Of the rows no larger than their source's gap, take those up to the first that does not fit.
+
+    What is larger never fits again, so repeating this takes what one walk in rank order through all bins would.
+    """
+    gaps = F.broadcast(_gaps(picked).select(F.col("source").alias("g_source"), "gap"))
+    g = picked.join(gaps, _same("source", "g_source")).drop("g_source")
+    fits = (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & (F.col("extra") < F.col("n"))
+    g = g.withColumn("fits", fits).withColumn("words", F.when(fits, (F.col("n") - F.col("extra")) * F.col("size")).otherwise(F.lit(0)))
+    bins = g.where("fits").groupBy("source", "bin").agg(F.sum("words").alias("words"), F.first("gap").alias("gap"))
     before = F.coalesce(F.sum("words").over(Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    edge = bins.withColumn("before", before).where((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest")))
+    edge = bins.withColumn("before", before).where((F.col("before") <= F.col("gap")) & (F.col("before") + F.col("words") > F.col("gap")))
     # A source has one edge bin, or none where everything is taken.
     edge = F.broadcast(edge.select(F.col("source").alias("e_source"), F.col("bin").alias("e_bin"), "before"))
-    g = g.join(edge, same("source", "e_source"), "left").drop("e_source")
+    g = g.join(edge, _same("source", "e_source"), "left").drop("e_source")
 
-    inside = g.where(F.col("bin") == F.col("e_bin"))
+    edges = F.col("fits") & F.col("e_bin").isNotNull() & (F.col("bin") == F.col("e_bin"))
     w = Window.partitionBy("source").orderBy("q", "size", "doc_id", "tilt").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("before") + F.coalesce(F.sum(F.col("n") * F.col("size")).over(w), F.lit(0))
-    room = F.floor((F.col("rest") - F.col("start")) / F.col("size"))
-    inside = inside.withColumn("start", start).withColumn("extra", F.when(F.col("size") > 0, F.greatest(F.lit(0), F.least(F.col("n"), room))).otherwise(F.lit(0)))
-    # After the first row that does not fit whole, nothing more is taken in order.
-    over = F.max(F.when(F.col("extra") < F.col("n"), F.lit(1)).otherwise(F.lit(0))).over(w)
-    inside = inside.withColumn("extra", F.when(F.coalesce(over, F.lit(0)) == 1, F.lit(0)).otherwise(F.col("extra"))).drop("start")
-    whole = g.where(F.col("e_bin").isNull() | (F.col("bin") != F.col("e_bin")))
-    whole = whole.withColumn("extra", F.when(F.col("e_bin").isNull() | (F.col("bin") < F.col("e_bin")), F.col("n")).otherwise(F.lit(0)))
-    picked = cut(whole.unionByName(inside).withColumn("extra", F.col("extra").cast("long")).drop("before", "e_bin", "bin", "q", "share"))
-
-    for _ in range(fills):
-        picked = cut(_fill(picked))
-    # One row again for each document.
-    out = picked.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    taken = F.col("size") * (F.col("copies") + F.when(F.col("i") <= F.col("extra"), F.lit(1)).otherwise(F.lit(0)))
-    return out.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    start = F.col("before") + F.coalesce(F.sum("words").over(w), F.lit(0))
+    room = F.greatest(F.lit(0), F.floor((F.col("gap") - start) / F.col("size")))
+    inside = g.where(edges).withColumn("more", F.least(F.col("n") - F.col("extra"), room))
+    # After the first row that does not fit whole, nothing more is taken in this round.
+    over = F.max(F.when(F.col("more") < F.col("n") - F.col("extra"), F.lit(1)).otherwise(F.lit(0))).over(w)
+    inside = inside.withColumn("more", F.when(F.coalesce(over, F.lit(0)) == 1, F.lit(0)).otherwise(F.col("more")))
+    taken = F.col("fits") & (F.col("e_bin").isNull() | (F.col("bin") < F.col("e_bin")))
+    whole = g.where(~edges).withColumn("more", F.when(taken, F.col("n") - F.col("extra")).otherwise(F.lit(0)))
+    return whole.unionByName(inside).withColumn("extra", (F.col("extra") + F.col("more")).cast("long")).select(picked.columns)
 
 
-def _fill(picked: DataFrame) -> DataFrame:
-    """Take one more row in each source whose gap it narrows most."""
-    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    gaps = picked.groupBy("source").agg((F.first("rest") - F.sum(F.col("extra") * F.col("size"))).alias("gap"))
-    gaps = F.broadcast(gaps.select(F.col("source").alias("g_source"), "gap"))
-    left = picked.where((F.col("extra") < F.col("n")) & (F.col("size") > 0)).join(gaps, same("source", "g_source")).where(F.abs(F.col("gap") - F.col("size")) < F.abs(F.col("gap")))
-    best = F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "size", F.col("doc_id").isNull().alias("no_id"), "doc_id", "tilt"))
-    fill = left.groupBy("source").agg(best.alias("b")).select(F.col("source").alias("f_source"), F.col("b.size").alias("f_size"), F.col("b.doc_id").alias("f_id"), F.col("b.tilt").alias("f_tilt"), F.lit(1).alias("f"))
-    on = same("source", "f_source") & same("doc_id", "f_id") & (F.col("size") == F.col("f_size")) & (F.col("tilt") == F.col("f_tilt"))
-    # One row for each source at most, so it is broadcast.
-    more = picked.join(F.broadcast(fill), on, "left").withColumn("extra", F.least(F.col("n"), F.col("extra") + F.coalesce("f", F.lit(0))))
-    return more.select(picked.columns)
+def _moves(picked: DataFrame) -> DataFrame:
+    """For each source whose gap can narrow: the size to take out (0: none) and the size to take in (0: none) that narrow it most.
+
+    For each size out, the sizes in nearest to size + gap are its neighbours in one order of the source's distinct sizes.
+    """
+    gaps = _gaps(picked).select(F.col("source").alias("g_source"), "gap")
+    some = picked.where("size > 0")
+    none = picked.select("source").distinct().withColumn("size", F.lit(0).cast("long"))
+    out = some.where("extra > 0").select("source", "size").distinct().unionByName(none).join(F.broadcast(gaps), _same("source", "g_source"))
+    into = some.where("extra < n").select("source", "size").distinct().unionByName(none)
+    line = out.select("source", "gap", F.col("size").alias("x"), (F.col("size") + F.col("gap")).alias("at"), F.lit(None).cast("long").alias("y"))
+    line = line.unionByName(into.select("source", F.lit(None).cast("double").alias("gap"), F.lit(None).cast("long").alias("x"), F.col("size").cast("double").alias("at"), F.col("size").alias("y")))
+    w = Window.partitionBy("source").orderBy("at", F.col("y").isNull())
+    near = line.withColumn("low", F.last("y", True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("high", F.first("y", True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    pairs = near.where("x IS NOT NULL").withColumn("y", F.explode(F.array("low", "high"))).where("y IS NOT NULL AND x != y")
+    off = F.abs(F.col("gap") - (F.col("y") - F.col("x")))
+    best = pairs.withColumn("off", off).where(F.col("off") < F.abs(F.col("gap")) - 1e-6).groupBy("source").agg(F.min(F.struct("off", "x", "y")).alias("b"))
+    return best.select("source", "b.x", "b.y")
+
+
+def _fill(picked: DataFrame, moves: list) -> DataFrame:
+    """Take one row out, the last in order of its size, and one in, the first in order, for each source of ``moves``."""
+    m = picked.sparkSession.createDataFrame([(r.source, r.x, r.y) for r in moves], "m_source string, x long, y long")
+    m = m.withColumn("m_source", F.col("m_source").cast(picked.schema["source"].dataType))
+    hit = picked.join(F.broadcast(m), _same("source", "m_source"))
+    key = F.struct("q", F.col("doc_id").isNull().alias("no_id"), "doc_id", "tilt")
+    leave = F.max(F.when((F.col("size") == F.col("x")) & (F.col("extra") > 0), key)).alias("leave")
+    enter = F.min(F.when((F.col("size") == F.col("y")) & (F.col("extra") < F.col("n")), key)).alias("enter")
+    ends = hit.groupBy("source", "x", "y").agg(leave, enter).withColumnRenamed("source", "f_source")
+    # One row for each source of the moves at most, so it is broadcast.
+    g = picked.join(F.broadcast(ends), _same("source", "f_source"), "left")
+    at = lambda end, size: ((F.col("size") == F.col(size)) & (F.col("size") > 0) & key.eqNullSafe(F.col(end)) & F.col(end).isNotNull())
+    more = F.when(at("enter", "y"), F.lit(1)).otherwise(F.lit(0)) - F.when(at("leave", "x"), F.lit(1)).otherwise(F.lit(0))
+    return g.withColumn("extra", (F.col("extra") + more).cast("long")).select(picked.columns)
 
 
 def sized(docs: DataFrame) -> DataFrame:

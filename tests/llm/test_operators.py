@@ -126,6 +126,16 @@ def test_mix_meets_targets(spark, odd, seed):
     assert sorted(map(key, out)) == sorted(map(key, again))
 
 
+def test_mix_skips_what_does_not_fit(spark):
+    sizes = [2000] + [51 + i % 7 for i in range(60)] + [400, 300, 210]
+    docs = spark.createDataFrame([(i, s, n) for s in ("a", "b", None) for i, n in enumerate(sizes)], "doc_id long, source string, size long")
+    total = sum(sizes)
+    for target in (total * 0.31, total * 0.5, total * 1.43):
+        targets = docs.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("target", F.lit(float(target)))
+        out = mixing.mix(docs, targets, seed=f"s{target}").groupBy("source").agg(F.sum("taken").alias("taken")).collect()
+        assert len(out) == 3 and all(abs(r.taken - target) <= 1 for r in out), (target, out)
+
+
 def test_repeated_passages(spark, odd):
     shared = words(5, 60)
     rows = [(k, " ".join(words(50 + k, 100 + k) + (shared if k < 3 else []) + words(90 + k, 80)), "en", "s", 0) for k in range(100, 110)]
