@@ -165,7 +165,7 @@ def _point_queries(kind):
 
     def filtered(spark, d):
         rows, fields = _typed_points(kind)(spark, d)
-        out = typed.typed_filtered(rows, fields[0], "lt", 20, START, END, 100_000, ALL)
+        out = typed.typed_filtered(rows, fields[0], "lt", 20, START, END, None, ALL)
         last = "Count" if kind == "histogram" else "Value"
         return out.select("time_unix", "MetricName", "ServiceName", F.col(last).cast("double").alias("point"), "typed_value")
 

@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from heliograph.plans import catalog
 
@@ -35,3 +36,11 @@ def test_query_matches_sql(spark, duck, name):
     at = [rel.columns.index(c) for c in cols]
     want = sorted((tuple(norm(r[i]) for i in at) for r in rel.fetchall()), key=repr)
     assert got == want
+
+
+def test_typed_points_are_not_capped(spark, tmp_path):
+    one = spark.read.parquet(f"{DATA}/events.parquet").limit(1)
+    ts = F.lit("2024-01-15 12:00:00").cast(one.schema["ts"].dataType)
+    many = one.withColumns({"ts": ts, "event_type": F.lit("purchase"), "props": F.lit('{"k": 5}')}).crossJoin(spark.range(100_500)).drop("id")
+    many.write.parquet(f"{tmp_path}/events.parquet")
+    assert all(catalog.QUERIES[n](spark, str(tmp_path)).count() == 100_500 for n in ("d_20", "d_21", "d_22"))
