@@ -160,7 +160,7 @@ def page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def templates(pages: DataFrame, min_pages: int = 3, support: float = 0.5, least: int = 2) -> DataFrame:
     """host and ``classes`` of each host with a template: for each class of ``least`` tokens or more its tokens in page order."""
-    toks = small_batches(pages.select("url", "html"), 500).mapInArrow(page_tokens, "host string, token long, n long, place long, vector long")
+    toks = small_batches(pages.select("url", "html")).mapInArrow(page_tokens, "host string, token long, n long, place long, vector long")
     per = toks.groupBy("host", "token").agg(
         F.count("*").alias("pages"), F.max("n").alias("most"), F.sum("place").alias("place"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("fingerprint")
     )
@@ -230,7 +230,7 @@ def extract_main_text(pages: DataFrame, salts: int = 64) -> DataFrame:
     keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
     found = cut(templates(pages)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     joined = keyed.join(found, ["host", "salt"], "left").select("page_id", "url", "html", "classes")
-    return small_batches(joined, 500).mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    return small_batches(joined).mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,27 +2,35 @@
 
 A text is its sequence of words; its k-mers are runs of five words, each labelled
 with how often it occurred before in the text. For each of ROWS hash functions a
-sketch keeps the two least labelled k-mers in the order the text has them, so two
-texts agree on a row when they share these k-mers and their order. Rows are
-joined to bands; texts that agree on a band are candidates. A candidate pair is a
-near duplicate when the labelled k-mers have a Jaccard similarity of 0.8 or more
-and a banded alignment of the words shows an edit similarity of 0.8 or more.
-
-Copies of one word sequence are one node, told by its digest, so copies make no
-pairs. In a band's bucket every node is compared with the one that shares buckets
-with the most others; afterwards nodes of a bucket that are still in different
-classes are compared with each other, as long as their sketches and parity prints
-allow the similarity, until no bucket joins two classes. A parity print has a bit
-for whether an odd number of labelled k-mers fall on it; where the prints of two
-texts differ in more bits than near duplicates have unshared k-mers, the pair is
-none, with certainty. Classes are connected
-components. Nothing is capped; large buckets are split by Spark as skewed joins.
+sketch keeps the LEAST least labelled k-mers in the order the text has them, so
+two texts agree on a row when they share these k-mers and their order. Texts that
+agree on a row are candidates. A candidate pair is a near duplicate when a banded
+alignment of the words shows an edit similarity of 0.8 or more: words to insert,
+delete or replace, at most a fifth of the longer text. The k-mers only propose.
+
+A row is shared with a probability of about J ** LEAST, where J is the Jaccard
+similarity of the labelled k-mers, so of 48 rows at least one is shared with a
+probability of 0.996 or more at J = 0.57, 0.95 at J = 0.5 and 0.8 at J = 0.42.
+A pair with an edit similarity of 0.8 may share few or no k-mers when its edits
+are spread evenly; such a pair is not proposed.
+
+Copies of one word sequence are one node, so copies make no pairs. In a row's
+bucket every node is compared with the one that shares buckets with the most
+others; afterwards nodes of a bucket that are still in different classes are
+compared with each other, until no bucket joins two classes. Two safe bounds
+spare alignments: lengths, and prints. A print has a bit for whether an odd number
+of labelled words fall on it; each edit changes at most two labelled words, so
+prints that differ in more than two fifths of the longer text's words rule a pair
+out with certainty. Buckets are dealt by length class as well, since texts of
+other lengths cannot be near. Classes are connected components. Nothing is capped;
+the largest buckets are split by Spark as skewed joins.
 
 Defined results: texts without words (null, empty, blank) are alone, each its own
 class with kept true; a text of fewer than five words has one k-mer, all its
-words; class_id is the least doc_id of the class, null ids last; of rows with
-equal least ids one is kept per distinct text order; extra columns are not
-carried; an empty table gives no rows.
+words; class_id is the least doc_id of the class, null ids last; of a class
+exactly one row is kept, one with the least id, also among equal rows; texts of
+any length are read whole; columns besides doc_id and text are not read and may
+have any name; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,23 +43,22 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import WORD, cut, slices, small_batches, table
+from .common import WORD, cut, fresh, slices, small_batches, table
 
 K = 5
-BANDS, BAND_ROWS = 20, 2
-ROWS = BANDS * BAND_ROWS
+#: Sketch rows, and how many least k-mers each keeps in text order.
+ROWS, LEAST = 48, 4
 SIMILARITY = 0.8
-#: A pair of similarity 0.8 agrees on 25 of 40 rows on average (standard deviation 3); fewer than this many rule it out.
-LEAST_AGREEMENT = 16
 FACTORS = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ADDENDS = np.random.Generator(np.random.PCG64(6)).integers(0, 1 << 63, ROWS, dtype=np.uint64)
-#: Sets of similarity 0.8 differ in at most this share of the sum of their sizes.
-UNSHARED = (1 - SIMILARITY) / (1 + SIMILARITY)
-#: Bits of a parity print.
-PARITY = 2048
+#: A row looks for a text's least k-mers among about this many first, and among all only where these are too few.
+SOME = 16
+#: Bits of a print.
+PRINT = 2048
 GOLD = np.uint64(0x9E3779B97F4A7C15)
+TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 class WordHashes(dict):
@@ -67,6 +74,22 @@ def word_hashes(text: bytes, hashes: WordHashes) -> np.ndarray:
     return np.array([hashes[w] for w in text.split()], np.uint32)
 
 
+def labelled(h: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Hashes of (h, how often h occurred before among its owner's); owners ascend."""
+    order = np.lexsort((h, owner))  # stable
+    sh, so, n = h[order], owner[order], len(h)
+    new = np.concatenate(([True], (sh[1:] != sh[:-1]) | (so[1:] != so[:-1]))) if n else np.zeros(0, bool)
+    start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    label = np.empty(n, np.uint64)
+    label[order] = (np.arange(n) - start).astype(np.uint64)
+    h = (h + label * np.uint64(0xD6E8FEB86659FD93)) * GOLD
+    return h ^ (h >> np.uint64(32))
+
+
+def labelled_words(words: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    return labelled(words.astype(np.uint64) * GOLD, doc)
+
+
 def labelled_kmers(words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Labelled k-mers of texts laid end to end (``doc`` numbers them, ascending), in text order, and their text's number."""
     sizes = np.bincount(doc) if len(doc) else np.zeros(0, int)
@@ -86,87 +109,69 @@ def labelled_kmers(words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.n
         h ^= h >> np.uint64(29)
     first = np.concatenate(([True], doc[1:] != doc[:-1])) if n else np.zeros(0, bool)
     keep = whole | (first & (sizes[doc] < K)) if n else whole
-    h, owner = h[keep], doc[keep]
-    order = np.lexsort((np.arange(len(h)), h, owner))
-    sh, so = h[order], owner[order]
-    new = np.concatenate(([True], (sh[1:] != sh[:-1]) | (so[1:] != so[:-1]))) if len(h) else np.zeros(0, bool)
-    start = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-    label = np.empty(len(h), np.uint64)
-    label[order] = (np.arange(len(h)) - start).astype(np.uint64)
-    h = (h + label * np.uint64(0xD6E8FEB86659FD93)) * GOLD
-    return h ^ (h >> np.uint64(32)), owner
+    return labelled(h[keep], doc[keep]), doc[keep]
 
 
-def sketches(words: np.ndarray, doc: np.ndarray, count: int) -> np.ndarray:
-    """(count, ROWS) sketch numbers; texts without k-mers have zeros."""
-    kmers, owner = labelled_kmers(words, doc)
+def sketches(kmers: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """(count, ROWS) sketch numbers of texts' labelled k-mers; texts without k-mers have zeros."""
     out = np.zeros((count, ROWS), np.uint64)
     if not len(kmers):
         return out
     sizes = np.bincount(owner, minlength=count)
-    some = np.flatnonzero(sizes)
-    starts = (np.cumsum(sizes) - sizes)[some]
-    top = np.uint64(0xFFFFFFFFFFFFFFFF)
+    begin, some = np.cumsum(sizes) - sizes, np.flatnonzero(sizes)
+    limit = np.where(sizes > SOME, TOP // np.maximum(sizes, 1).astype(np.uint64) * np.uint64(SOME), TOP)[owner]
+    want = np.minimum(sizes, LEAST)
+    rank, far = np.arange(LEAST), len(kmers)
+    inside = rank < want[some][:, None]
     for r in range(ROWS):
         x = kmers * FACTORS[r] + ADDENDS[r]
-        x ^= x >> np.uint64(31)
-        least = np.minimum.reduceat(x, starts)
-        at = np.flatnonzero(x == np.repeat(least, sizes[some]))
-        at = at[np.concatenate(([True], owner[at][1:] != owner[at][:-1]))]
-        one = kmers[at]
-        x[at] = top
-        second = np.minimum.reduceat(x, starts)
-        at2 = np.flatnonzero(x == np.repeat(second, sizes[some]))
-        at2 = at2[np.concatenate(([True], owner[at2][1:] != owner[at2][:-1]))]
-        two = kmers[at2]
-        a, b = np.where(at < at2, one, two), np.where(at < at2, two, one)
-        v = (a * GOLD ^ (a >> np.uint64(17))) + b
-        out[some, r] = (v ^ (v >> np.uint64(32))) * GOLD
+        at = np.flatnonzero(x <= limit)
+        have = np.bincount(owner[at], minlength=count)
+        lack = np.flatnonzero(have < want)
+        if len(lack):
+            at = np.union1d(at, np.concatenate([np.arange(begin[i], begin[i] + sizes[i]) for i in lack]))
+            have = np.bincount(owner[at], minlength=count)
+        at = at[np.lexsort((x[at], owner[at]))]
+        first = (np.cumsum(have) - have)[some]
+        chosen = np.where(inside, at[np.minimum(first[:, None] + rank, len(at) - 1)], far)
+        chosen.sort(axis=1)  # text order
+        v = np.zeros(len(some), np.uint64)
+        for j in range(LEAST):
+            k = chosen[:, j]
+            v = (v ^ np.where(k < far, kmers[np.minimum(k, far - 1)], np.uint64(0))) * GOLD
+            v ^= v >> np.uint64(29)
+        out[some, r] = v
     return out
 
 
+def prints(words: np.ndarray, doc: np.ndarray, count: int) -> np.ndarray:
+    """(count, PRINT / 64) longs. Shared labelled words cancel out in the exclusive or of two prints, each unshared one changes at most a bit."""
+    at = doc * PRINT + (labelled_words(words, doc) % np.uint64(PRINT)).astype(np.int64)
+    odd = (np.bincount(at, minlength=count * PRINT) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(count, PRINT // 64)
+
+
+def _lists(x: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.reshape(-1)))
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for b in batches:
-        ids, keys, texts = b.column("doc_id"), b.column("row_key"), b.column("text").cast(pa.binary()).to_pylist()
+        texts = b.column("text").cast(pa.binary()).to_pylist()
         for lo, hi in slices([len(t or b"") for t in texts], 2_000_000):
             split = [(t or b"").split() for t in texts[lo:hi]]
             nodes = [hashlib.md5(b" ".join(p)).digest() if p else None for p in split]
-            sizes = np.array([len(p) for p in split])
-            flat = np.array([hashes[w] for p in split for w in p], np.uint32)
-            sketch = sketches(flat, np.repeat(np.arange(len(split)), sizes), len(split))
-            two = sketch.reshape(len(split), BANDS, BAND_ROWS)
-            band = two[:, :, 0] * GOLD + two[:, :, 1]
-            band = (band ^ (band >> np.uint64(29))) * GOLD + np.arange(BANDS, dtype=np.uint64)
-            # A byte of each row is enough to rule out pairs that agree on too few.
-            short = (sketch >> np.uint64(56)).astype(np.uint8).view(np.int64)
-            lists = lambda x, n: pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, n, dtype=np.int32)), pa.array(x.reshape(-1)))
+            sizes, n = np.array([len(p) for p in split]), hi - lo
+            flat, doc = np.array([hashes[w] for p in split for w in p], np.uint32), np.repeat(np.arange(n), sizes)
+            sketch = sketches(*labelled_kmers(flat, doc), n)
+            band = ((sketch ^ (sketch >> np.uint64(31))) + np.arange(ROWS, dtype=np.uint64)) * GOLD
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, hi - lo), keys.slice(lo, hi - lo), pa.array(nodes, pa.binary()), lists(band.view(np.int64), BANDS), lists(short, ROWS // 8), pa.array(sizes.astype(np.int32))],
-                ["doc_id", "row_key", "node", "bands", "short", "n_words"],
+                [*(b.column(c).slice(lo, n) for c in ("uid", "doc_id", "row_key")), pa.array(nodes, pa.binary()), _lists(band.view(np.int64)), _lists(prints(flat, doc, n)), pa.array(sizes.astype(np.int32))],
+                ["uid", "doc_id", "row_key", "digest", "bands", "print", "n_words"],
             )
 
 
-def parities(kmers: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
-    """(count, PARITY / 64) longs. Shared k-mers cancel out in the exclusive or of two prints, each unshared one changes at most a bit."""
-    at = owner * PARITY + (kmers % np.uint64(PARITY)).astype(np.int64)
-    odd = (np.bincount(at, minlength=count * PARITY) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64).reshape(count, PARITY // 64)
-
-
-def _parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    for b in batches:
-        texts = b.column("text").cast(pa.binary()).to_pylist()
-        for lo, hi in slices([max(len(t), PARITY) for t in texts], 2_000_000):
-            split = [word_hashes(t, hashes) for t in texts[lo:hi]]
-            kmers, owner = labelled_kmers(np.concatenate(split), np.repeat(np.arange(hi - lo), [len(w) for w in split]))
-            bits = parities(kmers, owner, hi - lo)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bits.size + 1, PARITY // 64, dtype=np.int32)), pa.array(bits.reshape(-1)))
-            sizes = pa.array(np.bincount(owner, minlength=hi - lo).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column("node").slice(lo, hi - lo), b.column("bands").slice(lo, hi - lo), lists, sizes], ["node", "bands", "parity", "kmers"])
-
-
 def trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Both without their common beginning and end, the longer first."""
     n = min(len(a), len(b))
@@ -234,19 +239,18 @@ def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], width: int) -> np.ndarra
 
 
 def similar_pairs(left: list[np.ndarray], right: list[np.ndarray], least: float = SIMILARITY) -> np.ndarray:
-    """Which pairs of word sequences are near duplicates."""
-    texts = [*left, *right]
-    kmers, owner = labelled_kmers(np.concatenate(texts), np.repeat(np.arange(len(texts)), [len(t) for t in texts]))
-    bounds = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
-    own = [kmers[x:y] for x, y in zip(bounds[:-1], bounds[1:])]
-    n, good = len(left), np.zeros(len(left), bool)
-    for i in range(n):
-        x, y = own[i], own[n + i]
-        shared = len(np.intersect1d(x, y, assume_unique=True))
-        good[i] = shared >= least * (len(x) + len(y) - shared)
-    some = np.flatnonzero(good).tolist()
-    most = [int((1 - least) * max(len(left[i]), len(right[i])) + 1e-9) for i in some]
-    good[some] = edit_distances([(left[i], right[i]) for i in some], most) <= np.array(most, int)
+    """Which pairs of word sequences are near duplicates: an edit similarity of ``least`` or more."""
+    n, texts = len(left), [*left, *right]
+    sizes = np.array([len(t) for t in texts])
+    most = ((1 - least) * np.maximum(sizes[:n], sizes[n:]) + 1e-9).astype(int)
+    words = labelled_words(np.concatenate(texts), np.repeat(np.arange(2 * n), sizes))
+    ends = np.cumsum(sizes)
+    own = [words[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist())]
+    # Words that the other text lacks, copies counted, are no more than the edits.
+    some = [i for i in range(n) if max(sizes[i], sizes[n + i]) - len(np.intersect1d(own[i], own[n + i], assume_unique=True)) <= most[i]]
+    good = np.zeros(n, bool)
+    if some:
+        good[some] = edit_distances([(left[i], right[i]) for i in some], most[some].tolist()) <= most[some]
     return good
 
 
@@ -291,44 +295,54 @@ def components(edges: DataFrame) -> DataFrame:
     return leaves.unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
 
-def _agree(x: str, y: str) -> Column:
-    """On how many rows two short sketches agree: bytes that are 0 in the exclusive or of their longs."""
-    differ = F.lit(0)
-    for i in range(ROWS // 8):
-        z = F.col(x)[i].bitwiseXOR(F.col(y)[i])
-        for bits in (4, 2, 1):
-            z = z.bitwiseOR(F.shiftrightunsigned(z, bits))
-        differ = differ + F.bit_count(z.bitwiseAND(F.lit(0x0101010101010101)))
-    return F.lit(ROWS) - differ
-
-
-def _near() -> Column:
-    """Whether lengths and short sketches of a pair allow the similarity."""
-    return (F.least("n_words_a", "n_words_b") >= SIMILARITY * F.greatest("n_words_a", "n_words_b") - K) & (_agree("short_a", "short_b") >= LEAST_AGREEMENT)
-
-
-def _differ(x: str, y: str) -> Column:
-    """In how many bits two parity prints differ."""
-    return reduce(add, [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(PARITY // 64)])
+def _near(a: str = "a", b: str = "b") -> Column:
+    """Whether lengths and prints of a pair allow the similarity."""
+    longer, shorter = F.greatest(f"n_words_{a}", f"n_words_{b}"), F.least(f"n_words_{a}", f"n_words_{b}")
+    differ = reduce(add, [F.bit_count(F.col(f"print_{a}")[i].bitwiseXOR(F.col(f"print_{b}")[i])) for i in range(PRINT // 64)])
+    return (shorter >= SIMILARITY * longer - 1e-6) & (differ <= 2 * (1 - SIMILARITY) * longer + 1e-6)
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) that are near duplicates."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    rows = small_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), 500)
-    return rows.mapInArrow(_verify, "a binary, b binary, good boolean").where("good").select("a", "b")
+    rows = small_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"))
+    return rows.mapInArrow(_verify, "a long, b long, good boolean").where("good").select("a", "b")
+
+
+def row_key() -> Column:
+    """128 bits of a row's doc_id and text."""
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.when(F.col("text").isNull(), "null").otherwise("text"), F.col("text")).cast("binary")))
+
+
+def _open_pairs(members: DataFrame, facts: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (a, b), a the shorter, of nodes that share a bucket, are in different classes and may be near by their bounds.
+
+    ``members`` has (band, node). A node meets those of its bucket and length class, and the longer ones of the next class.
+    """
+    placed = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    split = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("band")
+    placed = placed.join(split, "band").join(facts, "node")
+    grade = F.floor(F.log("n_words") / F.log(F.lit(1 / SIMILARITY)) + 1e-9).cast("int")
+    names = ["node", "root", "n_words", "print"]
+    x = placed.select("band", F.explode(F.array(grade, grade + 1)).alias("grade"), *[F.col(c).alias(f"{c}_a") for c in names])
+    y = placed.select("band", grade.alias("grade"), *[F.col(c).alias(f"{c}_b") for c in names])
+    below = (F.col("n_words_a") < F.col("n_words_b")) | ((F.col("n_words_a") == F.col("n_words_b")) & (F.col("node_a") < F.col("node_b")))
+    same = (x["band"] == y["band"]) & (x["grade"] == y["grade"]) & (F.col("root_a") != F.col("root_b")) & below & _near()
+    pairs = x.join(y, same)
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """row_key (of id and text), doc_id, class_id and kept for every row of ``docs`` (doc_id, text).
 
-    Texts are read once for the sketches and once more for the rows that share a bucket; only the latter are moved.
+    Texts are read once for the sketches and once more for the nodes that share a bucket; only the latter are moved.
     """
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
-    schema = "doc_id long, row_key long, node binary, bands array<long>, short array<long>, n_words int"
-    rows = cut(small_batches(keyed).mapInArrow(_sketch, schema))
-    nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("row_key", "bands", "short", "n_words")).alias("r")).select("node", "r.*")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row_key", row_key())
+    schema = "uid long, doc_id long, row_key binary, digest binary, bands array<long>, print array<long>, n_words int"
+    rows = cut(small_batches(keyed.withColumn("uid", F.monotonically_increasing_id())).mapInArrow(_sketch, schema))
+    # A node is one word sequence; it goes by the least uid of its rows.
+    nodes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min(F.struct("uid", "row_key", "bands", "print", "n_words")).alias("r")).select("digest", F.col("r.uid").alias("node"), "r.row_key", "r.bands", "r.print", "r.n_words")
     # What is dealt by band is only the node; facts on nodes are kept once each.
     members = nodes.select("node", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
@@ -337,56 +351,46 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
     center = shared.select("band", "node").join(weight, "node").groupBy("band").agg(F.max(F.struct("weight", F.xxhash64("band", "node").alias("h"), "node")).alias("c"))
     grouped = shared.select("band", "node")
-    facts = cut(nodes.select("node", "row_key", "short", "n_words").join(weight.select("node"), "node"))
+    facts = cut(nodes.join(weight.select("node"), "node").select("digest", "node", "row_key", "print", "n_words"))
     texts = cut(keyed.select("row_key", "text").join(facts.select("node", "row_key"), "row_key").groupBy("node").agg(F.first("text").alias("text")))
+    facts, names = facts.select("node", "print", "n_words"), facts.select("digest", "node")
 
     pairs = grouped.join(center.select("band", F.col("c.node").alias("other")), "band").where("node != other")
     pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     for side in ("a", "b"):
-        pairs = pairs.join(facts.select(F.col("node").alias(side), F.col("short").alias(f"short_{side}"), F.col("n_words").alias(f"n_words_{side}")), side)
+        pairs = pairs.join(facts.select(F.col("node").alias(side), F.col("print").alias(f"print_{side}"), F.col("n_words").alias(f"n_words_{side}")), side)
     tried = cut(pairs.where(_near()).select("a", "b"))
     links = cut(_links(tried, texts))
     while True:
         found = cut(components(links))
-        member = grouped.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        split = member.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").drop("hi")
-        open_ = cut(member.join(split, "band"))
-        few = facts.join(open_.select("node").distinct(), "node").join(texts, "node").join(rows.select("row_key", "bands").dropDuplicates(["row_key"]), "row_key")
-        prints = small_batches(few.select("node", "text", "bands"), 500).mapInArrow(_parity, "node binary, bands array<long>, parity array<long>, kmers int")
-        open_ = open_.join(cut(prints.join(facts.drop("row_key"), "node")), "node")
-        # One side is outside the bucket's least class; pairs within a class add nothing and are not made.
-        names = ["band", "node", "root", "short", "n_words", "bands", "parity", "kmers"]
-        x = open_.where("root != lo").select([F.col(c).alias(f"{c}_a") for c in names])
-        y = open_.select([F.col(c).alias(f"{c}_b") for c in names])
-        # The tests belong to the join, so a pair is one row, in the first bucket it shares, or none where its sketches rule it out.
-        near = _near() & (_differ("parity_a", "parity_b") <= UNSHARED * (F.col("kmers_a") + F.col("kmers_b")) + 1e-6)
-        first = F.element_at(F.array_intersect("bands_a", "bands_b"), 1) == F.col("band_a")
-        other = (F.col("band_a") == F.col("band_b")) & (F.col("root_a") > F.col("root_b")) & near & first
-        more = x.join(y, other).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-        more = cut(more.join(tried, ["a", "b"], "left_anti"))
+        more = cut(_open_pairs(grouped, facts, found).join(tried, ["a", "b"], "left_anti"))
         if more.isEmpty():
             break
-        fresh = cut(_links(more, texts))
+        fresh_links = cut(_links(more, texts))
         tried = cut(tried.unionByName(more))
-        if fresh.isEmpty():
+        if fresh_links.isEmpty():
             break
-        links = cut(links.unionByName(fresh))
-    ids = rows.select("doc_id", "node", "row_key").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = ids.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("best"))
-    out = ids.join(least, "root", "left")
-    alone = F.col("root").isNull()
-    return out.select("row_key", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("class_id"), (alone | (F.col("row_key") == F.col("best.row_key"))).alias("kept"))
+        links = cut(links.unionByName(fresh_links))
+    # A node that no link reaches is a class of its own.
+    linked = names.join(found, "node").select("digest", "root")
+    ids = rows.select("uid", "doc_id", "digest", "row_key").join(linked, "digest", "left")
+    ids = ids.withColumn("class", F.coalesce(F.concat(F.lit("node "), F.col("root").cast("string")), F.hex("digest")))
+    least = ids.where(F.col("class").isNotNull()).groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key", "uid")).alias("best"))
+    out = ids.join(least, "class", "left")
+    alone = F.col("class").isNull()
+    return out.select("row_key", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("class_id"), (alone | (F.col("uid") == F.col("best.uid"))).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class of near duplicates, all columns as they are."""
-    decided = near_duplicates(docs).groupBy("row_key").agg(F.max("kept").alias("kept"))
-    keyed = docs.withColumn("_row_key", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    kept = keyed.join(decided.where("kept").select(F.col("row_key").alias("_row_key")), "_row_key", "left_semi")
-    # Rows alike in id and text are copies too.
-    n = F.row_number().over(Window.partitionBy("_row_key").orderBy(F.lit(1)))
-    blank = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    return kept.withColumn("_n", n).where((F.col("_n") == 1) | blank).drop("_n", "_row_key").select(docs.columns)
+    """``docs`` with one row of each class of near duplicates, all columns as they are; rows without words all stay.
+
+    Rows alike in id and text meet in partial aggregates first, so many equal rows are no hot key.
+    """
+    key, row = fresh("row_key", docs.columns), fresh("row", docs.columns)
+    kept = near_duplicates(docs).where("kept").select(F.col("row_key").alias(key)).distinct()
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    single = docs.where(worded).withColumn(key, row_key()).groupBy(key).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(row))
+    return single.join(kept, key, "left_semi").select(f"{row}.*").unionByName(docs.where(~worded))
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
