@@ -19,9 +19,9 @@ bucket every node is compared with the one that shares buckets with the most
 others; afterwards nodes of a bucket that are still in different classes are
 compared with each other, until no bucket joins two classes. Two safe bounds
 spare alignments: lengths, and prints. A print has a bit for whether an odd number
-of labelled words fall on it; each edit changes at most two labelled words, so
-prints that differ in more than two fifths of the longer text's words rule a pair
-out with certainty. Buckets are dealt by length class as well, since texts of
+of labelled words fall on it. The words that one text has beyond the other are no
+more than the edits, so prints that differ in too many bits rule a pair out with
+certainty. Buckets are dealt by length class as well, since texts of
 other lengths cannot be near. Classes are connected components. Nothing is capped;
 the largest buckets are split by Spark as skewed joins.
 
@@ -183,8 +183,11 @@ def trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (a, b) if len(a) >= len(b) else (b, a)
 
 
-def edit_distances(pairs: list[tuple[np.ndarray, np.ndarray]], most: list[int]) -> np.ndarray:
-    """Words to insert, delete or replace in each pair, by alignments in a band that widens; most + 1 where there are more."""
+def edit_distances(pairs: list[tuple[np.ndarray, np.ndarray]], most: list[int], least: list[int] | None = None) -> np.ndarray:
+    """Words to insert, delete or replace in each pair, by alignments in a band that widens; most + 1 where there are more.
+
+    ``least`` are known lower bounds: a narrower band is not tried.
+    """
     out = np.array(most) + 1
     short = [trimmed(a, b) for a, b in pairs]
     todo = [i for i, (a, b) in enumerate(short) if len(a) - len(b) <= most[i]]
@@ -192,7 +195,8 @@ def edit_distances(pairs: list[tuple[np.ndarray, np.ndarray]], most: list[int])
     while todo:
         # Pairs of like length are aligned together, and many at once where the band is narrow.
         todo.sort(key=lambda i: len(short[i][0]))
-        again = []
+        again = [i for i in todo if least and least[i] > width and width < most[i]]
+        todo = [i for i in todo if not (least and least[i] > width and width < most[i])]
         size = max(1, 8192 // (2 * width + 1))
         for at in range(0, len(todo), size):
             part = todo[at : at + size]
@@ -247,10 +251,10 @@ def similar_pairs(left: list[np.ndarray], right: list[np.ndarray], least: float
     ends = np.cumsum(sizes)
     own = [words[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist())]
     # Words that the other text lacks, copies counted, are no more than the edits.
-    some = [i for i in range(n) if max(sizes[i], sizes[n + i]) - len(np.intersect1d(own[i], own[n + i], assume_unique=True)) <= most[i]]
-    good = np.zeros(n, bool)
+    lack = np.array([max(len(x), len(y)) - len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(own[:n], own[n:])])
+    some, good = np.flatnonzero(lack <= most).tolist(), np.zeros(n, bool)
     if some:
-        good[some] = edit_distances([(left[i], right[i]) for i in some], most[some].tolist()) <= most[some]
+        good[some] = edit_distances([(left[i], right[i]) for i in some], most[some].tolist(), lack[some].tolist()) <= most[some]
     return good
 
 
@@ -299,7 +303,8 @@ def _near(a: str = "a", b: str = "b") -> Column:
     """Whether lengths and prints of a pair allow the similarity."""
     longer, shorter = F.greatest(f"n_words_{a}", f"n_words_{b}"), F.least(f"n_words_{a}", f"n_words_{b}")
     differ = reduce(add, [F.bit_count(F.col(f"print_{a}")[i].bitwiseXOR(F.col(f"print_{b}")[i])) for i in range(PRINT // 64)])
-    return (shorter >= SIMILARITY * longer - 1e-6) & (differ <= 2 * (1 - SIMILARITY) * longer + 1e-6)
+    # The words that each text has beyond the other are no more than the edits; the two numbers differ by the lengths' difference.
+    return (shorter >= SIMILARITY * longer - 1e-6) & (differ + longer - shorter <= 2 * (1 - SIMILARITY) * longer + 1e-6)
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -315,12 +320,31 @@ def row_key() -> Column:
     return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.when(F.col("text").isNull(), "null").otherwise("text"), F.col("text")).cast("binary")))
 
 
+def _bounded(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that their bounds allow."""
+    for side in ("a", "b"):
+        pairs = pairs.join(facts.select(F.col("node").alias(side), F.col("print").alias(f"print_{side}"), F.col("n_words").alias(f"n_words_{side}")), side)
+    return pairs.where(_near()).select("a", "b")
+
+
+def _ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` (node, root) after ``links`` (a, b) joined classes: only their roots are nodes of the components sought."""
+    root = lambda side: found.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+    edges = links.join(root("a"), "a").join(root("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).where("a != b")
+    new = components(edges).select(F.col("node").alias("root"), F.col("root").alias("new"))
+    return found.join(new, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+
+
 def _open_pairs(members: DataFrame, facts: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs (a, b), a the shorter, of nodes that share a bucket, are in different classes and may be near by their bounds.
+    """Pairs (a, b) of nodes that share a bucket, are in different classes and may be near by their bounds.
 
     ``members`` has (band, node). A node meets those of its bucket and length class, and the longer ones of the next class.
     """
-    placed = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = members.join(found, "node")
     split = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("band")
     placed = placed.join(split, "band").join(facts, "node")
     grade = F.floor(F.log("n_words") / F.log(F.lit(1 / SIMILARITY)) + 1e-9).cast("int")
@@ -329,8 +353,7 @@ def _open_pairs(members: DataFrame, facts: DataFrame, found: DataFrame) -> DataF
     y = placed.select("band", grade.alias("grade"), *[F.col(c).alias(f"{c}_b") for c in names])
     below = (F.col("n_words_a") < F.col("n_words_b")) | ((F.col("n_words_a") == F.col("n_words_b")) & (F.col("node_a") < F.col("node_b")))
     same = (x["band"] == y["band"]) & (x["grade"] == y["grade"]) & (F.col("root_a") != F.col("root_b")) & below & _near()
-    pairs = x.join(y, same)
-    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    return x.join(y, same).select(*_ordered("node_a", "node_b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -355,22 +378,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = cut(keyed.select("row_key", "text").join(facts.select("node", "row_key"), "row_key").groupBy("node").agg(F.first("text").alias("text")))
     facts, names = facts.select("node", "print", "n_words"), facts.select("digest", "node")
 
-    pairs = grouped.join(center.select("band", F.col("c.node").alias("other")), "band").where("node != other")
-    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    for side in ("a", "b"):
-        pairs = pairs.join(facts.select(F.col("node").alias(side), F.col("print").alias(f"print_{side}"), F.col("n_words").alias(f"n_words_{side}")), side)
-    tried = cut(pairs.where(_near()).select("a", "b"))
-    links = cut(_links(tried, texts))
-    while True:
-        found = cut(components(links))
-        more = cut(_open_pairs(grouped, facts, found).join(tried, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            break
-        fresh_links = cut(_links(more, texts))
-        tried = cut(tried.unionByName(more))
-        if fresh_links.isEmpty():
-            break
-        links = cut(links.unionByName(fresh_links))
+    star = grouped.join(center.select("band", F.col("c.weight").alias("weight"), F.col("c.node").alias("other")), "band").where("node != other")
+    star = cut(star.groupBy("node", "other").agg(F.max("weight").alias("weight")))
+    found = names.select("node", F.col("node").alias("root"))
+    # First with the heaviest center a node has, one pair a node; then with those that are still in another class.
+    best = star.groupBy("node").agg(F.max(F.struct("weight", "other")).alias("c")).select(*_ordered("node", "c.other")).distinct()
+    tried = cut(_bounded(best, facts))
+    found = cut(_merged(found, cut(_links(tried, texts))))
+    root = lambda c: found.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    apart = star.join(root("node"), "node").join(root("other"), "other").where("root_node != root_other").select(*_ordered("node", "other")).distinct()
+    more = cut(_bounded(apart.join(tried, ["a", "b"], "left_anti"), facts))
+    # Last, all nodes of a bucket that are still in different classes.
+    opened = False
+    while not (opened and more.isEmpty()):
+        links, tried = cut(_links(more, texts)), cut(tried.unionByName(more))
+        if not links.isEmpty():
+            found = cut(_merged(found, links))
+        more, opened = cut(_open_pairs(grouped, facts, found).join(tried, ["a", "b"], "left_anti")), True
     # A node that no link reaches is a class of its own.
     linked = names.join(found, "node").select("digest", "root")
     ids = rows.select("uid", "doc_id", "digest", "row_key").join(linked, "digest", "left")
