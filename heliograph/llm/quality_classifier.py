@@ -10,7 +10,10 @@ among all training labels.
 
 Defined results: null, empty and blank texts have no features and score the
 corrected intercept; without labels of both classes every score is the share of
-the class (0.5 without labels); repeated rows each get their score.
+the class (0.5 without labels); repeated rows each get their score, equal texts
+equal ones; a null doc_id is never held out; texts of any length are read whole;
+columns besides doc_id and text are not read and may have any name; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -117,8 +120,8 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(sample: DataFrame) -> tuple[np.ndarray, float]:
-    """The sample is bounded, so one task can walk it; 2 ** BITS weights at most come back."""
-    model = small_batches(sample).coalesce(1).mapInArrow(_train, "feature long, weight double").toPandas()
+    """The sample is bounded and lies in one partition, so one task walks it; 2 ** BITS weights at most come back."""
+    model = small_batches(sample).mapInArrow(_train, "feature long, weight double").toPandas()
     weights, intercept = np.zeros(1 << BITS, np.float32), 0.0
     for f, w in zip(model["feature"], model["weight"]):
         if f < 0:
@@ -154,7 +157,7 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus
                 [b.column("doc_id"), b.column("held_out"), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"]
             )
 
-    rows = docs.select("doc_id", "text", (bucket_of(F.col("doc_id"), modulus) == held_out).alias("held_out"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (bucket_of(F.col("doc_id"), modulus) == held_out).alias("held_out"))
     return small_batches(rows).mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
 
 

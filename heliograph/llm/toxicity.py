@@ -2,8 +2,8 @@
 
 Tokens are the words of a text without outer punctuation, in lower case. The
 chain has two states, clean and toxic; a token's potential sums the weights of
-its word, its prefixes and its suffix, and neighbours are tied by transition
-weights. Documents carry labels, tokens do not, so the tokens of the training
+its word and its prefixes of four and five letters, and neighbours are tied by
+transition weights. Documents carry labels, tokens do not, so the tokens of the training
 sample are labelled first: a word or prefix is an offence when it stands in many
 different contexts of toxic documents and in next to no clean ones. The field is
 trained on these labelled tokens by gradient steps with forward-backward
@@ -16,7 +16,10 @@ the chain.
 
 Defined results: null, empty and blank texts have no tokens and score lowest (the
 calibrated value of no evidence); without labels of both classes the score is
-that of the only class (0.5 without labels); repeated rows each get their score.
+that of the only class (0.5 without labels); repeated rows each get their score,
+equal texts equal ones; a null doc_id is never held out; texts of any length are
+read whole; columns besides doc_id and text are carried, unless a result has
+their name; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -189,8 +192,8 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The sample is bounded, so one task can walk it; 2 ** BITS + 6 numbers at most come back."""
-    model = small_batches(sample).coalesce(1).mapInArrow(_train, "feature long, weight double").toPandas()
+    """The sample is bounded and lies in one partition, so one task walks it; 2 ** BITS + 6 numbers at most come back."""
+    model = small_batches(sample).mapInArrow(_train, "feature long, weight double").toPandas()
     weights, rest = np.zeros(1 << BITS), np.zeros(6)
     for f, w in zip(model["feature"], model["weight"]):
         if f < 0:
