@@ -1,22 +1,30 @@
 """Operator 10: main text of HTML pages by deducing each host's template.
 
-Every page becomes a list of blocks, each with the path of elements above it.
-Across the pages of a host, a token (an element path, or a block's path with its
-text) has an occurrence vector: how often it occurs on each page. Tokens with
-equal vectors form an equivalence class; vectors are compared by an order-free
-sum of hashes of (page, count), so no host's pages are gathered anywhere. A class
-of two tokens or more that occur once each on most pages of a host is part of its
-template; on a page it counts with the tokens that keep the class's order. What
-is left between template tokens are slots: all of them are main text, whatever
-container they are in, or those of the article element alone where a page has
-one. Blocks that are template text or under page furniture (menus, headers,
-footers, sidebars, notices, adverts, forms, reader comments) are dropped, nothing
-else. Classes are not nested into one another: each marks its own text.
-
-Defined results: a null or empty page gives an empty text; pages without a host
-in their url, and a host with fewer than three pages, have no template and are
-read by their elements alone; a page with no other text than template text keeps
-it; repeated pages each get a row; extra columns are not carried.
+Every page becomes a sequence of tokens: the start and the end of each block
+element, told by its path, and the blocks of text, told by path and text. Across
+the pages of a host a token has an occurrence vector: how often it occurs on each
+page. Tokens with equal vectors form an equivalence class; vectors are compared by
+an order-free sum of hashes of (page, count), so no host's pages are gathered
+anywhere. A class of two tokens or more that occur on most pages of a host is
+valid on a page when its tokens come there as whole rounds in the class's order:
+once each, or several times for what a list repeats. Valid classes nest: a class
+lies in a slot of the class that holds the closest path above its first token, and
+a round counts only inside one slot of its parent, so it never straddles a
+template token. What lies between the tokens of the nested template are slots.
+A page's main text is what fills them: all slots, whatever container they are in,
+but those under page furniture (menus, headers, footers, sidebars, notices,
+adverts, forms, reader comments), which the template's paths name. Texts that are
+template tokens themselves are dropped, nothing else.
+
+Where most of a page's text would be template, as with copies and near copies of
+a page, the page keeps it. Pages without a template (no host in the url, a host of
+fewer than three pages) are read by their elements alone: the article element
+where there is one, else what is no furniture.
+
+Defined results: a null or empty page gives an empty text; repeated pages each get
+a row, equal pages equal texts; pages of any length are read whole; columns besides
+page_id, url and html are not read and may have any name; a tie between two slots
+cannot arise, as all are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -59,14 +67,20 @@ CLOSES = {
     "option": {"option"}, "body": {"head"}, "tbody": {"tr", "td", "th", "thead", "tbody"},
 }
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}}
-#: Pages without a host share no template.
-NO_HOST = "\0none"
 BLANK = re.compile(r"[\s ]+")
 
 
-def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
+Block = tuple[str, str, bool, bool]
+
+
+def blocks(page: str | None) -> list[Block]:
     """(path, text, in furniture, in an article) of each block with text, in page order."""
-    out: list[tuple[str, str, bool, bool]] = []
+    return [t for t in tokens(page) if t[1] is not None]
+
+
+def tokens(page: str | None) -> list[tuple[str, str | None, bool, bool]]:
+    """Blocks of text as in ``blocks``, and between them the starts of block elements: (path, None, in furniture, in an article)."""
+    out: list[tuple[str, str | None, bool, bool]] = []
     stack: list[tuple[str, str, bool, bool]] = []  # name, path, furniture, article
     buffer: list[str] = []
 
@@ -122,6 +136,8 @@ def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
         # Bold, links and the like are no places of their own: a block's path names block elements alone.
         path = f"{top[1]}/{step}" if name in BLOCK and name != "p" else top[1]
         stack.append((name, path, furniture, top[3] or main))
+        if name in BLOCK:
+            out.append((path + "/p" * (name == "p"), None, furniture, top[3] or main))
     flush()
     return out
 
@@ -130,45 +146,98 @@ def _hash(*parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\x1f".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def host_of(url: str | None) -> str:
-    m = re.match(r"[a-z][a-z0-9+.-]*://([^/?#]*)", url or "", re.I)
-    return (m.group(1).rpartition("@")[2].lower() if m else "") or NO_HOST
-
-
-def _tokens(path: str, text: str) -> tuple[int, int]:
-    return _hash("path", path), _hash("text", f"{path}\x1f{text}")
+def _token(path: str, text: str | None) -> int:
+    return _hash("path", path) if text is None else _hash("text", f"{path}\x1f{text}")
 
 
 def page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, token, its count and first block on the page, and a hash of (page, count); a row without token for each page. Pages without a host have none."""
+    """host, token, its path, where it first stands on the page, and a hash of (page, count)."""
     for b in batches:
         rows: list[tuple] = []
-        for url, page in zip(b.column("url").to_pylist(), b.column("html").to_pylist()):
-            host = host_of(url)
-            if host == NO_HOST:
-                continue
+        for host, url, page in zip(*(b.column(c).to_pylist() for c in ("host", "url", "html"))):
             page_key, first, count = str(_hash(url or "", page or "")), {}, Counter()
-            for i, (path, text, *_) in enumerate(blocks(page)):
-                for token in _tokens(path, text):
-                    first.setdefault(token, i)
-                    count[token] += 1
-            rows += [(host, token, n, first[token], _hash(page_key, str(n))) for token, n in count.items()]
-            rows.append((host, None, 1, 0, 0))
+            for i, (path, text, *_) in enumerate(tokens(page)):
+                token = _token(path, text)
+                first.setdefault(token, (i, path))
+                count[token] += 1
+            rows += [(host, token, first[token][1], first[token][0], _hash(page_key, str(n))) for token, n in count.items()]
         cols = list(zip(*rows)) or [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), *[pa.int64()] * 4))], ["host", "token", "n", "place", "vector"])
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["host", "token", "path", "place", "vector"])
 
 
 def templates(pages: DataFrame, min_pages: int = 3, support: float = 0.5, least: int = 2) -> DataFrame:
-    """host and ``classes`` of each host with a template: for each class of ``least`` tokens or more its tokens in page order."""
-    toks = small_batches(pages.select("url", "html")).mapInArrow(page_tokens, "host string, token long, n long, place long, vector long")
-    per = toks.groupBy("host", "token").agg(
-        F.count("*").alias("pages"), F.max("n").alias("most"), F.sum("place").alias("place"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("fingerprint")
-    )
-    size = per.where("token IS NULL").select("host", F.col("pages").alias("host_pages")).where(F.col("host_pages") >= min_pages)
-    per = per.where((F.col("most") == 1) & (F.col("pages") >= min_pages) & F.col("token").isNotNull()).join(size, "host").where(F.col("pages") >= support * F.col("host_pages"))
+    """host and ``classes`` of each host with a template, from (host, url, html): for each class of ``least`` tokens or more its tokens and their paths in page order.
+
+    A token of a template is on ``support`` of a host's pages, so a host has at most 1 / support times a page's tokens.
+    """
+    size = pages.groupBy("host").agg(F.count("*").alias("host_pages")).where(F.col("host_pages") >= min_pages)
+    toks = small_batches(pages).mapInArrow(page_tokens, "host string, token long, path string, place long, vector long")
+    per = toks.groupBy("host", "token").agg(F.count("*").alias("pages"), F.first("path").alias("path"), F.sum("place").alias("place"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("fingerprint"))
+    per = per.where(F.col("pages") >= min_pages).join(size, "host").where(F.col("pages") >= support * F.col("host_pages"))
     # Tokens of a class are on the same pages, so their sums of places are in the order of their mean places.
-    classes = per.groupBy("host", "fingerprint", "pages").agg(F.array_sort(F.collect_list(F.struct("place", "token"))).alias("tokens")).where(F.size("tokens") >= least)
-    return classes.groupBy("host").agg(F.collect_list("tokens.token").alias("classes"))
+    classes = per.groupBy("host", "fingerprint", "pages").agg(F.array_sort(F.collect_list(F.struct("place", "token", "path"))).alias("tokens")).where(F.size("tokens") >= least)
+    return classes.groupBy("host").agg(F.collect_list(F.struct(F.col("tokens.token").alias("tokens"), F.col("tokens.path").alias("paths"))).alias("classes"))
+
+
+class Template:
+    """A host's classes, each below the class that holds the closest path above its first token, outer ones first."""
+
+    def __init__(self, classes: list[dict]):
+        self.classes = sorted(([*c["tokens"]], [*c["paths"]]) for c in classes)
+        self.classes.sort(key=lambda c: min(p.count("/") for p in c[1]))
+        holder: dict[str, int] = {}
+        for k, (_, paths) in enumerate(self.classes):
+            for p in paths:
+                holder.setdefault(p, k)
+        self.parents = []
+        for k, (_, paths) in enumerate(self.classes):
+            above, parent = paths[0], None
+            while above and parent is None:
+                above = above.rpartition("/")[0]
+                if holder.get(above, k) != k:
+                    parent = holder[above]
+            self.parents.append(parent)
+        self.of = {t: (k, j) for k, (tokens, _) in enumerate(self.classes) for j, t in enumerate(tokens)}
+
+    def marked(self, found: list[int]) -> set[int]:
+        """Which of a page's tokens (by number) belong to the template that is on this page."""
+        at: list[list[tuple[int, int]]] = [[] for _ in self.classes]
+        for i, t in enumerate(found):
+            if t in self.of:
+                k, j = self.of[t]
+                at[k].append((i, j))
+        out: set[int] = set()
+        rounds: dict[int, list[list[int]]] = {}
+        for k, (tokens, _) in enumerate(self.classes):
+            own = [r for r in whole_rounds(at[k], len(tokens))]
+            parent = self.parents[k]
+            if parent in rounds:  # a round lies in one slot of its parent
+                walls = sorted(i for r in rounds[parent] for i in r)
+                own = [r for r in own if bisect_right(walls, r[0]) == bisect_right(walls, r[-1])]
+            rounds[k] = own
+            out.update(i for r in own for i in r)
+        return out
+
+
+def whole_rounds(places: list[tuple[int, int]], size: int, least: int = 2) -> list[list[int]]:
+    """Rounds of a class among its tokens' (place, rank) on a page: each runs through the ranks in order. What breaks the order is left
+    out, as long as ``least`` tokens of a class that occurs once keep it."""
+    if len({j for _, j in places}) < size:
+        return []
+    if len(places) == size:
+        kept = in_order([j for _, j in places])
+        return [[places[k][0] for k in kept]] if len(kept) >= least else []
+    out, now = [], []
+    for i, j in places:
+        if j == len(now):
+            now.append(i)
+        else:
+            now = [i] if j == 0 else []
+        if len(now) == size:
+            out.append(now)
+            now = []
+    return out
 
 
 def in_order(places: list[int]) -> list[int]:
@@ -187,50 +256,59 @@ def in_order(places: list[int]) -> list[int]:
     return out[::-1]
 
 
-def template_blocks(found: list[tuple[str, str, bool, bool]], classes: list[list[int]], least: int = 2) -> set[int]:
-    """Which blocks of a page are template text: text tokens of the classes that are on it, as far as they keep their class's order."""
-    place: dict[int, int] = {}
-    texts: dict[int, int] = {}
-    for i, (path, text, *_) in enumerate(found):
-        a, b = _tokens(path, text)
-        place.setdefault(a, i)
-        place.setdefault(b, i)
-        texts.setdefault(b, i)
-    out: set[int] = set()
-    for tokens in classes:
-        if all(t in place for t in tokens):
-            kept = in_order([place[t] for t in tokens])
-            if len(kept) >= least:
-                out |= {texts[tokens[k]] for k in kept if tokens[k] in texts}
-    return out
-
-
-def main_text(page: str | None, classes: list[list[int]]) -> str:
-    found = blocks(page)
-    only = any(article for *_, article in found)
-    own = [i for i, (_, _, furniture, article) in enumerate(found) if not furniture and (article or not only)]
-    template = template_blocks(found, classes) if classes else set()
-    # A page whose whole text others of its host repeat, as copies do, keeps it.
-    return "\n".join(found[i][1] for i in [i for i in own if i not in template] or own)
+def main_text(page: str | None, template: Template | None, share: float = 0.5) -> str:
+    """The text in the slots of the page; ``template`` None: of a page that is read by its elements alone."""
+    every = tokens(page)
+    only = template is None and any(article for _, text, _, article in every if text is not None)
+    own = [i for i, (_, text, furniture, article) in enumerate(every) if text is not None and not furniture and (article or not only)]
+    fixed = template.marked([_token(path, text) for path, text, *_ in every]) if template else set()
+    slots = [i for i in own if i not in fixed]
+    # A page whose text others of its host repeat for the most part, as copies do, keeps it.
+    if sum(len(every[i][1]) for i in slots) < share * sum(len(every[i][1]) for i in own):
+        slots = own
+    return "\n".join(every[i][1] for i in slots)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[str, Template] = {}
     for b in batches:
-        cols = [b.column(c).to_pylist() for c in ("html", "classes")]
-        texts = [main_text(h, c or []) for h, c in zip(*cols)]
+        texts = []
+        for host, page, classes in zip(*(b.column(c).to_pylist() for c in ("host", "html", "classes"))):
+            if classes and host not in known:
+                if len(known) > 1000:
+                    known.clear()
+                known[host] = Template(classes)
+            texts.append(main_text(page, known[host] if classes else None))
         yield pa.RecordBatch.from_arrays(
             [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"]
         )
 
 
-def extract_main_text(pages: DataFrame, salts: int = 64) -> DataFrame:
-    """page_id, url, text and n_chars of every page. A large host's pages are dealt over ``salts`` tasks; each gets the host's template."""
+#: Templates of up to this many hosts are broadcast (some 10 KB each); of more, pages and templates meet in a shuffle.
+FEW_HOSTS = 2_000
+
+
+def extract_main_text(pages: DataFrame, pages_a_salt: int = 5_000) -> DataFrame:
+    """page_id, url, text and n_chars of every page.
+
+    Where templates are too many to broadcast, a host's pages are dealt over as many salts as ``pages_a_salt`` asks for; each gets the template.
+    """
     host = F.lower(F.regexp_replace(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^[a-z][a-z0-9+.\-]*://([^/?#]*)", 1), "^.*@", ""))
-    keyed = pages.select("page_id", "url", "html").withColumn("host", F.when(host == "", F.lit(NO_HOST)).otherwise(host))
-    keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
-    found = cut(templates(pages)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = keyed.join(found, ["host", "salt"], "left").select("page_id", "url", "html", "classes")
-    return small_batches(joined).mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.nullif(host, F.lit("")).alias("host"))
+    hosted = keyed.where(F.col("host").isNotNull())
+    found = cut(templates(hosted.select("host", "url", "html")))
+    if found.count() <= FEW_HOSTS:
+        joined = keyed.join(F.broadcast(found), "host", "left")
+    else:
+        salts = hosted.groupBy("host").agg(F.ceil(F.count("*") / pages_a_salt).cast("int").alias("salts"))
+        found = cut(found.join(salts, "host"))
+        # Host sizes are small rows; Spark broadcasts them or splits the join's large keys.
+        sized = keyed.join(found.select("host", "salts"), "host", "left")
+        sized = sized.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+        spread = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+        joined = sized.join(spread, ["host", "salt"], "left")
+    rows = small_batches(joined.select("host", "page_id", "url", "html", "classes"))
+    return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
