@@ -5,16 +5,21 @@ shifted by its age. A text is cut behind the least hash of every window of
 WINDOW positions, so cuts depend on nearby bytes alone, an insertion shifts no
 later cut, and no chunk inside ordinary text exceeds WINDOW bytes. Chunks are
 deduplicated by digest: a digest found under two document ids is repeated.
-Neighbouring repeated chunks of a document join to passages; a passage counts
-when its whole chunks hold ``min_words`` words. A cut lies at most
-GEAR + WINDOW bytes inside either end of a shared passage, so a shared passage
-of more than 50 words keeps some 35 words on average in whole chunks.
+Neighbouring repeated chunks of a document join to a run; a run counts when its
+whole chunks hold ``min_words`` words. A run is cut into passages where the first
+document (the least id that holds a chunk) changes, so a passage lies in its first
+document as a whole, and taking it out of the others leaves it somewhere. A cut
+lies at most GEAR + WINDOW bytes inside either end of a shared passage, so a shared
+passage of more than 50 words keeps some 35 words on average in whole chunks.
 
-Digests have 64 bits; a chance collision makes one chunk repeated and no passage.
+Digests have 64 bits; a chance collision makes one chunk repeated and no run.
 
 Defined results: null and empty texts have no chunks and no rows; a null doc_id
-is a document of its own (all rows with null ids count as one); rows repeated
-with the same id are one document; extra columns are not carried.
+is a document of its own (all rows with null ids count as one), the least of all;
+rows repeated with the same id are one document, equal rows give one set of
+passages; a chunk twice in one document alone is not repeated; texts of any length
+are read whole; columns besides doc_id and text may have any name: passages do not
+carry them, ``drop_repeats`` carries all; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,9 +29,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import slices, small_batches, table
+from .common import fresh, slices, small_batches, table
 
 GEAR, WINDOW, LEAST, MOST = 16, 80, 16, 160
 #: A shorter chunk is digested with the bytes before it: a few letters alone recur by chance.
@@ -97,10 +102,10 @@ def chunk_ends(texts: list[bytes]) -> list[np.ndarray]:
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["row_key", "doc_id", "idx", "start", "end", "words_before", "words_after", "digest"]
     for b in batches:
-        ids, texts = b.column("doc_id").to_pylist(), [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
+        ids, row_keys, texts = b.column("doc_id").to_pylist(), b.column("row_key").to_pylist(), [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
         for lo, hi in slices([len(t) for t in texts], 2_000_000):
             cols: list[list[np.ndarray]] = [[] for _ in names]
-            for i, text, ends in zip(ids[lo:hi], texts[lo:hi], chunk_ends(texts[lo:hi])):
+            for i, row_key, text, ends in zip(ids[lo:hi], row_keys[lo:hi], texts[lo:hi], chunk_ends(texts[lo:hi])):
                 if not len(ends):
                     continue
                 raw = np.frombuffer(text, np.uint8)
@@ -109,49 +114,61 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 word = np.concatenate(([0], np.cumsum(~blank & np.concatenate(([True], blank[:-1])))))
                 begin = np.concatenate(([0], ends[:-1]))
                 digests = [xxhash.xxh3_64_intdigest(text[max(0, min(x, y - SHORT)) : y]) for x, y in zip(begin.tolist(), ends.tolist())]
-                row_key = xxhash.xxh3_64_intdigest(text, seed=(i or 0) & 0xFFFFFFFF)
                 n, doc = len(ends), NO_ID if i is None else i
-                values = (np.full(n, row_key, np.uint64).view(np.int64), np.full(n, doc, np.int64), np.arange(n, dtype=np.int32), chars[begin].astype(np.int32), chars[ends].astype(np.int32), word[begin].astype(np.int32), word[ends].astype(np.int32), np.array(digests, np.uint64).view(np.int64))
+                values = (np.full(n, row_key, np.int64), np.full(n, doc, np.int64), np.arange(n, dtype=np.int32), chars[begin].astype(np.int32), chars[ends].astype(np.int32), word[begin].astype(np.int32), word[ends].astype(np.int32), np.array(digests, np.uint64).view(np.int64))
                 for c, v in zip(cols, values):
                     c.append(v)
             if cols[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names)
 
 
+def _row_key() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
 def chunks(docs: DataFrame) -> DataFrame:
     """One row for each chunk of each text; the same text gives the same chunks wherever it is cut."""
     schema = "row_key long, doc_id long, idx int, start int, end int, words_before int, words_after int, digest long"
-    return small_batches(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(_chunks, schema)
+    return small_batches(docs.select(_row_key().alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(_chunks, schema)
 
 
-def repeated_passages(docs: DataFrame, min_words: int = 18) -> DataFrame:
-    """doc_id, start, end (code points), n_words, first_doc_id (least id that holds a part) and copies of each passage.
+def passages(docs: DataFrame, min_words: int = 18) -> DataFrame:
+    """row_key, doc_id, start, end (code points), n_words, first_doc_id, copies and run_words of each passage.
 
     Digests are counted with partial sums, so a passage of every document is no hot group; the join back is a
-    sort-merge join, whose skewed partitions Spark splits.
+    sort-merge join, whose skewed partitions Spark splits. A window holds the repeated chunks of one text.
     """
     parts = chunks(docs)
     shared = parts.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"), F.count("*").alias("copies"))
     shared = shared.where("first_doc_id < last").drop("last")
     hits = parts.join(shared, "digest").drop("digest")
-    island = F.col("idx") - F.dense_rank().over(Window.partitionBy("row_key").orderBy("idx"))
-    passages = hits.withColumn("island", island).groupBy("row_key", "doc_id", "island").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("words_after") - F.min("words_before")).alias("n_words"),
-        F.min("first_doc_id").alias("first_doc_id"), F.max("copies").alias("copies"),
+    # Equal rows give a chunk twice: dense ranks count it once.
+    run = F.col("idx") - F.dense_rank().over(Window.partitionBy("row_key").orderBy("idx"))
+    part = F.col("idx") - F.dense_rank().over(Window.partitionBy("row_key", "first_doc_id").orderBy("idx"))
+    whole = Window.partitionBy("row_key", "run")
+    hits = hits.withColumn("run", run).withColumn("part", part)
+    hits = hits.withColumn("run_words", F.max("words_after").over(whole) - F.min("words_before").over(whole)).where(F.col("run_words") >= min_words)
+    found = hits.groupBy("row_key", "doc_id", "run", "part", "first_doc_id").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("words_after") - F.min("words_before")).alias("n_words"), F.max("copies").alias("copies"), F.first("run_words").alias("run_words")
     )
     no = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
-    return passages.where(F.col("n_words") >= min_words).select(no("doc_id"), "start", "end", "n_words", no("first_doc_id"), "copies")
+    return found.select("row_key", no("doc_id"), "start", "end", "n_words", no("first_doc_id"), "copies", "run_words")
+
+
+def repeated_passages(docs: DataFrame, min_words: int = 18) -> DataFrame:
+    """The passages, with ``dropped``: whether ``drop_repeats`` takes the passage out, as another document is its first."""
+    return passages(docs, min_words).drop("row_key").withColumn("dropped", ~F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
 
 
 def drop_repeats(docs: DataFrame, min_words: int = 18) -> DataFrame:
-    """``docs`` with each repeated passage left only in its first document; ids must be unique."""
-    gone = repeated_passages(docs, min_words).where(~F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
-    gone = gone.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gone"))
-    piece = lambda a, b: F.expr(f"substring(text, {a} + 1, {b} - {a})")
-    start = F.expr("aggregate(gone, named_struct('at', 0, 'kept', ''), (acc, g) -> named_struct('at', g.end, 'kept', concat(acc.kept, substring(text, acc.at + 1, g.start - acc.at))))")
-    joined = docs.join(gone, "doc_id", "left").withColumn("walk", start)
-    rest = F.concat(F.col("walk.kept"), piece("walk.at", "length(text)"))
-    return joined.withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(rest)).select(docs.columns)
+    """``docs`` with each repeated passage left only in its first document; all rows and columns stay."""
+    key, cuts = fresh("row_key", docs.columns), fresh("cuts", docs.columns)
+    gone = passages(docs, min_words).where(~F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
+    gone = gone.groupBy(F.col("row_key").alias(key)).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(cuts))
+    joined = docs.withColumn(key, _row_key()).join(gone, key, "left")
+    ends, starts = F.concat(F.array(F.lit(0)), F.col(cuts)["end"]), F.concat(F.col(cuts)["start"], F.array(F.length("text")))
+    kept = F.array_join(F.zip_with(ends, starts, lambda e, s: F.substr(F.col("text"), e + 1, s - e)), "")
+    return joined.withColumn("text", F.when(F.col(cuts).isNull(), F.col("text")).otherwise(kept)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
