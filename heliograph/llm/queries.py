@@ -7,7 +7,7 @@ from .mixing import op3_mix_sources
 from .near_duplicates import op2_near_duplicates
 from .nearest import op1_nearest
 from .quality_classifier import op6_quality_classifier
-from .quality_rules import op5_quality_rules
+from .quality_rules import ORACLE_SQL as OP5_SQL, op5_quality_rules
 from .sampled_pieces import op8_sampled_pieces
 from .secret_scan import op9_secret_scan
 from .substring_dedup import op4_substring_dedup
@@ -21,5 +21,5 @@ QUERIES = {
     )
 }
 
-# The others train models, walk texts byte by byte or search approximately: tests compare them with brute force.
-ORACLES: dict[str, str] = {}
+# The others train models, walk texts byte by byte, search approximately or walk a rank order: tests compare them with brute force.
+ORACLES: dict[str, str] = {"op5_quality_rules": OP5_SQL}
