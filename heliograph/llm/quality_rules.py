@@ -35,10 +35,10 @@ def _lambda_once(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def window_hashes(hashes: Column, width: int = 8) -> Column:
-    """A hash of every ``width`` neighbours of an array of word hashes."""
-    starts = F.when(F.size(hashes) >= width, F.sequence(F.lit(1), F.size(hashes) - width + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, F.lit(width))))
+def neighbours(hashes: Column, apart: int) -> Column:
+    """A hash of every element and the one ``apart`` places behind it. Three of these in a row, 1, 2 and 4 apart, hash every eight neighbours."""
+    n = F.greatest(F.lit(0), F.size(hashes) - apart)
+    return F.zip_with(F.slice(hashes, F.lit(1), n), F.slice(hashes, F.lit(apart + 1), n), lambda x, y: F.xxhash64(x, y))
 
 
 def covered_words(windows: Column, width: int = 8) -> Column:
@@ -90,8 +90,10 @@ def features(docs: DataFrame) -> DataFrame:
         "n_words": F.size("ws").cast("long"), "word_chars": F.length(F.array_join("ws", "")).cast("long"), "n_chars": F.length(text).cast("long"),
         "n_symbols": count(r"[#*$%&|<>]"), "n_upper": count(r"\p{Lu}"), "n_digits": count(r"[0-9]"), "n_punct": count(f"[{PUNCTUATION}]"), "n_dup_lines": duplicate_lines(text),
         "hashes": F.transform("ws", lambda w: F.xxhash64(w)),
-        "hits": F.array(*[F.coalesce(F.size("plain") - F.size(F.array_remove("plain", F.get("chosen", F.lit(i)))), F.lit(0)).cast("long") for i in range(COMMON)]),
-    }).withColumn("windows", window_hashes(F.col("hashes")))
+        "known": F.filter("plain", lambda w: F.array_contains("chosen", w)),
+    }).withColumn("pairs", neighbours(F.col("hashes"), 1)).withColumn("fours", neighbours(F.col("pairs"), 2)).withColumn("windows", neighbours(F.col("fours"), 4))
+    hit = lambda i: F.coalesce(F.size("known") - F.size(F.array_remove("known", F.get("chosen", F.lit(i)))), F.lit(0)).cast("long")
+    df = df.withColumn("hits", F.array(*[hit(i) for i in range(COMMON)]))
     df = df.withColumns({"n_repeat_words": covered_words(F.col("windows")), "n_space": F.col("n_chars") - F.col("word_chars")})
     rest = F.col("n_chars") - F.col("n_space") - F.col("n_symbols") - F.col("n_upper") - F.col("n_digits") - F.col("n_punct")
     found = reduce(add, [F.get("hits", F.lit(i)) for i in range(COMMON)])
