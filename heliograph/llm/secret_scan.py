@@ -1,23 +1,29 @@
 """Operator 9: secrets in texts, with a random forest against false positives.
 
 A candidate is a run of a word (between quotes, brackets, ?, &, commas and the
-like) of some length with digits, or any value behind a key-like name (token,
-S3_SECRET_KEY). Its features are length, character transitions, entropy, the
-share of its letters that known words cover, its path-like parts, and the words
-before and after it. Spark ML trains a random forest on labelled findings; the
-trees' nodes are read back as a table, and one pass over the texts finds and
-scores all candidates.
+like) of eight characters or more with a digit or a capital inside, or of twenty or
+more, or any value behind a key-like name (token, S3_SECRET_KEY). Its features are
+its length, its shares of digits, capitals and other marks, its character
+transitions and entropy, how much of its letters words of the corpus' dictionary
+cover, its path-like parts, and what words stand beside it. Spark ML trains a
+random forest on labelled findings; the trees' nodes are read back as a table, and
+one pass over the texts finds and scores all candidates. The dictionary are the
+words in most documents of the whole corpus.
 
 Findings may come labelled by hand (``labelled``: columns of ``FEATURES`` and
-``label``). The tables here hold none, so by default a bounded sample of
-candidates is labelled by rules of form: known key prefixes and long random
-values assigned to a key-like name are secrets; mail and network addresses, card
-and phone numbers, dates, links and paths are not; the rest stays unlabelled.
-
-Defined results: null and empty texts have no findings; a text may hold one
-secret many times, each place is a finding; without labelled findings of both
-classes every candidate scores 0.5 and counts as a secret; repeated rows each
-have their findings.
+``label``). The tables here hold none, so by default a bounded sample of candidates
+is labelled from what the forest does not see: a value that an assignment gives to
+a key-like name, or behind a known key prefix, is a secret; a mail, network or web
+address, a date, a number and a file path is none, nor is a value that is assigned
+to a name which names no secret; the rest stays unlabelled. What the forest learns
+is how such values look, whatever name they stand behind.
+
+Defined results: null and empty texts have no findings; a text may hold one secret
+many times, each place is a finding; without labelled findings of both classes
+every candidate scores 0.5 and counts as a secret; repeated rows each have their
+findings, equal rows equal ones; texts of any length are read whole; columns
+besides doc_id and text may have any name: findings do not carry them, ``redact``
+carries all; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,8 +46,12 @@ from .common import cut, ensure_checkpoint_dir, small_batches, table
 #: The most labelled findings that training reads.
 MAX_FINDINGS = 20_000
 TREES, DEPTH = 30, 6
-CANDIDATE = re.compile(rb"(?<!\S)\S{12,}")
-DIGIT = re.compile(rb"[0-9]")
+#: Words that many documents hold, and how many of them the dictionary has at most.
+DICTIONARY_WORDS = 20_000
+CANDIDATE = re.compile(rb"(?<!\S)\S{8,}")
+ODD = re.compile(rb"[0-9]|[a-z][A-Z]")
+#: A run of this many characters is a candidate whatever it is made of.
+LONG = 20
 CORE = re.compile(rb"[A-Za-z0-9][A-Za-z0-9_+/.=@:~\-]*[A-Za-z0-9=]")
 KEY = r"(?<![A-Za-z0-9_.\-])([A-Za-z_][A-Za-z0-9_.\-]{1,39})"
 ASSIGN = re.compile(rf"{KEY}[=:]+(?=.{{8}})".encode(), re.S)
@@ -56,37 +66,37 @@ MARKS = b"_+/.=@:~-"
 # Words that name secrets, prefixes of well-known keys, words often found inside harmless identifiers.
 KEY_WORDS = {"password", "passwd", "pwd", "pass", "secret", "token", "key", "apikey", "api_key", "access_key", "auth", "authorization", "bearer", "credential", "credentials", "private_key", "client_secret"}
 KEY_PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "sk-", "sk_live_", "rk_live_", "xoxb-", "xoxp-", "xoxa-", "AIza", "ya29.", "glpat-", "npm_", "eyJ", "SG.")
-DICTIONARY = ("http", "https", "www", "mail", "example", "com", "org", "net", "html", "index", "page", "file", "image", "test", "user", "name", "home", "data", "version", "license", "public", "general", "date", "time", "the", "and", "with", "from", "this", "that")
-FEATURES = ["length", "digits", "upper", "lower", "other", "transitions", "entropy", "longest_letters", "dictionary", "slashes", "dots", "at_sign", "hex_only", "digits_only", "prefix", "key_before", "quoted", "assigned", "vowels"]
+FEATURES = ["length", "digits", "upper", "lower", "other", "transitions", "entropy", "longest_letters", "dictionary", "slashes", "dots", "hex_only", "vowels", "near_words", "near_length"]
+#: What labels are made from; the forest sees none of these.
+CONTEXT = ["prefix", "named", "assigned", "other_name", "harmless"]
+LETTERS = re.compile(r"[a-z]+")
 HARMLESS = re.compile(r"^(?:[^@\s]+@[\w.-]+\.\w+|\d{1,3}(?:\.\d{1,3}){3}(?::\d+)?|[\d+() .\-/]+|[a-z][a-z0-9+.-]*://\S+|(?:[\w.~-]+/)+[\w.~-]+|\d{4}-\d\d-\d\d\S*)$", re.I)
 
 
-def describe(core: str, before: list[str], quoted: bool, assigned: bool) -> list[float]:
+def describe(core: str, near: list[str], dictionary: frozenset[str]) -> list[float]:
+    """The features of one candidate, beside the words ``near``."""
     n = len(core)
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o" for c in core]
     share = lambda k: kinds.count(k) / n
     low = core.lower()
-    runs = re.findall(r"[a-z]+", low)
+    # Words in camel case are words of their own.
+    runs = LETTERS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", core).lower())
     letters = sum(map(len, runs))
-    covered = sum(len(r) for r in runs if any(w in r for w in DICTIONARY))
+    covered = sum(len(r) for r in runs if len(r) > 2 and r in dictionary)
     entropy = -sum(p * math.log2(p) for p in (core.count(c) / n for c in set(core)))
-    named = any(w.strip("\"'=:,.").lower() in KEY_WORDS for w in before)
+    beside = [w for w in ("".join(LETTERS.findall(w.lower())) for w in near) if w]
     return [
         float(n), share("d"), share("u"), share("l"), share("o"), sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1), entropy,
-        float(max(map(len, runs), default=0)), covered / max(1, letters), float(core.count("/")), float(core.count(".")), float("@" in core),
-        float(all(c in "0123456789abcdef" for c in low)), float(core.isdigit()), float(core.startswith(KEY_PREFIXES)), float(named), float(quoted), float(assigned),
-        sum(c in "aeiou" for c in low) / max(1, letters),
+        float(max(map(len, runs), default=0)), covered / max(1, letters), float(core.count("/")), float(core.count(".")), float(all(c in "0123456789abcdef" for c in low)),
+        sum(c in "aeiou" for c in low) / max(1, letters), sum(w in dictionary for w in beside) / max(1, len(beside)), sum(map(len, beside)) / max(1, len(beside)),
     ]
 
 
-def key_like(name: str) -> bool:
-    """Whether a key's name is a word that names secrets, or has one among its parts: S3_SECRET_KEY, dbPassword."""
-    low = name.lower()
-    return low in KEY_WORDS or any(p in KEY_WORDS for p in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1_\2", name).lower()))
+Found = tuple[int, int, list[float], list[float], str]
 
 
-def candidates(text: bytes) -> list[tuple[int, int, list[float], str]]:
-    """(start byte, end byte, features, core) of each candidate of one text."""
+def candidates(text: bytes, dictionary: frozenset[str] = frozenset()) -> list[Found]:
+    """(start byte, end byte, features, context, core) of each candidate of one text."""
     out = []
     words = {m.start(): m.end() for m in CANDIDATE.finditer(text)}
     signs = [m.end() for m in SIGN.finditer(text) if (k := NAMED.search(text, max(0, m.start() - 60), m.start())) and key_like(k.group(1).decode("ascii"))]
@@ -95,16 +105,19 @@ def candidates(text: bytes) -> list[tuple[int, int, list[float], str]]:
         words.update(spans[bisect_right(spans, (at, len(text))) - 1] for at in signs)
     for base, end in sorted(words.items()):
         word = text[base:end]
-        long = len(word) >= 12 and DIGIT.search(word)
-        near = text[max(0, base - 60) : base].decode("utf-8", "ignore").split()[-3:]
+        wide = len(word) >= LONG or ODD.search(word)
+        near: list[str] | None = None
         for run in CORE.finditer(word):
             for at, value, name, assigned in parts(text, base + run.start(), run.group(), OPENS.match(word, run.end()) is not None):
                 named = key_like(name)
-                if not named and (not long or len(value) < 10 or not DIGIT.search(value)):
+                if not named and not (wide and (len(value) >= LONG or len(value) >= 8 and ODD.search(value))):
                     continue
-                quoted = at > 0 and text[at - 1] in b"\"'"
                 core = value.decode("ascii")
-                out.append((at, at + len(core), describe(core, near + [name, *["key"] * named], quoted, assigned or "=" in near), core))
+                quoted = at > 0 and text[at - 1] in b"\"'"
+                if near is None:
+                    near = text[max(0, base - 60) : base].decode("utf-8", "ignore").split()[-2:] + text[end : end + 40].decode("utf-8", "ignore").split()[:2]
+                context = [float(core.startswith(KEY_PREFIXES)), float(named), float(assigned or quoted), float(bool(name) and assigned and not named), float(bool(HARMLESS.match(core)) or core.isdigit())]
+                out.append((at, at + len(core), describe(core, near, dictionary), context, core))
     return out
 
 
@@ -136,26 +149,36 @@ def parts(text: bytes, start: int, run: bytes, opens: bool) -> Iterator[tuple[in
             yield start + x, value, name, equals
 
 
-def weak_label(core: str, features: list[float]) -> int | None:
-    """1 for a secret by its form, 0 for a harmless thing by its form, None where form does not tell."""
-    f = dict(zip(FEATURES, features))
-    if HARMLESS.match(core) or f["digits_only"]:
+def context_label(context: list[float]) -> int | None:
+    """1 for a secret by what stands around it, 0 for a harmless thing by its kind or by what stands around it, None where that does not tell."""
+    prefix, named, assigned, other_name, harmless = context
+    if harmless or other_name:
         return 0
-    random = f["entropy"] >= 3.0 and f["digits"] > 0.1 and f["length"] >= 14
-    if f["prefix"] and random or (f["key_before"] and (f["assigned"] or f["quoted"]) and random):
-        return 1
-    return None
+    return 1 if prefix or (named and assigned) else None
+
+
+def dictionary_of(docs: DataFrame, most: int = DICTIONARY_WORDS) -> DataFrame:
+    """The ``most`` words that most documents hold. Counts cover all documents and are partial before they move."""
+    letters = F.split(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]+")
+    counts = docs.select(F.explode(F.array_distinct(letters)).alias("word")).where(F.length("word").between(3, 30)).groupBy("word").agg(F.count("*").alias("n"))
+    return counts.where("n > 1").orderBy(F.desc("n"), "word").limit(most)
+
 
+def _dictionary(docs: DataFrame) -> frozenset[str]:
+    """At most DICTIONARY_WORDS words come to the driver."""
+    return frozenset(r["word"] for r in dictionary_of(docs).select("word").collect())
 
-def labelled_sample(docs: DataFrame, most: int = MAX_FINDINGS) -> DataFrame:
-    """At most ``most`` candidates of each class labelled by form, the first by a hash."""
+
+def labelled_sample(docs: DataFrame, dictionary: frozenset[str], most: int = MAX_FINDINGS) -> DataFrame:
+    """At most ``most`` candidates of each class labelled by context, the first by a hash, each value once."""
+    shared = docs.sparkSession.sparkContext.broadcast(dictionary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for text in b.column("text").cast(pa.binary()).to_pylist():
-                for _, _, features, core in candidates(text or b""):
-                    y = weak_label(core, features)
+                for _, _, features, context, core in candidates(text or b"", shared.value):
+                    y = context_label(context)
                     if y is not None:
                         rows.append([*features, y, xxhash.xxh3_64_intdigest(core) - (1 << 63)])
             cols = list(zip(*rows)) or [[]] * (len(FEATURES) + 2)
@@ -163,9 +186,11 @@ def labelled_sample(docs: DataFrame, most: int = MAX_FINDINGS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], [*FEATURES, "label", "key"])
 
     schema = ", ".join(f"{c} double" for c in FEATURES) + ", label int, key long"
-    found = cut(small_batches(docs.select("text")).mapInArrow(run, schema).dropDuplicates(["key", "key_before", "quoted"]))
-    pick = lambda y: found.where(F.col("label") == y).orderBy("key", "key_before", "quoted").limit(most)
-    return pick(0).unionByName(pick(1)).drop("key")
+    found = small_batches(docs.select("text")).mapInArrow(run, schema)
+    one = found.groupBy("key", "label").agg(F.min(F.struct(*FEATURES)).alias("f"))
+    one = cut(one.select("key", "label", "f.*"))
+    pick = lambda y: one.where(F.col("label") == y).orderBy("key").limit(most)
+    return pick(0).unionByName(pick(1))
 
 
 Forest = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -173,7 +198,7 @@ Forest = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.nd
 
 def train_forest(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = 11) -> Forest | None:
     """The forest as node arrays: roots, feature (-1: leaf), threshold, left, right, probability of a secret."""
-    labelled = cut(labelled.coalesce(2))
+    labelled = cut(labelled.repartition(2))
     if labelled.select("label").distinct().count() < 2:
         return None
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(labelled).select("features", F.col("label").cast("double").alias("label"))
@@ -214,25 +239,34 @@ def forest_scores(forest: Forest | None, rows: np.ndarray) -> np.ndarray:
     return total / len(roots)
 
 
-def _scored(texts: list[bytes | None], forest: Forest | None) -> list[list[tuple[int, int, float, str]]]:
-    found = [candidates(t or b"") for t in texts]
-    rows = np.array([f for per in found for _, _, f, _ in per], float).reshape(-1, len(FEATURES))
-    scores = iter(forest_scores(forest, rows).tolist())
-    return [[(a, b, next(scores), core) for a, b, _, core in per] for per in found]
+Model = tuple[Forest | None, frozenset[str]]
+
+
+def fit(docs: DataFrame, labelled: DataFrame | None = None) -> Model:
+    """The forest and the dictionary, some hundred KB."""
+    dictionary = _dictionary(docs)
+    return train_forest(labelled if labelled is not None else labelled_sample(docs, dictionary).drop("key")), dictionary
+
+
+def _scored(texts: list[bytes | None], model: Model) -> list[list[tuple[int, int, float, str]]]:
+    found = [candidates(t or b"", model[1]) for t in texts]
+    rows = np.array([f for per in found for _, _, f, *_ in per], float).reshape(-1, len(FEATURES))
+    scores = iter(forest_scores(model[0], rows).tolist())
+    return [[(a, b, next(scores), core) for a, b, _, _, core in per] for per in found]
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """doc_id, start, end (code points), length, score, is_secret and masked (the first four characters, of a value under 10 the first) of every candidate."""
-    forest = train_forest(labelled if labelled is not None else labelled_sample(docs))
-    shared = docs.sparkSession.sparkContext.broadcast(forest)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labelled))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text").cast(pa.binary()).to_pylist()
             rows = []
             for i, text, per in zip(b.column("doc_id").to_pylist(), texts, _scored(texts, shared.value)):
-                for x, y, score, core in per:
-                    start = len(text[:x].decode())
+                at = start = 0
+                for x, y, score, core in per:  # in text order, so that each byte is decoded once
+                    start, at = start + len(text[at:x].decode()), x
                     rows.append((i, start, start + len(core), len(core), score, score >= threshold, core[: 4 if len(core) >= 10 else 1] + "…"))
             cols = list(zip(*rows)) or [[]] * 7
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.string()]
@@ -244,18 +278,19 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
 
 def redact(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mark``; all rows and columns stay."""
-    forest = train_forest(labelled if labelled is not None else labelled_sample(docs))
-    shared = docs.sparkSession.sparkContext.broadcast(forest)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labelled))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text").cast(pa.binary()).to_pylist()
             out: list[bytes | None] = []
             for text, per in zip(texts, _scored(texts, shared.value)):
-                for x, y, score, _ in reversed(per):
+                pieces, at = [], 0
+                for x, y, score, _ in per:
                     if score >= threshold:
-                        text = text[:x] + mark.encode() + text[y:]
-                out.append(text)
+                        pieces += [text[at:x], mark.encode()]
+                        at = y
+                out.append(b"".join([*pieces, text[at:]]) if at else text)
             at = b.schema.get_field_index("text")
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string()) if k == at else c for k, c in enumerate(b.columns)], b.schema.names)
 
