@@ -9,15 +9,19 @@ is verified: its distance is computed on the original numbers. A query stops in
 block when a vector at the distance of its k-th best would have reached the
 threshold with probability ``certainty``.
 
-Vectors are dealt into blocks by a hash of their id, so many equal vectors spread
-over all blocks; queries go in blocks too, and a task holds one block of each.
-Each leaves at most k rows a query, and the k best of all blocks are the answer.
+Vectors are dealt into blocks by a hash, so many equal vectors spread over all
+blocks; queries go in blocks too, and a task holds one block of each. Only what
+the windows newly take in is counted at a radius. Each task leaves at most k rows a
+query, and the k best of all tasks are the answer. Every vector meets every query's
+arrays once, so the work grows with vectors times queries, as a stated query set
+against all rows does; blocks only bound memory and what is moved.
 
 Defined results: vectors that are null, zero, or hold null or non-finite numbers
-take no part, nor those with a null id or another length than ``dim`` (by default
-the commonest); repeated rows with one id count once, the least vector of them;
-a query's own id is no candidate; ties go to the smaller id; an empty table
-gives no rows.
+take no part, nor those with a null id or another length than the commonest (of
+equally common lengths the shortest); every row is a candidate, also one of several
+with one id, and a query's own row alone is none; rows that are queries with one id
+each have their ranks; ties go to the smaller id; columns besides the id and the
+vector are not read and may have any name; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,13 +30,15 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import cut, table
 
 PROJECTIONS = 40
-#: A block of this many vectors (64 floats each: 8 MB) and a block of queries fit one task.
-BLOCK_ROWS, QUERY_ROWS = 32768, 2048
+#: A block of this many vectors (64 doubles each: 16 MB, and as much again for its arrays) and a block of queries fit one task.
+BLOCK_ROWS, QUERY_ROWS = 32768, 16384
+#: Queries of a block whose windows are laid out at once.
+AT_ONCE = 512
 
 
 def usable(rows: DataFrame, vector: str = "embedding", id_col: str = "vec_id") -> DataFrame:
@@ -40,8 +46,7 @@ def usable(rows: DataFrame, vector: str = "embedding", id_col: str = "vec_id") -
     v = F.col(vector)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = rows.where(F.col(id_col).isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
-    good = good.select(F.col(id_col).cast("long").alias("vec_id"), v.cast("array<double>").alias("v"))
-    return good.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return good.select(F.col(id_col).cast("long").alias("vec_id"), v.cast("array<double>").alias("v"))
 
 
 def chance(distance: float | np.ndarray, half_window: float, projections: int, threshold: int) -> np.ndarray:
@@ -53,8 +58,11 @@ def chance(distance: float | np.ndarray, half_window: float, projections: int, t
     return np.exp(logs + k * np.log(p) + (projections - k) * np.log1p(-p)).sum(1)
 
 
-def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, seed: int = 7, projections: int = PROJECTIONS, threshold: int | None = None, ratio: float = 1.2, certainty: float = 0.95) -> list[tuple[int, int, float]]:
-    """(query id, vector id, distance) of at most k vectors a query, by collision counting inside one block."""
+def search_block(
+    rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query_rows: np.ndarray, queries: np.ndarray,
+    k: int, seed: int = 7, projections: int = PROJECTIONS, threshold: int | None = None, ratio: float = 1.2, certainty: float = 0.95,
+) -> list[tuple[int, int, float]]:
+    """(query row, vector id, distance) of at most k vectors a query, by collision counting inside one block. Rows tell a query's own vector."""
     threshold = threshold or int(projections * 0.6)
     axes = np.random.Generator(np.random.PCG64(seed)).standard_normal((vectors.shape[1], projections))
     hashes, wanted = (vectors @ axes).T.copy(), (queries @ axes).T.copy()
@@ -67,50 +75,55 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     while halves[-1] < reach:
         halves.append(halves[-1] * ratio)
     levels = np.array(halves)
-    edges_lo = np.stack([np.searchsorted(r, (w[:, None] - levels), "left") for r, w in zip(ranked, wanted)])
-    edges_hi = np.stack([np.searchsorted(r, (w[:, None] + levels), "right") for r, w in zip(ranked, wanted)])
     # The largest distance that each radius finds with the certainty asked for.
     grid = np.geomspace(1e-3, 1e3, 400) * spread
     sure = [grid[np.searchsorted(-chance(grid, h, projections, threshold), -certainty, "right") - 1] for h in halves]
     out: list[tuple[int, int, float]] = []
-    position = {int(i): n for n, i in enumerate(ids)}
-    for n, (q_id, q) in enumerate(zip(query_ids.tolist(), queries)):
-        counts = np.zeros(len(ids), np.int64)
-        seen = np.zeros(len(ids), bool)
-        if q_id in position:
-            seen[position[q_id]] = True  # not its own neighbour
-        best_d, best_i = np.zeros(0), np.zeros(0, np.int64)
-        lo = hi = None
-        for level in range(len(halves)):
-            new_lo, new_hi = edges_lo[:, n, level].tolist(), edges_hi[:, n, level].tolist()
-            if lo is None:
-                parts = [c[x:y] for c, x, y in zip(columns, new_lo, new_hi)]
-            else:
-                parts = [c[x:y] for c, x, y in zip(columns, new_lo, lo) if x < y] + [c[x:y] for c, x, y in zip(columns, hi, new_hi) if x < y]
-            if parts:
-                counts += np.bincount(np.concatenate(parts), minlength=len(ids))
-            lo, hi = new_lo, new_hi
-            found = np.flatnonzero((counts >= threshold) & ~seen)
-            if len(found):
-                seen[found] = True
-                d = np.sqrt(((vectors[found] - q) ** 2).sum(1))
-                d, i = np.concatenate([best_d, d]), np.concatenate([best_i, ids[found]])
-                keep = np.lexsort((i, d))[:k]
-                best_d, best_i = d[keep], i[keep]
-            if len(best_d) >= k and best_d[-1] <= sure[level]:
-                break
-        out += [(q_id, int(i), float(d)) for d, i in zip(best_d, best_i)]
+    position = {int(i): n for n, i in enumerate(rows)}
+    counts, seen = np.zeros(len(ids), np.int32), np.zeros(len(ids), bool)
+    for at in range(0, len(queries), AT_ONCE):
+        part = wanted[:, at : at + AT_ONCE]
+        edges_lo = np.stack([np.searchsorted(r, (w[:, None] - levels), "left") for r, w in zip(ranked, part)])
+        edges_hi = np.stack([np.searchsorted(r, (w[:, None] + levels), "right") for r, w in zip(ranked, part)])
+        for n, (q_row, q) in enumerate(zip(query_rows[at : at + AT_ONCE].tolist(), queries[at : at + AT_ONCE])):
+            counts[:], seen[:] = 0, False
+            if q_row in position:
+                seen[position[q_row]] = True  # not its own neighbour
+            best_d, best_i = np.zeros(0), np.zeros(0, np.int64)
+            lo = hi = None
+            for level in range(len(halves)):
+                new_lo, new_hi = edges_lo[:, n, level].tolist(), edges_hi[:, n, level].tolist()
+                if lo is None:
+                    parts = [c[x:y] for c, x, y in zip(columns, new_lo, new_hi) if x < y]
+                else:
+                    parts = [c[x:y] for c, x, y in zip(columns, new_lo, lo) if x < y] + [c[x:y] for c, x, y in zip(columns, hi, new_hi) if x < y]
+                lo, hi = new_lo, new_hi
+                if not parts:
+                    continue
+                taken = np.concatenate(parts)
+                np.add.at(counts, taken, 1)
+                found = np.unique(taken[(counts[taken] >= threshold) & ~seen[taken]])
+                if len(found):
+                    seen[found] = True
+                    d = np.sqrt(((vectors[found] - q) ** 2).sum(1))
+                    d, i = np.concatenate([best_d, d]), np.concatenate([best_i, ids[found]])
+                    keep = np.lexsort((i, d))[:k]
+                    best_d, best_i = d[keep], i[keep]
+                if len(best_d) >= k and best_d[-1] <= sure[level]:
+                    break
+            out += [(q_row, int(i), float(d)) for d, i in zip(best_d, best_i)]
     return out
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, seed: int = 7) -> DataFrame:
     """query_id, rank, vec_id and score (Euclidean distance) of the k nearest of rows (vec_id, v)."""
-    vectors = cut(vectors)
-    size = vectors.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q"), F.mode(F.size("v")).alias("dim")).first()
-    n_blocks, q_blocks, dim = max(1, -(-size["n"] // block_rows)), max(1, -(-size["q"] // query_rows)), size["dim"] or 0
-    n_blocks = max(n_blocks, min(8, -(-size["n"] // 2048)))  # small tables: use more tasks than one
-    deal = lambda n, s: F.pmod(F.xxhash64(F.lit(s), "vec_id"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    vectors = cut(vectors.select("vec_id", "v", F.monotonically_increasing_id().alias("row")))
+    length = vectors.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).orderBy(F.desc("n"), "dim").first()
+    n, asked_for, dim = (length["n"], length["q"], length["dim"]) if length else (0, 0, 0)
+    n_blocks, q_blocks = max(1, -(-n // block_rows)), max(1, -(-asked_for // query_rows))
+    n_blocks = max(n_blocks, min(8, -(-n // 2048)))  # small tables: use more tasks than one
+    deal = lambda parts, s: F.pmod(F.xxhash64(F.lit(s), "row"), F.lit(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     same = vectors.where(F.size("v") == dim)
     held = same.withColumn("b", deal(n_blocks, 1)).withColumn("qb", every(q_blocks))
     asked = same.where(is_query).withColumn("qb", deal(q_blocks, 2)).withColumn("b", every(n_blocks))
@@ -118,13 +131,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, block_rows: int =
     def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows: list = []
         if len(left) and len(right):
-            rows = search_block(left["vec_id"].to_numpy(), np.stack(left["v"].to_numpy()), right["vec_id"].to_numpy(), np.stack(right["v"].to_numpy()), k, seed)
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    local = held.groupBy("b", "qb").cogroup(asked.groupBy("b", "qb")).applyInPandas(one, "query_id long, vec_id long, score double")
-    # Each block left k rows at most, so a query gathers k times the blocks.
-    best = local.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id"))), 1, k).alias("best"))
-    return best.select("query_id", F.posexplode("best").alias("pos", "b")).select("query_id", (F.col("pos") + 1).alias("rank"), "b.vec_id", "b.score")
+            rows = search_block(left["row"].to_numpy(), left["vec_id"].to_numpy(), np.stack(left["v"].to_numpy()), right["row"].to_numpy(), np.stack(right["v"].to_numpy()), k, seed)
+        return pd.DataFrame(rows, columns=["query", "vec_id", "score"]).astype({"query": "int64", "vec_id": "int64", "score": "float64"})
+
+    local = held.groupBy("b", "qb").cogroup(asked.groupBy("b", "qb")).applyInPandas(one, "query long, vec_id long, score double")
+    # Each task keeps the k best rows of a query before they move.
+    rank = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
+    best = local.withColumn("rank", rank).where(F.col("rank") <= k)
+    return best.join(same.where(is_query).select(F.col("row").alias("query"), F.col("vec_id").alias("query_id")), "query").select("query_id", "rank", "vec_id", "score")
 
 
 def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
