@@ -16,7 +16,7 @@ the chain.
 
 Defined results: null, empty and blank texts have no tokens and score lowest (the
 calibrated value of no evidence); without labels of both classes the score is
-that of the only class (0.5 without labels); repeated rows each get their score,
+that of the only class (0.5 without labels or labelled texts); repeated rows each get their score,
 equal texts equal ones; a null doc_id is never held out; texts of any length are
 read whole; columns besides doc_id and text are carried, unless a result has
 their name; an empty table gives no rows.
@@ -185,15 +185,19 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for text, y in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
             docs[xxhash.xxh3_64_intdigest(text)] = ([w for w in map(normal, text.split()) if w], y)  # copies count once
+    if not any(tokens for tokens, _ in docs.values()):
+        return  # no text has these labels
     weights, trans, scale = train_field([docs[k] for k in sorted(docs)])
     used = np.flatnonzero(np.abs(weights) > 1e-6)
     keys = np.concatenate([used, -1 - np.arange(6)])
     yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([weights[used], trans, scale]))], ["feature", "weight"])
 
 
-def train(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def train(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """The sample is bounded and lies in one partition, so one task walks it; 2 ** BITS + 6 numbers at most come back."""
     model = small_batches(sample).mapInArrow(_train, "feature long, weight double").toPandas()
+    if not len(model):
+        return None
     weights, rest = np.zeros(1 << BITS), np.zeros(6)
     for f, w in zip(model["feature"], model["weight"]):
         if f < 0:
@@ -276,7 +280,7 @@ def tag_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modul
     if n0 and n1:
         model = train(training_sample(docs, labels, label, modulus, held_out, per_class))
     shift = math.log(n1 / n0) - math.log(min(n1, per_class) / min(n0, per_class)) if model else 0.0
-    shared = docs.sparkSession.sparkContext.broadcast((model, shift, 1.0 if n1 and not n0 else 0.0 if n0 else 0.5))
+    shared = docs.sparkSession.sparkContext.broadcast((model, shift, 0.5 if bool(n0) == bool(n1) else float(bool(n1))))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field, shift, alone = shared.value
