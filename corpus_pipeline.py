@@ -5,6 +5,12 @@ toxicity drops documents whose score reaches 0.5 (the field learns from ``labels
 near_duplicates keeps one document of each class; secrets replaces each secret in the text by a mark and keeps
 every document; mixing keeps the documents that the mix takes, one row for each copy; pieces adds a sampled
 segmentation of the text to every row (``ids``, ``n_pieces``, ``lossless``).
+
+Defined results: rows with null columns, null, empty or very long texts go through every stage; toxicity, secrets
+and pieces keep a clean row as often as it comes; near_duplicates keeps all rows without words and one of equal rows;
+mixing takes no row without words, and of rows alike in id, source and size each gets the same number of copies,
+rounded up; ties are broken as the operators say; columns beyond those of ``documents`` are left out by each stage;
+an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -37,7 +43,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as the mix takes it. Rows alike in id, source and size share their copies' count by rank."""
+    """Each row as often as the mix takes it."""
     sizes = cut(sized(docs))
     taken = mix(sizes, source_targets(sizes)).where("taken > 0")
     copies = taken.groupBy("doc_id", "source", "size").agg(F.sum(F.col("taken") / F.col("size")).cast("long").alias("copies"), F.count("*").alias("rows"))
