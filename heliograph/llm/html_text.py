@@ -16,8 +16,8 @@ but those under page furniture (menus, headers, footers, sidebars, notices,
 adverts, forms, reader comments), which the template's paths name. Texts that are
 template tokens themselves are dropped, nothing else.
 
-Where most of a page's text would be template, as with copies and near copies of
-a page, the page keeps it. Pages without a template (no host in the url, a host of
+Where a block that would be template is by far the longest of a page, as with
+copies and near copies of a page, the page keeps all its blocks. Pages without a template (no host in the url, a host of
 fewer than three pages) are read by their elements alone: the article element
 where there is one, else what is no furniture.
 
@@ -256,15 +256,16 @@ def in_order(places: list[int]) -> list[int]:
     return out[::-1]
 
 
-def main_text(page: str | None, template: Template | None, share: float = 0.5) -> str:
+def main_text(page: str | None, template: Template | None, copied: float = 3.0) -> str:
     """The text in the slots of the page; ``template`` None: of a page that is read by its elements alone."""
     every = tokens(page)
     only = template is None and any(article for _, text, _, article in every if text is not None)
     own = [i for i, (_, text, furniture, article) in enumerate(every) if text is not None and not furniture and (article or not only)]
     fixed = template.marked([_token(path, text) for path, text, *_ in every]) if template else set()
     slots = [i for i in own if i not in fixed]
-    # A page whose text others of its host repeat for the most part, as copies do, keeps it.
-    if sum(len(every[i][1]) for i in slots) < share * sum(len(every[i][1]) for i in own):
+    # Where a block that others of the host repeat is by far the longest, the page is a copy of theirs and keeps it.
+    longest = lambda part: max((len(every[i][1]) for i in part), default=0)
+    if longest(i for i in own if i in fixed) >= copied * longest(slots):
         slots = own
     return "\n".join(every[i][1] for i in slots)
 
