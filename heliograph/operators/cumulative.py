@@ -29,9 +29,11 @@ DEC = "decimal(38,0)"
 def _rows(df: DataFrame, request: Series, key: list[str]) -> DataFrame:
     """Snapshots in the window with their stream key and dimensions. The window comes first: a stream's first row in it is its base."""
     rows = in_window(df, request.start, request.end).where((F.col("MetricName") == request.metric_name) & (F.col("AggregationTemporality") == 2))
-    stream = F.struct(*key, *[canonical(m).alias(m) for m in MAPS])
+    identity = [*map(F.col, key), *map(canonical, MAPS)]
+    # 128 bits of the identity.
+    stream = F.struct(F.xxhash64(F.lit(1), *identity).alias("x"), F.xxhash64(F.lit(2), *identity).alias("y"))
     dims = {d.replace("-", "_"): dimension(d, request.max_text_length) for d in request.group_by}
-    return rows.withColumns({"stream": F.sha2(F.to_json(stream), 256), "t": F.col("time_unix") * NANOS, "s": F.col("start_time_unix") * NANOS, **dims})
+    return rows.withColumns({"stream": stream, "t": F.col("time_unix") * NANOS, "s": F.col("start_time_unix") * NANOS, **dims})
 
 
 def _intervals(rows: DataFrame, request: Series, amount: str, smaller: Column, extrema: Column, delta: dict[str, Column], empty: Column) -> DataFrame:
@@ -77,20 +79,45 @@ def violations(rows: DataFrame, dims: list[str], more: DataFrame | None = None)
 
 
 def _settle(rows: DataFrame, found: DataFrame, strict: bool) -> DataFrame:
-    """Strict: the first code raises. Else: streams without violations remain."""
-    if strict:
-        order = F.array_position(F.array(*map(F.lit, CODES)), F.col("code"))
-        first = found.orderBy(order).select("code").limit(1).collect()
-        if first:
-            raise TelemetryViolation(first[0]["code"])
-        return rows
-    return rows.join(found.select("stream").distinct(), "stream", "left_anti")
+    """Strict: all rows, whose codes are checked when they have been summed. Else: streams without violations remain."""
+    return rows if strict else rows.join(found.select("stream").distinct(), "stream", "left_anti")
 
 
 def _groups(request: Series) -> list[str]:
     return ["bucket_start_nanos"] * (request.bucket_nanos is not None) + [d.replace("-", "_") for d in request.group_by]
 
 
+def _rank(code: Column) -> Column:
+    return F.array_position(F.array(*map(F.lit, CODES)), code)
+
+
+#: What a sum of rows keeps for the check: the first code, and whether streams meet.
+CHECKS = {"_code": lambda: F.min(_rank(F.col("code"))), "_lo": lambda: F.min("stream"), "_hi": lambda: F.max("stream")}
+
+
+def _checked(sums: DataFrame, dims: list[str], strict: bool) -> DataFrame:
+    """Rows of ``sums`` that hold intervals. Strict: the first code raises; intervals are differenced once, and their sums, a row for each
+    bucket and projection, are kept for the check and the result."""
+    if strict:
+        sums = sums.persist()
+        bounds = "bounds" in sums.columns
+        per = sums.groupBy(*dims).agg(F.min("_code").alias("code"), F.min("_lo").alias("lo"), F.max("_hi").alias("hi"), *([F.min("bounds").alias("b_lo"), F.max("bounds").alias("b_hi")] if bounds else []))
+        changed = F.when(F.col("b_lo") != F.col("b_hi"), _rank(F.lit("boundary_change"))) if bounds else F.lit(None).cast("bigint")
+        many = F.when(F.col("lo") != F.col("hi"), _rank(F.lit("ambiguous_projection")))
+        first = per.agg(F.min(F.least("code", many, changed)).alias("first")).first()["first"]
+        if first is not None:
+            sums.unpersist()
+            raise TelemetryViolation(CODES[first - 1])
+    return sums.where("interval_count > 0").drop(*CHECKS)
+
+
+def _types(df: DataFrame, want: dict[str, str]) -> None:
+    """Stored types that are not those of the table fail before any job."""
+    have = dict(df.dtypes)
+    if any(have.get(c) != t for c, t in want.items()):
+        raise TelemetryViolation("type_drift")
+
+
 def counter_intervals(df: DataFrame, request: Series) -> DataFrame:
     rows = _rows(df.where("IsMonotonic"), request, COUNTER_KEY)
     bad = (F.col("s") > F.col("t")) | ~finite(F.col("Value")) | (F.col("Value") < 0)
@@ -100,16 +127,19 @@ def counter_intervals(df: DataFrame, request: Series) -> DataFrame:
 
 def counter_series(df: DataFrame, request: Series, strict: bool = True) -> DataFrame:
     """Increase and rate of cumulative monotonic sums, with interval and reset counts."""
+    _types(df, {"Value": "double", "AggregationTemporality": "int", "IsMonotonic": "boolean"})
     rows = counter_intervals(df, request)
     dims = [d.replace("-", "_") for d in request.group_by]
-    rows = _settle(rows, violations(rows, dims), strict).where("used")
+    rows = rows if strict else _settle(rows, violations(rows, dims), strict)
     groups = _groups(request)
-    seconds = F.sum("length").cast("double") / NANOS
-    out = rows.groupBy(*groups).agg(
-        *[{"increase": F.sum("Value"), "rate": F.sum("Value") / seconds}[a].alias(a) for a in request.aggregates],
-        F.count("*").alias("interval_count"), F.count_if("reset").alias("reset_count"), F.sum("length").alias("observed_duration_nanos"),
-    ).where("interval_count > 0")
-    return out.orderBy(*groups).limit(request.limit) if groups else out
+    used = lambda c: F.sum(F.when(F.col("used"), F.col(c)))
+    seconds = used("length").cast("double") / NANOS
+    sums = rows.groupBy(*groups).agg(
+        *[{"increase": used("Value"), "rate": used("Value") / seconds}[a].alias(a) for a in request.aggregates],
+        F.count_if("used").alias("interval_count"), F.count_if(F.col("used") & F.col("reset")).alias("reset_count"), used("length").alias("observed_duration_nanos"), *[c().alias(n) for n, c in CHECKS.items()],
+    )
+    out = _checked(sums, dims, strict)
+    return out.orderBy(*groups).limit(request.limit) if groups and request.limit is not None else out
 
 
 def _zip(op, a: Column, b: Column) -> Column:
@@ -125,7 +155,7 @@ def histogram_intervals(df: DataFrame, request: Series) -> DataFrame:
         (F.col("s") <= F.col("t")) & (F.col("Flags") == 0) & (F.size(buckets) == F.size(bounds) + 1) & F.forall(bounds, finite) & rising
         & F.forall(buckets, lambda x: x >= 0) & (total == count) & finite(F.col("Sum")) & ((count == 0) | (F.col("Min") <= F.col("Max"))) & ((count > 0) | (F.col("Sum") == 0))
     )
-    rows = rows.withColumns({"code": F.when(~F.coalesce(good, F.lit(False)), F.lit("invalid_row")), "bounds": F.to_json(F.array(bounds))})
+    rows = rows.withColumns({"code": F.when(~F.coalesce(good, F.lit(False)), F.lit("invalid_row")), "bounds": bounds})
     smaller = (count < F.col("p.Count")) | F.exists(_zip(lambda a, b: a < b, buckets, F.col("p.BucketCounts")), lambda x: F.coalesce(x, F.lit(False)))
     inward = (count > 0) & (F.col("p.Count") > 0) & ((F.col("Min") > F.col("p.Min")) | (F.col("Max") < F.col("p.Max")))
     delta = {"BucketCounts": _zip(lambda a, b: (a - b).cast("decimal(20,0)"), buckets, F.col("p.BucketCounts")), "Sum": F.col("Sum") - F.col("p.Sum"), "Count": (count - F.col("p.Count")).cast("decimal(20,0)")}
@@ -158,19 +188,29 @@ QUANTILES = {"p50": (1, 2), "p95": (19, 20), "p99": (99, 100)}
 
 def histogram_series(df: DataFrame, request: Series, strict: bool = True) -> DataFrame:
     """Histograms of what happened between snapshots, merged by bucket and dimensions."""
+    _types(df, {"Count": "decimal(20,0)", "Sum": "double", "BucketCounts": "array<decimal(20,0)>", "ExplicitBounds": "array<double>", "Min": "double", "Max": "double"})
     rows = histogram_intervals(df, request)
     dims = [d.replace("-", "_") for d in request.group_by]
-    changed = rows.groupBy("stream").agg(F.min("bounds").alias("lo"), F.max("bounds").alias("hi")).where("lo != hi").select("stream", F.lit("boundary_change").alias("code"), F.lit(None).cast("long").alias("t"))
-    rows = _settle(rows, violations(rows, dims, changed), strict).where("used")
+    if not strict:
+        changed = rows.groupBy("stream").agg(F.min("bounds").alias("lo"), F.max("bounds").alias("hi")).where("lo != hi").select("stream", F.lit("boundary_change").alias("code"), F.lit(None).cast("long").alias("t"))
+        rows = _settle(rows, violations(rows, dims, changed), strict)
     groups = _groups(request)
     keys = [*groups, "bounds"]
-    totals = rows.groupBy(*keys).agg(F.sum("Count").cast(DEC).alias("count"), F.sum("Sum").alias("sum"), F.count("*").alias("interval_count"), F.count_if("reset").alias("reset_count"), F.sum("length").alias("observed_duration_nanos"), F.first("ExplicitBounds").alias("explicit_bounds"))
-    # Buckets are summed by position before they are listed, so partial sums work.
-    cells = rows.select(*keys, F.posexplode("BucketCounts").alias("pos", "c")).groupBy(*keys, "pos").agg(F.sum("c").cast(DEC).alias("c"))
-    merged = cells.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "c"))), lambda x: x["c"]).alias("bucket_counts"))
-    same = [totals[k].eqNullSafe(merged[k]) for k in keys]
-    joined = totals.join(merged, same).select(*[totals[c] for c in totals.columns], merged["bucket_counts"])
+    # Buckets are summed by position before they are listed, so partial sums work; what is no bucket is summed at the first position.
+    cells = rows.select(*keys, "used", "reset", "code", "stream", "Count", "Sum", "length", F.posexplode_outer("BucketCounts").alias("pos", "c"))
+    used, once = F.col("used"), F.col("used") & (F.coalesce("pos", F.lit(0)) == 0)
+    total = lambda c, when: F.sum(F.when(when, F.col(c)))
+    cells = cells.groupBy(*keys, "pos").agg(
+        total("c", used).cast(DEC).alias("c"), total("Count", once).cast(DEC).alias("count"), total("Sum", once).alias("sum"), F.count_if(once).alias("interval_count"),
+        F.count_if(once & F.col("reset")).alias("reset_count"), total("length", once).alias("observed_duration_nanos"), *[c().alias(n) for n, c in CHECKS.items()],
+    )
+    counts = F.transform(F.array_sort(F.collect_list(F.struct("pos", "c"))), lambda x: x["c"])
+    sums = cells.groupBy(*keys).agg(
+        counts.alias("bucket_counts"), *[F.sum(c).alias(c) for c in ("count", "sum", "interval_count", "reset_count", "observed_duration_nanos")],
+        F.min("_code").alias("_code"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"),
+    )
+    joined = _checked(sums, dims, strict).withColumn("count", F.col("count").cast(DEC))
     measure = {"count": F.col("count"), "sum": F.col("sum"), "avg": F.when(F.col("count") > 0, F.col("sum") / F.col("count").cast("double"))}
-    measure |= {q: bounded_quantile(F.col("bucket_counts"), F.col("explicit_bounds"), F.col("count"), *QUANTILES[q]) for q in QUANTILES}
-    out = joined.select(*groups, *[measure[a].alias(a) for a in request.aggregates], "explicit_bounds", "interval_count", "reset_count", "observed_duration_nanos")
-    return out.orderBy(*groups).limit(request.limit) if groups else out
+    measure |= {q: bounded_quantile(F.col("bucket_counts"), F.col("bounds"), F.col("count"), *QUANTILES[q]) for q in QUANTILES}
+    out = joined.select(*groups, *[measure[a].alias(a) for a in request.aggregates], F.col("bounds").alias("explicit_bounds"), "interval_count", "reset_count", "observed_duration_nanos")
+    return out.orderBy(*groups).limit(request.limit) if groups and request.limit is not None else out

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources import schema as s
+from . import typed
 
 NANOS = 1_000_000_000
 
@@ -23,12 +24,20 @@ def attribute_map(attrs: Column) -> Column:
     entries = F.filter(F.coalesce(attrs, F.array().cast(s.ATTRS)), lambda e: e["key"].isNotNull())
 
     def last(all_: Column) -> Column:
-        kept = F.filter(all_, lambda e, i: ~F.exists(F.slice(all_, i + 2, F.size(all_)), lambda later: later["key"] == e["key"]))
-        return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["key"], value_text(e["value"]))))
+        texts = F.transform(all_, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), value_text(e["value"]).alias("text")))
+        # Only where a key comes twice are entries sorted, so that the last of each is the one before another key.
+        kept = F.transform(F.array(F.array_sort(texts)), lambda x: F.filter(x, lambda e, i: ~F.coalesce(F.get(x, i + 1)["key"] == e["key"], F.lit(False))))
+        once = F.size(F.array_distinct(all_["key"])) == F.size(all_)
+        return F.map_from_entries(F.transform(F.when(once, texts).otherwise(F.element_at(kept, 1)), lambda e: F.struct(e["key"], e["text"])))
 
     return F.element_at(F.transform(F.array(entries), last), 1)
 
 
+def _typed(fields: list[typed.TypedField], places: dict[str, str]) -> list[Column]:
+    """Value and status columns of typed fields, from the entries column of each location."""
+    return [c.alias(n) for f in fields for n, c in typed.project(F.col(places[f.location]), f).items()]
+
+
 def service_name(resource_map: Column, fallback: str) -> Column:
     return F.coalesce(F.try_element_at(resource_map, F.lit("service.name")), F.lit(fallback))
 
@@ -60,7 +69,7 @@ def _list(c: Column, kind: str) -> Column:
     return F.coalesce(c, F.array().cast(kind))
 
 
-def spans(records: DataFrame, fallback_service: str = "unknown_service") -> DataFrame:
+def spans(records: DataFrame, fallback_service: str = "unknown_service", fields: list[typed.TypedField] = []) -> DataFrame:
     df = records.withColumns({"_resource": attribute_map(F.col("resource.attributes"))})
     events, links = F.coalesce("events", F.array().cast(s.SPAN_RECORD["events"].dataType)), F.coalesce("links", F.array().cast(s.SPAN_RECORD["links"].dataType))
     return df.select(
@@ -77,10 +86,11 @@ def spans(records: DataFrame, fallback_service: str = "unknown_service") -> Data
         F.transform(links, lambda e: trace_state(e["span_context"]["trace_state"])).alias("links_trace_state"), F.transform(links, lambda e: attribute_map(e["attributes"])).alias("links_attributes"),
         F.to_json(F.transform(events, lambda e: F.struct(e["timestamp_unix_nano"].alias("timestamp"), text(e["name"]).alias("name"), attribute_map(e["attributes"]).alias("attributes")))).alias("EventsJSON"),
         F.to_json(F.transform(links, lambda e: F.struct(text(e["span_context"]["trace_id"]).alias("trace_id"), text(e["span_context"]["span_id"]).alias("span_id"), attribute_map(e["attributes"]).alias("attributes")))).alias("LinksJSON"),
+        *_typed(fields, {"resource": "resource.attributes", "scope": "scope.attributes", "span": "attributes"}),
     )
 
 
-def logs(records: DataFrame, fallback_service: str = "") -> DataFrame:
+def logs(records: DataFrame, fallback_service: str = "", fields: list[typed.TypedField] = []) -> DataFrame:
     """Event time, or observed time where it is missing or zero."""
     when = F.coalesce(F.nullif(F.col("timestamp_unix_nano"), F.lit(0)), F.col("observed_time_unix_nano"), F.lit(0)).cast("long")
     df = records.withColumns({"_resource": attribute_map(F.col("resource.attributes"))})
@@ -90,16 +100,18 @@ def logs(records: DataFrame, fallback_service: str = "") -> DataFrame:
         value_text(F.col("body")).alias("Body"), text(F.col("resource.schema_url")).alias("ResourceSchemaUrl"), F.col("_resource").alias("ResourceAttributes"),
         text(F.col("scope.schema_url")).alias("ScopeSchemaUrl"), text(F.col("scope.name")).alias("ScopeName"), text(F.col("scope.version")).alias("ScopeVersion"),
         attribute_map(F.col("scope.attributes")).alias("ScopeAttributes"), attribute_map(F.col("attributes")).alias("LogAttributes"), text(F.col("event_name")).alias("EventName"),
+        *_typed(fields, {"log": "attributes"}),
     )
 
 
-def metric_points(records: DataFrame) -> DataFrame:
-    """One row for each data point: resource, scope, metric, point."""
-    df = records.select("resource", F.explode("scope_metrics").alias("sm")).select("resource", F.col("sm.scope").alias("scope"), F.explode("sm.metrics").alias("metric"))
+def metric_points(records: DataFrame, kind: str | None = None) -> DataFrame:
+    """One row for each data point: resource, scope, metric, point. Metrics of other kinds than ``kind`` go before their points are laid out."""
+    metrics = F.col("sm.metrics") if kind is None else F.filter("sm.metrics", lambda m: m["type"] == kind)
+    df = records.select("resource", F.explode("scope_metrics").alias("sm")).select("resource", F.col("sm.scope").alias("scope"), F.explode(metrics).alias("metric"))
     return df.select("resource", "scope", "metric", F.explode("metric.data_points").alias("point"))
 
 
-def _metrics(points: DataFrame, kind: str, fallback_service: str, *own: Column, tail: tuple[Column, ...] = ()) -> DataFrame:
+def _metrics(points: DataFrame, kind: str, fallback_service: str, fields: list[typed.TypedField], *own: Column, tail: tuple[Column, ...] = ()) -> DataFrame:
     df = points.where(F.col("metric.type") == kind).withColumn("_resource", attribute_map(F.col("resource.attributes")))
     empty = lambda k: F.array().cast(k)
     return df.select(
@@ -110,22 +122,23 @@ def _metrics(points: DataFrame, kind: str, fallback_service: str, *own: Column,
         whole_seconds(F.col("point.start_time_unix_nano")).alias("start_time_unix"), whole_seconds(F.col("point.time_unix_nano")).alias("time_unix"), *own,
         F.lit(0).cast("long").alias("Flags"), empty("array<map<string,string>>").alias("exemplars_filtered_attributes"), empty("array<bigint>").alias("exemplars_time_unix"),
         empty("array<double>").alias("exemplars_value"), empty("array<string>").alias("exemplars_span_id"), empty("array<string>").alias("exemplars_trace_id"), *tail,
+        *_typed(fields, {"resource": "resource.attributes", "scope": "scope.attributes", "point": "point.attributes"}),
     )
 
 
-def gauges(points: DataFrame, fallback_service: str = "") -> DataFrame:
-    return _metrics(points, "gauge", fallback_service, F.col("point.value").cast("double").alias("Value"))
+def gauges(points: DataFrame, fallback_service: str = "", fields: list[typed.TypedField] = []) -> DataFrame:
+    return _metrics(points, "gauge", fallback_service, fields, F.col("point.value").cast("double").alias("Value"))
 
 
-def sums(points: DataFrame, fallback_service: str = "") -> DataFrame:
+def sums(points: DataFrame, fallback_service: str = "", fields: list[typed.TypedField] = []) -> DataFrame:
     tail = (temporality(F.col("metric.temporality")).alias("AggregationTemporality"), F.coalesce("metric.monotonic", F.lit(False)).alias("IsMonotonic"))
-    return _metrics(points, "sum", fallback_service, F.col("point.value").cast("double").alias("Value"), tail=tail)
+    return _metrics(points, "sum", fallback_service, fields, F.col("point.value").cast("double").alias("Value"), tail=tail)
 
 
-def histograms(points: DataFrame, fallback_service: str = "") -> DataFrame:
+def histograms(points: DataFrame, fallback_service: str = "", fields: list[typed.TypedField] = []) -> DataFrame:
     own = (F.col("point.count").alias("Count"), F.coalesce("point.sum", F.lit(0.0)).alias("Sum"), F.col("point.bucket_counts").alias("BucketCounts"), F.col("metric.explicit_bounds").alias("ExplicitBounds"))
     tail = (F.coalesce("point.min", F.lit(0.0)).alias("Min"), F.coalesce("point.max", F.lit(0.0)).alias("Max"), temporality(F.col("metric.temporality")).alias("AggregationTemporality"))
-    return _metrics(points, "histogram", fallback_service, *own, tail=tail)
+    return _metrics(points, "histogram", fallback_service, fields, *own, tail=tail)
 
 
 def finite(c: Column) -> Column:

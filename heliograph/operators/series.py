@@ -30,8 +30,11 @@ def group_columns(request: Series, bucket_of: Column | None) -> list[Column]:
     return cols + [dimension(d, request.max_text_length).alias(d.replace("-", "_")) for d in request.group_by]
 
 
-def metric_series(df: DataFrame, request: Series, approximate: bool = False) -> DataFrame:
-    """Aggregates of the stored points; of histograms only those with delta temporality. No row stands for no points."""
+def metric_series(df: DataFrame, request: Series, approximate: bool = True) -> DataFrame:
+    """Aggregates of the stored points; of histograms only those with delta temporality. No row stands for no points.
+
+    Percentiles are sketched, in bounded memory; exact ones keep a group's distinct values and are made on request.
+    """
     rows = in_window(df, request.start, request.end).where(F.col("MetricName") == request.metric_name)
     if request.kind == "histogram":
         rows = rows.where("AggregationTemporality = 1")
@@ -40,4 +43,4 @@ def metric_series(df: DataFrame, request: Series, approximate: bool = False) ->
     measures = _measures(request, approximate)
     names = ["bucket_start_nanos"] * bool(b) + [d.replace("-", "_") for d in request.group_by]
     out = rows.groupBy(*groups).agg(*[measures[a].alias(a) for a in request.aggregates], F.count("*").alias("_n")).where("_n > 0").drop("_n")
-    return out.orderBy(*names).limit(request.limit) if names else out.limit(request.limit)
+    return out if request.limit is None or not names else out.orderBy(*names).limit(request.limit)

@@ -6,17 +6,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import cumulative, ingest, reports, scan, series, typed
 from ..sources import adapters as a, schema
-from .requests import Limits, Series, TopValues
+from .requests import MAX_INT64, Limits, Series, TopValues
 
-DAY0 = 1_705_276_800  # 2024-01-15
-START, END = DAY0 * 10**9, (DAY0 + 86_400) * 10**9
-ALL = Limits(max_window_nanos=40 * 86_400 * 10**9, max_rows=1_000_000)
+#: All of time: every query reads its whole tables.
+START, END = 0, MAX_INT64
+ALL = Limits(max_window_nanos=MAX_INT64)
 
 E = """e AS (SELECT *, epoch_us(ts) * 1000 AS tns, 'svc-' || (user_id % 5) AS svc, (props->>'$.k') AS k, lpad(user_id::VARCHAR, 32, '0') AS trace, lpad(event_id::VARCHAR, 16, '0') AS span,
  CASE WHEN user_id % 2 = 0 THEN 'prod' ELSE 'test' END AS env, CASE WHEN event_id % 2 = 0 THEN 'GET' ELSE 'POST' END AS method, CASE WHEN event_id % 3 = 0 THEN 'Server' ELSE 'Internal' END AS kind,
  CASE WHEN event_type = 'error' THEN 'Error' ELSE 'Ok' END AS status, round(value * 1e6)::BIGINT AS duration, epoch_us(ts) // 1000000 AS sec FROM events)"""
-W = f"day AS (SELECT * FROM e WHERE tns >= {START} AND tns < {END})"
-WS = f"day AS (SELECT * FROM e WHERE sec * 1000000000 >= {START} AND sec * 1000000000 < {END})"
 GRID = """h AS (SELECT event_type, svc, sec - sec % 86400 AS d, ((sec % 86400) // 3600)::INT + 1 AS hour, count(*) AS c, sum(value) AS v,
  count(*) FILTER (value <= 25) AS b0, count(*) FILTER (value > 25 AND value <= 50) AS b1, count(*) FILTER (value > 50 AND value <= 100) AS b2, count(*) FILTER (value > 100 AND value <= 200) AS b3, count(*) FILTER (value > 200) AS b4 FROM e GROUP BY ALL),
 g AS (SELECT k.event_type, k.svc, k.d, k.hour, coalesce(c, 0) AS c, coalesce(v, 0) AS v, coalesce(b0, 0) AS b0, coalesce(b1, 0) AS b1, coalesce(b2, 0) AS b2, coalesce(b3, 0) AS b3, coalesce(b4, 0) AS b4
@@ -40,11 +38,11 @@ def _logs(spark, d):
 
 
 def d_1a(spark, d):
-    return series.top_values(a.spans(spark, d), TopValues("spans", list(SPAN_FIELDS), START, END, 5))
+    return series.top_values(a.spans(spark, d), TopValues("spans", list(SPAN_FIELDS), START, END, 5, limits=ALL))
 
 
 def d_1b(spark, d):
-    return series.top_values(_logs(spark, d), TopValues("logs", ["service-name", "severity-text", "event-name", "scope-name", "trace-id"], START, END, 5))
+    return series.top_values(_logs(spark, d), TopValues("logs", ["service-name", "severity-text", "event-name", "scope-name", "trace-id"], START, END, 5, limits=ALL))
 
 
 def a_8(spark, d):
@@ -54,7 +52,7 @@ def a_8(spark, d):
 
 def d_1c(spark, d):
     u = scan.metric_union(a.gauges(spark, d), a.sums(spark, d, True), a.histograms(spark, d, True))
-    return series.top_values(u, TopValues("metrics", ["service-name", "metric-name", "metric-unit", "scope-name"], START, END, 5))
+    return series.top_values(u, TopValues("metrics", ["service-name", "metric-name", "metric-unit", "scope-name"], START, END, 5, limits=ALL))
 
 
 def a_7(spark, d):
@@ -62,34 +60,33 @@ def a_7(spark, d):
 
 
 def d_2(spark, d):
-    q = Series("gauge", "event.value", START, END, ["count", "sum", "min", "max", "avg", "p50", "p95", "p99"], ["service-name"], "1h", 1000, limits=ALL)
-    return r6(series.metric_series(a.gauges(spark, d), q), "sum", "avg", "p50", "p95", "p99")
+    q = Series("gauge", "event.value", START, END, ["count", "sum", "min", "max", "avg", "p50", "p95", "p99"], ["service-name"], "1h", None, limits=ALL)
+    return r6(series.metric_series(a.gauges(spark, d), q, approximate=False), "sum", "avg", "p50", "p95", "p99")
 
 
 def d_3(spark, d):
-    q = Series("sum", "events.view", START, END, ["count", "sum", "max", "avg"], ["service-name"], limits=ALL)
+    q = Series("sum", "events.view", START, END, ["count", "sum", "max", "avg"], ["service-name"], limit=None, limits=ALL)
     return r6(series.metric_series(a.sums(spark, d, False), q), "sum", "avg")
 
 
 def d_4(spark, d):
-    q = Series("histogram", "latency.view", START, END, ["count", "sum", "avg"], ["service-name"], "1h", 1000, limits=ALL)
+    q = Series("histogram", "latency.view", START, END, ["count", "sum", "avg"], ["service-name"], "1h", None, limits=ALL)
     both = a.histograms(spark, d, False).unionByName(a.histograms(spark, d, True))
     return r6(series.metric_series(both, q), "sum", "avg").withColumn("count", F.col("count").cast("long"))
 
 
 def d_5(spark, d):
     """No row for a metric without points."""
-    return series.metric_series(a.gauges(spark, d), Series("gauge", "no.such.metric", START, END, ["count", "sum"]))
+    return series.metric_series(a.gauges(spark, d), Series("gauge", "no.such.metric", START, END, ["count", "sum"], limits=ALL))
 
 
 def d_6(spark, d):
-    q = Series("cumulative-counter", "events.click", START, END, ["increase", "rate"], ["service-name"], "1h", 1000, temporality="cumulative", monotonic=True, limits=ALL)
-    both = a.sums(spark, d, True).unionByName(a.sums(spark, d, False))
-    return r6(cumulative.counter_series(both, q), "increase", "rate")
+    q = Series("cumulative-counter", "events.click", START, END, ["increase", "rate"], ["service-name"], "1h", None, temporality="cumulative", monotonic=True, limits=ALL)
+    return r6(cumulative.counter_series(a.all_sums(spark, d), q), "increase", "rate")
 
 
 def d_7(spark, d):
-    q = Series("cumulative-histogram", "latency.view", START, END, ["count", "sum", "avg", "p50", "p95"], ["service-name"], temporality="cumulative", limits=ALL)
+    q = Series("cumulative-histogram", "latency.view", START, END, ["count", "sum", "avg", "p50", "p95"], ["service-name"], limit=None, temporality="cumulative", limits=ALL)
     out = cumulative.histogram_series(a.histograms(spark, d, True), q)
     flat = out.select(
         "service_name", F.col("count").cast("long").alias("count"), "sum", "avg", F.col("p50.estimate").alias("p50"), F.col("p50.max_error").alias("p50_error"), F.col("p50.in_bucket").cast("long").alias("p50_in_bucket"),
@@ -99,12 +96,18 @@ def d_7(spark, d):
 
 
 def d_23(spark, d):
-    return r6(reports.dashboard(a.spans(spark, d)), "p95_ms")
+    return r6(reports.dashboard(a.spans(spark, d), approximate=False), "p95_ms")
 
 
 def d_24(spark, d):
-    out = reports.digest(a.spans(spark, d).drop("k"), "otel_traces").unionByName(reports.digest(_logs(spark, d), "otel_logs"))
-    return out.select("name", "rows")
+    return reports.digest(a.spans(spark, d).drop("k"), "otel_traces").unionByName(reports.digest(_logs(spark, d), "otel_logs"))
+
+
+def d_24b(spark, d):
+    """Rows that one side lacks: the reader misses some spans and has others with another status."""
+    written = a.spans(spark, d)
+    read = written.where("event_id % 50 != 0").withColumn("StatusCode", F.when(F.col("event_id") % 75 == 1, "Lost").otherwise(F.col("StatusCode")))
+    return reports.difference(written, read).select("side", "SpanId", "StatusCode")
 
 
 def d_25(spark, d):
@@ -121,8 +124,13 @@ def _typed_logs(spark, d):
 
 
 def _typed_points(kind):
+    """Points of the kind: gauges with the event's k, running sums and hourly histograms with their hour as k."""
+
     def rows(spark, d):
-        base = a.gauges(spark, d).withColumns({"Attributes": F.create_map(F.lit("k"), F.col("k")), "Count": F.lit(1).cast("decimal(20,0)")})
+        base = {"gauge": a.gauges, "sum": lambda s, p: a.sums(s, p, True), "histogram": lambda s, p: a.histograms(s, p, False)}[kind](spark, d)
+        if kind != "gauge":
+            base = base.withColumns({"event_id": F.col("hour"), "k": F.col("hour").cast("string")})
+        base = base.withColumn("Attributes", F.create_map(F.lit("k"), F.col("k")))
         return a.typed_rows(base, f"otel_metrics_{kind}", "metrics", "point", "Attributes", "event_type")
 
     return rows
@@ -130,7 +138,7 @@ def _typed_points(kind):
 
 def d_8(spark, d):
     rows, fields = _typed_spans(spark, d)
-    return typed.typed_values(rows, fields, START, END, 1000, ALL)
+    return typed.typed_values(rows, fields, START, END, None, ALL)
 
 
 def d_9(spark, d):
@@ -140,7 +148,7 @@ def d_9(spark, d):
 
 def d_10(spark, d):
     rows, fields = _typed_spans(spark, d)
-    return typed.typed_coverage(rows, fields[0], START, END, ALL)
+    return typed.typed_coverage(rows, typed.bound_field(fields, typed.binding_of(fields[0])), START, END, ALL)
 
 
 def d_11(spark, d):
@@ -175,7 +183,9 @@ def _point_queries(kind):
 def b_1(spark, d):
     rows = ingest.spans(a.span_records(spark, d))
     schema.conform(rows, schema.SPANS)
-    return rows.select("timestamp_nanos", "TraceId", "SpanId", "ParentSpanId", "TraceState", "SpanName", "SpanKind", "ServiceName", "Duration", "StatusCode", F.col("SpanAttributes")["k"].alias("k"), F.col("SpanAttributes")["type"].alias("type"), F.col("SpanAttributes")["odd"].alias("odd"))
+    return rows.select("timestamp_nanos", "TraceId", "SpanId", "ParentSpanId", "TraceState", "SpanName", "SpanKind", "ServiceName", "Duration", "StatusCode", F.col("SpanAttributes")["k"].alias("k"), F.col("SpanAttributes")["type"].alias("type"), F.col("SpanAttributes")["odd"].alias("odd"),
+        F.get("events_timestamp", F.lit(0)).alias("event_at"), F.get("events_name", F.lit(0)).alias("event_name"), F.get("events_attributes", F.lit(0))["k"].alias("event_k"), F.get("links_trace_id", F.lit(0)).alias("link_trace"),
+        F.get("links_span_id", F.lit(0)).alias("link_span"), F.get("links_trace_state", F.lit(0)).alias("link_state"), F.get("links_attributes", F.lit(0))["why"].alias("link_why"), "EventsJSON", "LinksJSON")
 
 
 def b_2(spark, d):
@@ -183,7 +193,11 @@ def b_2(spark, d):
 
 
 def b_23(spark, d):
-    good, bad = ingest.split_violations(ingest.spans(a.span_records(spark, d)))
+    """Every 40th span starts before time."""
+    records = a.span_records(spark, d)
+    number = F.col("span_context.span_id").cast("long")
+    records = records.withColumn("start_time_unix_nano", F.when(number % 40 == 0, -F.col("start_time_unix_nano")).otherwise(F.col("start_time_unix_nano")))
+    good, bad = ingest.split_violations(ingest.spans(records))
     return good.agg(F.count("*").alias("n")).withColumn("side", F.lit("good")).unionByName(bad.agg(F.count("*").alias("n")).withColumn("side", F.lit("bad")))
 
 
@@ -227,69 +241,70 @@ def _point(name, own):
         point = F.struct(F.col("tns").alias("start_time_unix_nano"), (F.col("tns") + 1_500_000_000).alias("time_unix_nano"), null(schema.ATTRS).alias("attributes"), F.col("value").alias("value"), F.lit(1).cast("decimal(20,0)").alias("count"), F.col("value").alias("sum"), bucket.alias("bucket_counts"), null("double").alias("min"), F.col("value").alias("max"))
         metric = lambda kind: F.struct(F.concat(F.lit("m."), "event_type").alias("name"), null("string").alias("description"), F.lit("ms").alias("unit"), F.lit(kind).alias("type"), F.when(F.col("event_id") % 2 == 0, "delta").otherwise("cumulative").alias("temporality"), F.lit(True).alias("monotonic"), F.array(*map(F.lit, a.BOUNDS)).alias("explicit_bounds"), F.array(point, point).alias("data_points"))
         records = e.select(null(schema.RESOURCE).alias("resource"), F.array(F.struct(null(schema.SCOPE).alias("scope"), F.array(metric("gauge"), metric("sum"), metric("histogram")).alias("metrics"))).alias("scope_metrics"))
-        return own(ingest.metric_points(records))
+        return own(records)
 
     query.__name__ = name
     return query
 
 
-b_5 = _point("b_5", lambda p: r6(ingest.gauges(p).groupBy("MetricName", "start_time_unix").agg(F.count("*").alias("n"), F.sum("Value").alias("total"), F.max("time_unix").alias("last")), "total"))
-b_6 = _point("b_6", lambda p: r6(ingest.sums(p).groupBy("MetricName", "AggregationTemporality", "IsMonotonic").agg(F.count("*").alias("n"), F.sum("Value").alias("total")), "total"))
-b_7 = _point("b_7", lambda p: r6(ingest.histograms(p).groupBy("MetricName").agg(F.count("*").alias("n"), F.sum("Sum").alias("total"), F.max("Min").alias("least"), F.sum(F.get("BucketCounts", F.lit(0))).cast("long").alias("b0")), "total"))
+b_5 = _point("b_5", lambda r: r6(ingest.gauges(ingest.metric_points(r, "gauge")).groupBy("MetricName", "start_time_unix").agg(F.count("*").alias("n"), F.sum("Value").alias("total"), F.max("time_unix").alias("last")), "total"))
+b_6 = _point("b_6", lambda r: r6(ingest.sums(ingest.metric_points(r, "sum")).groupBy("MetricName", "AggregationTemporality", "IsMonotonic").agg(F.count("*").alias("n"), F.sum("Value").alias("total")), "total"))
+b_7 = _point("b_7", lambda r: r6(ingest.histograms(ingest.metric_points(r, "histogram")).groupBy("MetricName").agg(F.count("*").alias("n"), F.sum("Sum").alias("total"), F.max("Min").alias("least"), F.sum(F.get("BucketCounts", F.lit(0))).cast("long").alias("b0")), "total"))
 
-QUERIES = {f.__name__: f for f in (a_7, a_8, a_14, b_1, b_2, b_5, b_6, b_7, b_23, b_25, c_3, c_5, c_7, d_1a, d_1b, d_1c, d_2, d_3, d_4, d_5, d_6, d_7, d_8, d_9, d_10, d_11, d_12, d_13, d_23, d_24, d_25)}
+QUERIES = {f.__name__: f for f in (a_7, a_8, a_14, b_1, b_2, b_5, b_6, b_7, b_23, b_25, c_3, c_5, c_7, d_1a, d_1b, d_1c, d_2, d_3, d_4, d_5, d_6, d_7, d_8, d_9, d_10, d_11, d_12, d_13, d_23, d_24, d_24b, d_25)}
 for _n, _k in ((17, "gauge"), (18, "sum"), (19, "histogram")):
     QUERIES[f"d_{_n}"], QUERIES[f"d_{_n + 3}"] = _point_queries(_k)
 
 STATUS = "CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 WHEN 'error' THEN 4 ELSE 3 END"
 NOTE_STATUS = "CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 WHEN 'signup' THEN 2 ELSE 3 END"
 COVER = "SELECT count(*) AS total, count(*) FILTER (st = 3) AS valid, count(*) FILTER (st = 2) AS present_empty, count(*) FILTER (st = 1) AS absent, count(*) FILTER (st = 4) AS invalid, count(*) FILTER (st = 0 AND held) AS fallback, count(*) FILTER (st = 0 AND NOT held) AS unavailable, 0::BIGINT AS unknown_status FROM"
-GROUP_W = f"WHERE d + hour * 3600 >= {DAY0} AND d + hour * 3600 < {DAY0 + 86400}"
 ORDER_SPANS = "s AS (SELECT epoch_us(o_orderdate::TIMESTAMP) // 1000000 AS t, o_orderkey::VARCHAR AS TraceId, o_orderkey::VARCHAR AS SpanId, '' AS ParentSpanId FROM orders UNION ALL SELECT epoch_us(l_shipdate::TIMESTAMP) // 1000000, l_orderkey::VARCHAR, (l_orderkey * 10 + l_linenumber)::VARCHAR, l_orderkey::VARCHAR FROM lineitem)"
 UNION = f"u AS (SELECT 'event.value' AS name, svc, sec AS t FROM e UNION ALL SELECT 'events.' || event_type, svc, d + hour * 3600 FROM g UNION ALL SELECT 'latency.' || event_type, svc, d + hour * 3600 FROM g)"
 
 ORACLES = {
-    "a_7": f"WITH {E}, {W} SELECT trace AS TraceId, span AS SpanId, tns AS timestamp_nanos, event_type AS SpanName, svc AS ServiceName, duration AS Duration FROM day",
+    "a_7": f"WITH {E} SELECT trace AS TraceId, span AS SpanId, tns AS timestamp_nanos, event_type AS SpanName, svc AS ServiceName, duration AS Duration FROM e",
     "a_8": f"WITH {E}, {GRID}, {UNION} SELECT name AS MetricName, svc AS ServiceName, count(*) AS n FROM u GROUP BY 1, 2",
     "a_14": f"WITH {ORDER_SPANS} SELECT TraceId, SpanId, ParentSpanId, t * 1000000000 AS timestamp_nanos FROM s WHERE TraceId = '1'",
-    "b_1": f"WITH {E} SELECT tns AS timestamp_nanos, trace AS TraceId, span AS SpanId, '' AS ParentSpanId, 'a=1,b=' || event_type AS TraceState, event_type AS SpanName, kind AS SpanKind, CASE WHEN user_id % 7 = 0 THEN '' ELSE svc END AS ServiceName, greatest(0, duration - 5000000) AS Duration, CASE WHEN event_type = 'error' THEN 'Error' ELSE 'Unset' END AS StatusCode, k, upper(event_type) AS type, CASE WHEN event_id % 2 = 1 THEN 'true' ELSE 'false' END AS odd FROM e",
+    "b_1": f"WITH {E} SELECT tns AS timestamp_nanos, trace AS TraceId, span AS SpanId, '' AS ParentSpanId, 'a=1,b=' || event_type AS TraceState, event_type AS SpanName, kind AS SpanKind, CASE WHEN user_id % 7 = 0 THEN '' ELSE svc END AS ServiceName, greatest(0, duration - 5000000) AS Duration, CASE WHEN event_type = 'error' THEN 'Error' ELSE 'Unset' END AS StatusCode, k, upper(event_type) AS type, CASE WHEN event_id % 2 = 1 THEN 'true' ELSE 'false' END AS odd, CASE WHEN event_type = 'purchase' THEN tns + 1 END AS event_at, CASE WHEN event_type = 'purchase' THEN 'paid' END AS event_name, CASE WHEN event_type = 'purchase' THEN k END AS event_k, CASE WHEN event_type = 'signup' THEN 'root' END AS link_trace, CASE WHEN event_type = 'signup' THEN event_id::VARCHAR END AS link_span, CASE WHEN event_type = 'signup' THEN 's=1' END AS link_state, CASE WHEN event_type = 'signup' THEN 'first' END AS link_why, CASE WHEN event_type = 'purchase' THEN '[{{\"timestamp\":' || (tns + 1) || ',\"name\":\"paid\",\"attributes\":{{\"k\":\"' || k || '\"}}}}]' ELSE '[]' END AS EventsJSON, CASE WHEN event_type = 'signup' THEN '[{{\"trace_id\":\"root\",\"span_id\":\"' || event_id || '\",\"attributes\":{{\"why\":\"first\"}}}}]' ELSE '[]' END AS LinksJSON FROM e",
     "b_2": f"WITH {E} SELECT tns AS timestamp_nanos, trace AS TraceId, span AS SpanId, 1 AS TraceFlags, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS SeverityText, CASE WHEN event_type = 'error' THEN 17 ELSE 9 END AS SeverityNumber, svc AS ServiceName, props AS Body, event_type AS EventName, user_id::VARCHAR AS user_id FROM e",
     "b_5": f"WITH {E} SELECT 'm.' || event_type AS MetricName, sec AS start_time_unix, 2 * count(*) AS n, round(2 * sum(value), 6) AS total, max((tns + 1500000000) // 1000000000) AS last FROM e GROUP BY 1, 2",
     "b_6": f"WITH {E} SELECT 'm.' || event_type AS MetricName, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 2 END AS AggregationTemporality, true AS IsMonotonic, 2 * count(*) AS n, round(2 * sum(value), 6) AS total FROM e GROUP BY 1, 2",
     "b_7": f"WITH {E} SELECT 'm.' || event_type AS MetricName, 2 * count(*) AS n, round(2 * sum(value), 6) AS total, 0.0::DOUBLE AS least, 2 * count(*) FILTER (value <= 25) AS b0 FROM e GROUP BY 1",
-    "b_23": "SELECT count(*) AS n, 'good' AS side FROM events UNION ALL SELECT 0, 'bad'",
+    "b_23": "SELECT count(*) AS n, CASE WHEN event_id % 40 = 0 THEN 'bad' ELSE 'good' END AS side FROM events GROUP BY 2",
     "b_25": f"WITH {ORDER_SPANS} SELECT TraceId, min(t) AS start_unix, max(t) AS end_unix FROM s GROUP BY 1",
     "c_3": """WITH k AS (SELECT DISTINCT 'event.' || event_type AS key, event_type FROM events), i AS (SELECT *, sha256('{"signal":"traces","table":"otel_traces","location":"span","key":"' || key || '"}') AS h FROM k)
  SELECT key, CASE event_type WHEN 'click' THEN 'int64' WHEN 'view' THEN 'conflict' ELSE 'string' END AS type, 'manifest,source' AS provenance, CASE WHEN event_type = 'view' THEN '' ELSE 'attribute_' || h[:20] END AS attribute_id, CASE WHEN event_type = 'view' THEN '' ELSE 'av_traces_span_event_' || event_type || '_' || h[:16] END AS value_column FROM i""",
     "c_5": "SELECT s.state, s.expected, (SELECT count(*) FROM events) AS historical FROM (VALUES ('ok', 'bigint'), ('ok', 'smallint'), ('ok', 'string'), ('missing', 'smallint')) s(state, expected)",
     "c_7": f"WITH {E}, t AS (SELECT *, {STATUS} AS st, {NOTE_STATUS} AS ns FROM e) SELECT event_type AS SpanName, " + ", ".join(f"count(*) FILTER ({c} = {i}) AS {n}_{i}" for n, c in (("k", "st"), ("note", "ns")) for i in range(5)) + ", sum(CASE WHEN st = 3 THEN k::BIGINT ELSE 0 END)::BIGINT AS k_sum FROM t GROUP BY 1",
-    "d_1a": f"WITH {E}, {W} " + _top(SPAN_FIELDS, "day", "spans", 5),
-    "d_1b": f"WITH {E}, {W} " + _top({"service-name": "svc", "severity-text": "CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END", "event-name": "event_type", "scope-name": "''", "trace-id": "trace"}, "day", "logs", 5),
-    "d_1c": f"WITH {E}, {GRID}, {UNION}, day AS (SELECT * FROM u WHERE t >= {DAY0} AND t < {DAY0 + 86400}) " + _top({"service-name": "svc", "metric-name": "name", "metric-unit": "'ms'", "scope-name": "CASE WHEN name != '' THEN 'events' END"}, "day", "metrics", 5),
-    "d_2": f"WITH {E}, {WS} SELECT (sec - sec % 3600) * 1000000000 AS bucket_start_nanos, svc AS service_name, count(*) AS count, round(sum(value), 6) AS sum, min(value) AS min, max(value) AS max, round(avg(value), 6) AS avg, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99 FROM day GROUP BY 1, 2",
-    "d_3": f"WITH {E}, {GRID} SELECT svc AS service_name, count(*) AS count, round(sum(c)::DOUBLE, 6) AS sum, max(c)::DOUBLE AS max, round(avg(c), 6) AS avg FROM g {GROUP_W} AND event_type = 'view' GROUP BY 1",
-    "d_4": f"WITH {E}, {GRID} SELECT (d + hour * 3600) * 1000000000 AS bucket_start_nanos, svc AS service_name, sum(c)::BIGINT AS count, round(sum(v), 6) AS sum, CASE WHEN sum(c) = 0 THEN 0.0 ELSE round(sum(v) / sum(c), 6) END AS avg FROM g {GROUP_W} AND event_type = 'view' GROUP BY 1, 2",
+    "d_1a": f"WITH {E} " + _top(SPAN_FIELDS, "e", "spans", 5),
+    "d_1b": f"WITH {E} " + _top({"service-name": "svc", "severity-text": "CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END", "event-name": "event_type", "scope-name": "''", "trace-id": "trace"}, "e", "logs", 5),
+    "d_1c": f"WITH {E}, {GRID}, {UNION} " + _top({"service-name": "svc", "metric-name": "name", "metric-unit": "'ms'", "scope-name": "CASE WHEN name != '' THEN 'events' END"}, "u", "metrics", 5),
+    "d_2": f"WITH {E} SELECT (sec - sec % 3600) * 1000000000 AS bucket_start_nanos, svc AS service_name, count(*) AS count, round(sum(value), 6) AS sum, min(value) AS min, max(value) AS max, round(avg(value), 6) AS avg, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99 FROM e GROUP BY 1, 2",
+    "d_3": f"WITH {E}, {GRID} SELECT svc AS service_name, count(*) AS count, round(sum(c)::DOUBLE, 6) AS sum, max(c)::DOUBLE AS max, round(avg(c), 6) AS avg FROM g WHERE event_type = 'view' GROUP BY 1",
+    "d_4": f"WITH {E}, {GRID} SELECT (d + hour * 3600) * 1000000000 AS bucket_start_nanos, svc AS service_name, sum(c)::BIGINT AS count, round(sum(v), 6) AS sum, CASE WHEN sum(c) = 0 THEN 0.0 ELSE round(sum(v) / sum(c), 6) END AS avg FROM g WHERE event_type = 'view' GROUP BY 1, 2",
     "d_5": "SELECT 0::BIGINT AS count, 0.0::DOUBLE AS sum WHERE false",
-    "d_6": f"""WITH {E}, {GRID}, r AS (SELECT svc, d AS s, d + hour * 3600 AS t, sum(c) OVER (PARTITION BY svc, d ORDER BY hour) AS total FROM g WHERE event_type = 'click'), w AS (SELECT *, lag(t) OVER p AS pt, lag(s) OVER p AS ps, lag(total) OVER p AS pv FROM r WHERE t >= {DAY0} AND t < {DAY0 + 86400} WINDOW p AS (PARTITION BY svc ORDER BY t)),
- i AS (SELECT svc, t, CASE WHEN pt IS NULL OR s > ps THEN s ELSE pt END AS b, (pt IS NULL OR s > ps) AS reset, CASE WHEN pt IS NULL OR s > ps THEN total ELSE total - pv END AS v FROM w WHERE pt IS NOT NULL OR s >= {DAY0})
+    "d_6": f"""WITH {E}, {GRID}, r AS (SELECT svc, d AS s, d + hour * 3600 AS t, sum(c) OVER (PARTITION BY svc, d ORDER BY hour) AS total FROM g WHERE event_type = 'click'), w AS (SELECT *, lag(t) OVER p AS pt, lag(s) OVER p AS ps, lag(total) OVER p AS pv FROM r WINDOW p AS (PARTITION BY svc ORDER BY t)),
+ i AS (SELECT svc, t, CASE WHEN pt IS NULL OR s > ps THEN s ELSE pt END AS b, (pt IS NULL OR s > ps) AS reset, CASE WHEN pt IS NULL OR s > ps THEN total ELSE total - pv END AS v FROM w)
  SELECT ((t - 1) // 3600 * 3600) * 1000000000 AS bucket_start_nanos, svc AS service_name, round(sum(v)::DOUBLE, 6) AS increase, round(sum(v) / sum(t - b), 6) AS rate, count(*) AS interval_count, count(*) FILTER (reset) AS reset_count, (sum(t - b) * 1000000000)::BIGINT AS observed_duration_nanos FROM i WHERE t > b GROUP BY 1, 2""",
-    "d_7": f"""WITH {E}, {GRID}, m AS (SELECT svc, sum(c) AS n, sum(v) AS total, sum(b0) AS b0, sum(b1) AS b1, sum(b2) AS b2, sum(b3) AS b3, sum(b4) AS b4, count(*) AS ic FROM g {GROUP_W} AND d = {DAY0} AND event_type = 'view' GROUP BY 1),
+    "d_7": f"""WITH {E}, {GRID}, m AS (SELECT svc, sum(c) AS n, sum(v) AS total, sum(b0) AS b0, sum(b1) AS b1, sum(b2) AS b2, sum(b3) AS b3, sum(b4) AS b4, count(*) AS ic, count(DISTINCT d) AS rc FROM g WHERE event_type = 'view' GROUP BY 1),
  x AS (SELECT *, unnest([0.5, 0.95]) AS q FROM m), y AS (SELECT *, q * n AS rank, CASE WHEN b0 >= q * n THEN 0 WHEN b0 + b1 >= q * n THEN 1 WHEN b0 + b1 + b2 >= q * n THEN 2 WHEN b0 + b1 + b2 + b3 >= q * n THEN 3 ELSE 4 END AS pos FROM x),
  z AS (SELECT *, [b0, b1, b2, b3, b4][pos + 1] AS inb, [0, b0, b0 + b1, b0 + b1 + b2, b0 + b1 + b2 + b3][pos + 1] AS below, CASE WHEN pos BETWEEN 1 AND 3 THEN [25, 50, 100, 200][pos] END AS lo, CASE WHEN pos BETWEEN 1 AND 3 THEN [25, 50, 100, 200][pos + 1] END AS hi FROM y),
  f AS (SELECT *, CASE WHEN n > 0 THEN lo + (hi - lo) * (rank - below) / inb END AS est FROM z)
- SELECT svc AS service_name, any_value(n)::BIGINT AS count, round(any_value(total), 6) AS sum, round(any_value(total / nullif(n, 0)), 6) AS avg, round(max(est) FILTER (q = 0.5), 6)::DOUBLE AS p50, round(max(greatest(est - lo, hi - est)) FILTER (q = 0.5), 6)::DOUBLE AS p50_error, max(CASE WHEN n > 0 THEN inb END) FILTER (q = 0.5)::BIGINT AS p50_in_bucket, round(max(est) FILTER (q = 0.95), 6)::DOUBLE AS p95, any_value(ic) AS interval_count, 1::BIGINT AS reset_count, (any_value(ic) * 3600 * 1000000000)::BIGINT AS observed_duration_nanos FROM f GROUP BY 1""",
-    "d_8": f"""WITH {E}, {W}, t AS (SELECT *, {STATUS} AS st, {NOTE_STATUS} AS ns FROM day), v AS (SELECT 'k' AS attribute_key, 'span' AS location, CASE WHEN st = 3 THEN k WHEN st IN (0, 4) AND event_id % 2 = 0 THEN k END AS value, st AS typed_status FROM t UNION ALL SELECT 'note', 'span', CASE WHEN ns = 2 THEN '' WHEN ns = 3 THEN 'n-' || event_type END, ns FROM t)
- SELECT attribute_key, location, value, typed_status, CASE WHEN typed_status IN (2, 3) THEN 'typed' ELSE 'fallback' END AS source, count(*) AS count FROM v WHERE value IS NOT NULL GROUP BY ALL ORDER BY attribute_key, location, count DESC, value, typed_status LIMIT 1000""",
-    "d_9": f"WITH {E}, {W} SELECT trace AS TraceId, span AS SpanId, tns AS timestamp_nanos, event_type AS SpanName, svc AS ServiceName, duration AS Duration, status AS StatusCode, k::BIGINT AS typed_value FROM day WHERE {STATUS} = 3 AND k::BIGINT >= 50 ORDER BY tns DESC, trace, span LIMIT 50",
-    "d_10": f"WITH {E}, {W} {COVER} (SELECT {STATUS} AS st, event_id % 2 = 0 AS held FROM day)",
-    "d_11": f"WITH {E}, {W} SELECT svc AS service_name, count(*) AS count, min(k::BIGINT) AS min, max(k::BIGINT) AS max, round(avg(k::BIGINT), 6) AS avg FROM day WHERE {STATUS} = 3 AND k::BIGINT >= 10 AND k::BIGINT < 90 GROUP BY 1",
-    "d_12": f"WITH {E}, {W} SELECT trace AS TraceId, span AS SpanId, tns AS timestamp_nanos, svc AS ServiceName, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS SeverityText, props AS Body, 'n-' || event_type AS typed_value FROM day WHERE event_type = 'purchase' ORDER BY tns DESC, trace, span LIMIT 50",
-    "d_13": f"WITH {E}, {W} {COVER} (SELECT {NOTE_STATUS} AS st, false AS held FROM day)",
+ SELECT svc AS service_name, any_value(n)::BIGINT AS count, round(any_value(total), 6) AS sum, round(any_value(total / nullif(n, 0)), 6) AS avg, round(max(est) FILTER (q = 0.5), 6)::DOUBLE AS p50, round(max(greatest(est - lo, hi - est)) FILTER (q = 0.5), 6)::DOUBLE AS p50_error, max(CASE WHEN n > 0 THEN inb END) FILTER (q = 0.5)::BIGINT AS p50_in_bucket, round(max(est) FILTER (q = 0.95), 6)::DOUBLE AS p95, any_value(ic) AS interval_count, any_value(rc) AS reset_count, (any_value(ic) * 3600 * 1000000000)::BIGINT AS observed_duration_nanos FROM f GROUP BY 1""",
+    "d_8": f"""WITH {E}, t AS (SELECT *, {STATUS} AS st, {NOTE_STATUS} AS ns FROM e), v AS (SELECT 'k' AS attribute_key, 'span' AS location, CASE WHEN st = 3 THEN k WHEN st IN (0, 4) AND event_id % 2 = 0 THEN k END AS value, st AS typed_status FROM t UNION ALL SELECT 'note', 'span', CASE WHEN ns = 2 THEN '' WHEN ns = 3 THEN 'n-' || event_type END, ns FROM t)
+ SELECT attribute_key, location, value, typed_status, CASE WHEN typed_status IN (2, 3) THEN 'typed' ELSE 'fallback' END AS source, count(*) AS count FROM v WHERE value IS NOT NULL GROUP BY ALL""",
+    "d_9": f"WITH {E} SELECT trace AS TraceId, span AS SpanId, tns AS timestamp_nanos, event_type AS SpanName, svc AS ServiceName, duration AS Duration, status AS StatusCode, k::BIGINT AS typed_value FROM e WHERE {STATUS} = 3 AND k::BIGINT >= 50 ORDER BY tns DESC, trace, span LIMIT 50",
+    "d_10": f"WITH {E} {COVER} (SELECT {STATUS} AS st, event_id % 2 = 0 AS held FROM e)",
+    "d_11": f"WITH {E} SELECT svc AS service_name, count(*) AS count, min(k::BIGINT) AS min, max(k::BIGINT) AS max, round(avg(k::BIGINT), 6) AS avg FROM e WHERE {STATUS} = 3 AND k::BIGINT >= 10 AND k::BIGINT < 90 GROUP BY 1",
+    "d_12": f"WITH {E} SELECT trace AS TraceId, span AS SpanId, tns AS timestamp_nanos, svc AS ServiceName, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS SeverityText, props AS Body, 'n-' || event_type AS typed_value FROM e WHERE event_type = 'purchase' ORDER BY tns DESC, trace, span LIMIT 50",
+    "d_13": f"WITH {E} {COVER} (SELECT {NOTE_STATUS} AS st, false AS held FROM e)",
     "d_23": f"WITH {E} SELECT event_type AS SpanName, count(*) AS n, round(quantile_cont(duration / 1e6, 0.95), 6) AS p95_ms FROM e GROUP BY 1 ORDER BY n DESC, 1 LIMIT 8",
-    "d_24": "SELECT 'otel_traces' AS name, count(*) AS rows FROM events UNION ALL SELECT 'otel_logs', count(*) FROM events",
+    "d_24": f"WITH {E}, r AS (SELECT 'otel_traces' AS name, concat_ws(chr(31), tns, trace, span, '', event_type, kind, svc, '', duration, status, 'http.request.method=' || method || ',k=' || coalesce(k, ''), 'deployment.environment.name=' || env, event_id) AS t FROM e UNION ALL SELECT 'otel_logs', concat_ws(chr(31), tns, trace, span, 1, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END, CASE WHEN event_type = 'error' THEN 17 ELSE 9 END, svc, props, '', 'service.name=' || svc, '', '', '', '', 'k=' || k || ',user.id=' || user_id, event_type) FROM e) SELECT name, count(*) AS rows, sum(('0x' || left(md5(t), 15))::BIGINT)::VARCHAR AS digest FROM r GROUP BY 1",
+    "d_24b": f"WITH {E} SELECT 'written' AS side, span AS SpanId, status AS StatusCode FROM e WHERE event_id % 50 = 0 OR event_id % 75 = 1 UNION ALL SELECT 'read', span, 'Lost' FROM e WHERE event_id % 50 != 0 AND event_id % 75 = 1",
     "d_25": f"WITH {E} SELECT svc AS span_service, event_type AS SpanName, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS SeverityText, count(*) AS n FROM e GROUP BY ALL",
 }
-for _n in (17, 18, 19):
-    ORACLES[f"d_{_n}"] = f"WITH {E}, {WS} {COVER} (SELECT {STATUS} AS st, event_id % 2 = 0 AS held FROM day)"
-    _v = "1.0::DOUBLE" if _n == 19 else "value"
-    ORACLES[f"d_{_n + 3}"] = f"WITH {E}, {WS} SELECT sec AS time_unix, 'event.value' AS MetricName, svc AS ServiceName, {_v} AS point, k::BIGINT AS typed_value FROM day WHERE {STATUS} = 3 AND k::BIGINT < 20"
+ORACLES["d_17"] = f"WITH {E} {COVER} (SELECT {STATUS} AS st, event_id % 2 = 0 AS held FROM e)"
+ORACLES["d_20"] = f"WITH {E} SELECT sec AS time_unix, 'event.value' AS MetricName, svc AS ServiceName, value AS point, k::BIGINT AS typed_value FROM e WHERE {STATUS} = 3 AND k::BIGINT < 20"
+for _n, _stem, _v in ((18, "events.", "sum(c) OVER (PARTITION BY event_type, svc, d ORDER BY hour)"), (19, "latency.", "c")):
+    ORACLES[f"d_{_n}"] = f"WITH {E}, {GRID} {COVER} (SELECT {STATUS} AS st, hour % 2 = 0 AS held FROM g)"
+    ORACLES[f"d_{_n + 3}"] = f"WITH {E}, {GRID}, p AS (SELECT *, ({_v})::DOUBLE AS point FROM g) SELECT d + hour * 3600 AS time_unix, '{_stem}' || event_type AS MetricName, svc AS ServiceName, point, hour::BIGINT AS typed_value FROM p WHERE {STATUS} = 3 AND hour < 20"

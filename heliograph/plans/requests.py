@@ -89,7 +89,7 @@ class Series:
     aggregates: list[str]
     group_by: list[str] = field(default_factory=list)
     bucket: str = "none"
-    limit: int = 100
+    limit: int | None = 100
     max_text_length: int = 128
     temporality: str | None = None
     monotonic: bool | None = None
@@ -109,7 +109,8 @@ class Series:
         check_list("aggregates", self.aggregates, AGGREGATES[self.kind], len(AGGREGATES[self.kind]), 1)
         if self.bucket not in BUCKETS:
             raise InvalidRequest("invalid_bucket")
-        check_range("limit", self.limit, 1, self.limits.max_rows)
+        if self.limit is not None:  # None: all rows, in no order
+            check_range("limit", self.limit, 1, self.limits.max_rows)
         check_range("max_text_length", self.max_text_length, 1, self.limits.max_text)
 
     @property

@@ -49,11 +49,14 @@ def span_records(spark: SparkSession, d: str) -> DataFrame:
     entry = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
     attrs = F.array(entry("k", value(int_value=F.col("k").cast("long"))), entry("type", value(string_value=F.col("event_type"))), entry("type", value(string_value=F.upper("event_type"))), entry("odd", value(bool_value=F.col("event_id") % 2 == 1)))
     null = lambda name: F.lit(None).cast(s.SPAN_RECORD[name].dataType).alias(name)
+    event = F.when(F.col("event_type") == "purchase", F.array(F.struct((F.col("tns") + 1).alias("timestamp_unix_nano"), F.lit("paid").alias("name"), F.array(entry("k", value(int_value=F.col("k").cast("long")))).alias("attributes"))))
+    linked = F.struct(F.lit("root").alias("trace_id"), F.col("event_id").cast("string").alias("span_id"), F.array(F.struct(F.lit("s").alias("key"), F.lit("1").alias("value"))).alias("trace_state"))
+    link = F.when(F.col("event_type") == "signup", F.array(F.struct(linked.alias("span_context"), F.array(entry("why", value(string_value=F.lit("first")))).alias("attributes"))))
     return e.select(
         F.col("event_type").alias("name"), F.when(F.col("event_id") % 3 == 0, F.lit("server")).alias("kind"), F.col("tns").alias("start_time_unix_nano"), (F.col("tns") + F.round(F.col("value") * 1e6).cast("long") - 5_000_000).alias("end_time_unix_nano"),
         F.struct(F.lpad(F.col("user_id").cast("string"), 32, "0").alias("trace_id"), F.lpad(F.col("event_id").cast("string"), 16, "0").alias("span_id"), F.array(F.struct(F.lit("a").alias("key"), F.lit("1").alias("value")), F.struct(F.lit("b").alias("key"), F.col("event_type").alias("value"))).alias("trace_state")).alias("span_context"),
         null("parent_span_id"), F.struct(F.array(entry("service.name", value(string_value=F.when(F.col("user_id") % 7 != 0, F.col("svc"))))).alias("attributes"), F.lit(None).cast("string").alias("schema_url")).alias("resource"),
-        null("scope"), attrs.alias("attributes"), null("events"), null("links"), F.struct(F.when(F.col("event_type") == "error", F.lit("error")).alias("code"), F.lit(None).cast("string").alias("description")).alias("status"),
+        null("scope"), attrs.alias("attributes"), event.alias("events"), link.alias("links"), F.struct(F.when(F.col("event_type") == "error", F.lit("error")).alias("code"), F.lit(None).cast("string").alias("description")).alias("status"),
     )
 
 
@@ -98,6 +101,15 @@ def _grid(spark: SparkSession, d: str) -> DataFrame:
     return every.join(hours, ["event_type", "svc", "day", "hour"], "left").fillna(0, ["c", "v", *[f"b{i}" for i in range(5)]])
 
 
+def all_sums(spark: SparkSession, d: str) -> DataFrame:
+    """Running counts of the day (temporality 2) and hourly counts (temporality 1), from one grid."""
+    g, w = _grid(spark, d), Window.partitionBy("event_type", "svc", "day").orderBy("hour")
+    g = g.withColumn("both", F.array(F.struct(F.lit(2).alias("t"), F.sum("c").over(w).alias("v")), F.struct(F.lit(1).alias("t"), F.col("c").alias("v"))))
+    g = g.select("event_type", "svc", "day", "hour", F.explode("both").alias("b")).withColumn("Value", F.col("b.v").cast("double"))
+    g = _metric_columns(g, F.concat(F.lit("events."), "event_type"), F.create_map(F.lit("event_type"), F.col("event_type")), F.col("day"), F.col("day") + F.col("hour") * 3600)
+    return g.withColumns({"AggregationTemporality": F.col("b.t"), "IsMonotonic": F.lit(True)})
+
+
 def sums(spark: SparkSession, d: str, cumulative: bool) -> DataFrame:
     g, w = _grid(spark, d), Window.partitionBy("event_type", "svc", "day").orderBy("hour")
     g = g.withColumn("Value", (F.sum("c").over(w) if cumulative else F.col("c")).cast("double"))

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
-from ..operators import ingest
+from ..operators import ingest, typed
 from ..sources import schema as s
 
+Fields = Sequence[typed.TypedField]
 SORT = {"otel_traces": ["ServiceName", "SpanName", "timestamp_nanos"], "otel_logs": ["five_minutes", "ServiceName", "timestamp_nanos"]}
 
 
@@ -24,9 +25,9 @@ def dated(df: DataFrame) -> DataFrame:
     return df.withColumn("event_date", F.date_add(F.lit("1970-01-01").cast("date"), F.floor(at / F.lit(86_400_000_000_000)).cast("int")))
 
 
-def append(df: DataFrame, path: str, table: str, batch: str | None = None) -> None:
-    """Append rows, partitioned by date and sorted inside files; a named batch overwrites its own directory only, so a retry adds nothing."""
-    out = dated(s.conform(df, s.TABLES[table]))
+def append(df: DataFrame, path: str, table: str, batch: str | None = None, fields: Fields = ()) -> None:
+    """Append rows, with the typed columns of ``fields``, partitioned by date and sorted inside files; a named batch overwrites its own directory only, so a retry adds nothing."""
+    out = dated(s.conform(df, s.TABLES[table], tuple(typed.expected_columns([*fields]))))
     if table == "otel_logs":
         out = out.withColumn("five_minutes", F.floor(F.col("timestamp_nanos") / F.lit(300_000_000_000)))
     out = out.sortWithinPartitions(*SORT.get(table, ["ServiceName", "MetricName", "time_unix"])).drop("five_minutes")
@@ -53,26 +54,41 @@ def _each(path: str, write: Callable[[DataFrame, str], None]) -> Callable[[DataF
     return run
 
 
-def span_stream(records: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+def _store(rows: DataFrame, path: str, table: str, number: str, fields: Fields) -> DataFrame:
+    """Valid rows into their table, the others with their violations beside it. Gives the valid ones."""
+    good, bad = ingest.split_violations(rows)
+    append(good, path, table, number, fields)
+    bad.write.mode("overwrite").parquet(f"{path}/rejected/{table}/batch={number}")
+    return good
+
+
+def _of(fields: Fields, table: str) -> list[typed.TypedField]:
+    return [f for f in fields if f.table == table]
+
+
+def span_stream(records: DataFrame, path: str, checkpoint: str, fields: Fields = ()) -> DataStreamWriter:
+    own = _of(fields, "otel_traces")
+
     def write(batch: DataFrame, number: str) -> None:
-        good, _ = ingest.split_violations(ingest.spans(batch))
-        append(good, path, "otel_traces", number)
-        append_lookup(good, path, number)
+        append_lookup(_store(ingest.spans(batch, fields=own), path, "otel_traces", number, own), path, number)
 
     return records.writeStream.foreachBatch(_each(path, write)).option("checkpointLocation", checkpoint)
 
 
-def log_stream(records: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+def log_stream(records: DataFrame, path: str, checkpoint: str, fields: Fields = ()) -> DataStreamWriter:
+    own = _of(fields, "otel_logs")
+
     def write(batch: DataFrame, number: str) -> None:
-        append(ingest.split_violations(ingest.logs(batch))[0], path, "otel_logs", number)
+        _store(ingest.logs(batch, fields=own), path, "otel_logs", number, own)
 
     return records.writeStream.foreachBatch(_each(path, write)).option("checkpointLocation", checkpoint)
 
 
-def metric_stream(records: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+def metric_stream(records: DataFrame, path: str, checkpoint: str, fields: Fields = ()) -> DataStreamWriter:
     def write(batch: DataFrame, number: str) -> None:
-        points = ingest.metric_points(batch)
-        for table, rows in (("otel_metrics_gauge", ingest.gauges(points)), ("otel_metrics_sum", ingest.sums(points)), ("otel_metrics_histogram", ingest.histograms(points))):
-            append(ingest.split_violations(rows)[0], path, table, number)
+        for kind, rows in (("gauge", ingest.gauges), ("sum", ingest.sums), ("histogram", ingest.histograms)):
+            table = f"otel_metrics_{kind}"
+            own = _of(fields, table)
+            _store(rows(ingest.metric_points(batch, kind), fields=own), path, table, number, own)
 
     return records.writeStream.foreachBatch(_each(path, write)).option("checkpointLocation", checkpoint)
