@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .scan import canonical
 
@@ -14,19 +14,31 @@ def dashboard(spans: DataFrame, service: str | None = None, limit: int = 8, appr
     return rows.groupBy("SpanName").agg(F.count("*").alias("n"), (F.percentile_approx(ms, 0.95) if approximate else F.percentile(ms, F.lit(0.95))).alias("p95_ms")).orderBy(F.desc("n"), "SpanName").limit(limit)
 
 
+def _sorted(f: T.StructField) -> Column:
+    """A column that can be compared: maps, also those in lists, as sorted entries."""
+    if isinstance(f.dataType, T.MapType):
+        return canonical(f.name)
+    if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.MapType):
+        return F.transform(f.name, lambda m: F.array_sort(F.map_entries(m)))
+    return F.col(f.name)
+
+
 def normal(df: DataFrame) -> DataFrame:
     """Maps as sorted entries, so that rows can be compared."""
-    return df.select(*[canonical(f.name).alias(f.name) if f.dataType.typeName() == "map" else F.col(f.name) for f in df.schema])
+    return df.select(*[_sorted(f).alias(f.name) for f in df.schema])
 
 
 def row_text(df: DataFrame) -> Column:
     """All columns of a row as one text: maps as sorted k=v, nothing as null."""
 
-    def one(name: str, kind: str) -> Column:
-        c = F.array_join(F.transform(canonical(name), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",") if kind == "map" else F.col(name).cast("string")
+    def one(f: T.StructField) -> Column:
+        if isinstance(f.dataType, T.MapType):
+            c = F.array_join(F.transform(_sorted(f), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+        else:
+            c = F.to_json(_sorted(f)) if isinstance(f.dataType, T.ArrayType) else F.col(f.name).cast("string")
         return F.coalesce(c, F.lit("null"))
 
-    return F.concat_ws("\x1f", *[one(f.name, f.dataType.typeName()) for f in df.schema])
+    return F.concat_ws("\x1f", *map(one, df.schema))
 
 
 def digest(df: DataFrame, name: str) -> DataFrame:

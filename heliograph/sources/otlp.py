@@ -33,7 +33,7 @@ SCHEMAS = {
 
 def _quoted(c: Column) -> Column:
     """A text as JSON."""
-    return F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\\[(.*)\\]$", 1)
+    return F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
 
 
 def _scalar(v: Column) -> Column:
