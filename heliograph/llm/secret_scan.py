@@ -99,13 +99,17 @@ def candidates(text: bytes, dictionary: frozenset[str] = frozenset()) -> list[Fo
     """(start byte, end byte, features, context, core) of each candidate of one text."""
     out = []
     words = {m.start(): m.end() for m in CANDIDATE.finditer(text)}
+    behind: dict[int, int] = {}  # words behind a key-like name
     signs = [m.end() for m in SIGN.finditer(text) if (k := NAMED.search(text, max(0, m.start() - 60), m.start())) and key_like(k.group(1).decode("ascii"))]
     if signs:
         spans = [m.span() for m in WORDS.finditer(text)]
-        words.update(spans[bisect_right(spans, (at, len(text))) - 1] for at in signs)
+        behind = dict(spans[bisect_right(spans, (at, len(text))) - 1] for at in signs)
+        words.update(behind)
     for base, end in sorted(words.items()):
         word = text[base:end]
         wide = len(word) >= LONG or ODD.search(word)
+        if not wide and base not in behind and b"=" not in word and b":" not in word:
+            continue  # a plain word, and no name before it or in it
         near: list[str] | None = None
         for run in CORE.finditer(word):
             for at, value, name, assigned in parts(text, base + run.start(), run.group(), OPENS.match(word, run.end()) is not None):
