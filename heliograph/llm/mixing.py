@@ -105,7 +105,7 @@ def mix(docs: DataFrame, targets: DataFrame, seed: str = "mix", inclusion: Colum
         picked = cut(_take_in_order(picked, near))
         if not _gaps(picked).where("least <= gap").head(1):
             break
-    while not (moves := cut(_moves(picked, near))).isEmpty():
+    while not (moves := _few(_moves(picked, near), scope["sources"])).isEmpty():
         picked = cut(_fill(picked, moves, near))
     # One row again for each document.
     out = picked.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
@@ -126,6 +126,13 @@ def _gaps(picked: DataFrame) -> DataFrame:
     return picked.groupBy("source").agg((F.first("rest") - F.sum(F.col("extra") * F.col("size"))).alias("gap"), left.alias("least"))
 
 
+def _few(moves: DataFrame, sources: int) -> DataFrame:
+    """``moves``, computed: as local rows where sources are few, else written."""
+    if sources > SMALL_ROWS:
+        return cut(moves)
+    return moves.sparkSession.createDataFrame(moves.toArrow())  # a row for each source at most
+
+
 def _take_in_order(picked: DataFrame, near: Near) -> DataFrame:
     """Of the rows no larger than their source's gap, take those up to the first that does not fit.
 
