@@ -169,8 +169,8 @@ def dictionary_of(docs: DataFrame, most: int = DICTIONARY_WORDS) -> DataFrame:
 
 
 def _dictionary(docs: DataFrame) -> frozenset[str]:
-    """At most DICTIONARY_WORDS words come to the driver."""
-    return frozenset(r["word"] for r in dictionary_of(docs).select("word").collect())
+    """At most DICTIONARY_WORDS words come to the driver: the executors pick them before."""
+    return frozenset(r["word"] for r in cut(dictionary_of(docs).select("word")).collect())
 
 
 def labelled_sample(docs: DataFrame, dictionary: frozenset[str], most: int = MAX_FINDINGS) -> DataFrame:
