@@ -342,18 +342,21 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
 def _open_pairs(members: DataFrame, facts: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs (a, b) of nodes that share a bucket, are in different classes and may be near by their bounds.
 
-    ``members`` has (band, node). A node meets those of its bucket and length class, and the longer ones of the next class.
+    ``members`` has (band, node), ``facts`` the node's bands as well. A node meets those of its bucket and length
+    class, and the longer ones of the next class. A pair that shares several buckets comes out of the first alone.
     """
     placed = members.join(found, "node")
     split = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("band")
     placed = placed.join(split, "band").join(facts, "node")
     grade = F.floor(F.log("n_words") / F.log(F.lit(1 / SIMILARITY)) + 1e-9).cast("int")
-    names = ["node", "root", "n_words", "print"]
+    names = ["node", "root", "n_words", "print", "bands"]
     x = placed.select("band", F.explode(F.array(grade, grade + 1)).alias("grade"), *[F.col(c).alias(f"{c}_a") for c in names])
     y = placed.select("band", grade.alias("grade"), *[F.col(c).alias(f"{c}_b") for c in names])
     below = (F.col("n_words_a") < F.col("n_words_b")) | ((F.col("n_words_a") == F.col("n_words_b")) & (F.col("node_a") < F.col("node_b")))
     same = (x["band"] == y["band"]) & (x["grade"] == y["grade"]) & (F.col("root_a") != F.col("root_b")) & below & _near()
-    return x.join(y, same).select(*_ordered("node_a", "node_b")).distinct()
+    # All buckets that hold nodes of two classes are open, so the first one that a pair shares is.
+    first = x["band"] == F.array_min(F.array_intersect("bands_a", "bands_b"))
+    return x.join(y, same & first).select(*_ordered("node_a", "node_b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -374,9 +377,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
     center = shared.select("band", "node").join(weight, "node").groupBy("band").agg(F.max(F.struct("weight", F.xxhash64("band", "node").alias("h"), "node")).alias("c"))
     grouped = shared.select("band", "node")
-    facts = cut(nodes.join(weight.select("node"), "node").select("digest", "node", "row_key", "print", "n_words"))
+    facts = cut(nodes.join(weight.select("node"), "node").select("digest", "node", "row_key", "print", "n_words", "bands"))
     texts = cut(keyed.select("row_key", "text").join(facts.select("node", "row_key"), "row_key").groupBy("node").agg(F.first("text").alias("text")))
-    facts, names = facts.select("node", "print", "n_words"), facts.select("digest", "node")
+    facts, names = facts.select("node", "print", "n_words", "bands"), facts.select("digest", "node")
 
     star = grouped.join(center.select("band", F.col("c.weight").alias("weight"), F.col("c.node").alias("other")), "band").where("node != other")
     star = cut(star.groupBy("node", "other").agg(F.max("weight").alias("weight")))
