@@ -45,7 +45,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import WORD, cut, fresh, slices, small_batches, table
+from .common import WORD, cut, fresh, slices, small, small_batches, table
 
 K = 5
 #: Sketch rows, and how many least k-mers each keeps in text order.
@@ -371,14 +371,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min(F.struct("uid", "row_key", "bands", "print", "n_words")).alias("r")).select("digest", F.col("r.uid").alias("node"), "r.row_key", "r.bands", "r.print", "r.n_words")
     # What is dealt by band is only the node; facts on nodes are kept once each.
     members = nodes.select("node", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    shared = members.groupBy("band").agg(F.count("*").alias("size"), *[F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"who{i}") for i in (0, 1)]).where("size > 1")
+    # Of buckets that hold the same nodes (128 bits tell) one is enough.
+    shared = shared.groupBy("size", "who0", "who1").agg(F.min("band").alias("band")).select("band", "size")
     shared = cut(members.join(shared, "band"))
     # The text from which others were made lies in the largest buckets: compare with it first.
-    weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
-    center = shared.select("band", "node").join(weight, "node").groupBy("band").agg(F.max(F.struct("weight", F.xxhash64("band", "node").alias("h"), "node")).alias("c"))
+    weight = cut(shared.groupBy("node").agg(F.sum("size").alias("weight"), F.collect_list("band").alias("bands")))
+    center = shared.select("band", "node").join(weight.select("node", "weight"), "node").groupBy("band").agg(F.max(F.struct("weight", F.xxhash64("band", "node").alias("h"), "node")).alias("c"))
     grouped = shared.select("band", "node")
-    facts = cut(nodes.join(weight.select("node"), "node").select("digest", "node", "row_key", "print", "n_words", "bands"))
-    texts = cut(keyed.select("row_key", "text").join(facts.select("node", "row_key"), "row_key").groupBy("node").agg(F.first("text").alias("text")))
+    facts = cut(nodes.drop("bands").join(small(weight.select("node", "bands")), "node").select("digest", "node", "row_key", "print", "n_words", "bands"))
+    texts = cut(keyed.select("row_key", "text").join(small(facts.select("node", "row_key")), "row_key").groupBy("node").agg(F.first("text").alias("text")))
     facts, names = facts.select("node", "print", "n_words", "bands"), facts.select("digest", "node")
 
     star = grouped.join(center.select("band", F.col("c.weight").alias("weight"), F.col("c.node").alias("other")), "band").where("node != other")
