@@ -17,7 +17,7 @@ are spread evenly; such a pair is not proposed.
 Copies of one word sequence are one node, so copies make no pairs. In a row's
 bucket every node is compared with the one that shares buckets with the most
 others; afterwards nodes of a bucket that are still in different classes are
-compared with each other, until no bucket joins two classes. Two safe bounds
+compared with each other. Two safe bounds
 spare alignments: lengths, and prints. A print has a bit for whether an odd number
 of labelled words fall on it. The words that one text has beyond the other are no
 more than the edits, so prints that differ in too many bits rule a pair out with
@@ -371,10 +371,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min(F.struct("uid", "row_key", "bands", "print", "n_words")).alias("r")).select("digest", F.col("r.uid").alias("node"), "r.row_key", "r.bands", "r.print", "r.n_words")
     # What is dealt by band is only the node; facts on nodes are kept once each.
     members = nodes.select("node", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.count("*").alias("size"), *[F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"who{i}") for i in (0, 1)]).where("size > 1")
-    # Of buckets that hold the same nodes (128 bits tell) one is enough.
-    shared = shared.groupBy("size", "who0", "who1").agg(F.min("band").alias("band")).select("band", "size")
+    shared = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     shared = cut(members.join(shared, "band"))
+    # Of buckets that hold the same nodes (128 bits tell) one is enough.
+    who = shared.groupBy("band", "size").agg(*[F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"who{i}") for i in (0, 1)])
+    shared = cut(shared.join(who.groupBy("size", "who0", "who1").agg(F.min("band").alias("band")).select("band"), "band"))
     # The text from which others were made lies in the largest buckets: compare with it first.
     weight = cut(shared.groupBy("node").agg(F.sum("size").alias("weight"), F.collect_list("band").alias("bands")))
     center = shared.select("band", "node").join(weight.select("node", "weight"), "node").groupBy("band").agg(F.max(F.struct("weight", F.xxhash64("band", "node").alias("h"), "node")).alias("c"))
@@ -393,13 +394,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     root = lambda c: found.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
     apart = star.join(root("node"), "node").join(root("other"), "other").where("root_node != root_other").select(*_ordered("node", "other")).distinct()
     more = cut(_bounded(apart.join(tried, ["a", "b"], "left_anti"), facts))
-    # Last, all nodes of a bucket that are still in different classes.
-    opened = False
-    while not (opened and more.isEmpty()):
-        links, tried = cut(_links(more, texts)), cut(tried.unionByName(more))
-        if not links.isEmpty():
-            found = cut(_merged(found, links))
-        more, opened = cut(_open_pairs(grouped, facts, found).join(tried, ["a", "b"], "left_anti")), True
+    links = cut(_links(more, texts))
+    if not links.isEmpty():
+        found = cut(_merged(found, links))
+    # Last, all nodes of a bucket that are still in different classes. Classes only grow, so this leaves no pair for another turn.
+    rest = cut(_open_pairs(grouped, facts, found).join(tried.unionByName(more), ["a", "b"], "left_anti"))
+    links = cut(_links(rest, texts))
+    if not links.isEmpty():
+        found = cut(_merged(found, links))
     # A node that no link reaches is a class of its own.
     linked = names.join(found, "node").select("digest", "root")
     ids = rows.select("uid", "doc_id", "digest", "row_key").join(linked, "digest", "left")
