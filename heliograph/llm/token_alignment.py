@@ -40,6 +40,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 import sentencepiece
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -54,6 +55,8 @@ LONG, CHUNK, MARGIN = 1 << 16, 1 << 15, 1 << 12
 ARITY = 8
 #: Units kept in a task's memory, and the longest unit that is kept.
 UNITS, UNIT_BYTES = 200_000, 256
+#: Letters of a text that the byte-level tokenizer splits itself.
+SPLIT = 4096
 #: Bytes of text that are aligned at once.
 WINDOW = 1 << 20
 #: Rows of pairs that are broadcast.
@@ -61,7 +64,6 @@ FREQUENT = 1_000_000
 # How the byte-level tokenizer splits text before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SAFE_NEWLINE = re.compile(r"(?<=\S)\n(?=\S)")
-SAFE = re.compile(r"(?<=\S)[ \n](?=\S)")
 
 
 def byte_letters() -> dict[str, int]:
@@ -85,6 +87,7 @@ class Aligner:
         special = {t["content"] for t in vocabulary["added_tokens"]}
         ranks = {bytes(letters[c] for c in k): v for k, v in vocabulary["model"]["vocab"].items() if k not in special}
         self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.merge = tiktoken.Encoding("merge", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_a = [b""] * (max(ranks.values()) + 1)
@@ -97,20 +100,36 @@ class Aligner:
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.units: dict[str, Unit] = {}
 
-    def encode(self, unit: str) -> tuple[list[int], list[int], bool]:
-        """Ids of a unit, which stands after a space, or begins with a newline that is its own first byte."""
-        if unit[:1] == "\n":
-            whole, a, b = unit.encode(), self.a.encode_ordinary(unit), self.b.encode(unit)[1:]
+    def merged(self, text: str) -> list[int]:
+        """A's ids; long texts are split here, as the library's own splitting has a bounded stack."""
+        if len(text) <= SPLIT:
+            return self.a.encode_ordinary(text)
+        return [i for p in regex.findall(PATTERN, text) for i in self.merge.encode_ordinary(p)]
+
+    def encode(self, unit: str, spaced: bool) -> tuple[list[int], list[int], bool]:
+        """Ids of a unit, which stands after a space (``spaced``), or begins with a newline that is its own first byte."""
+        if not spaced:
+            whole, a, b = unit.encode(), self.merged(unit), self.b.encode(unit)[1:]
         else:
-            whole, a, b = b" " + unit.encode(), self.a.encode_ordinary(" " + unit), self.b.encode(unit)
+            whole, a, b = b" " + unit.encode(), self.merged(" " + unit), self.b.encode(unit)
         return a, b, b"".join([self.bytes_a[i] for i in a]) == whole and b"".join([self.bytes_b[i] for i in b]) == whole
 
-    def unit(self, unit: str) -> Unit:
+    def units_of(self, text: str) -> list[Unit]:
+        """The units of a text that stands after a space."""
+        first, *rest = self.split(text)
+        # Only the first may begin with a newline that is not where a unit was cut.
+        return [self.unit(first, True) if first[:1] != "\n" else self.made(first, True), *[self.unit(u, u[:1] != "\n") for u in rest]]
+
+    def made(self, unit: str, spaced: bool) -> Unit:
+        found = Unit()
+        found.a, found.b, found.good = self.encode(unit, spaced)
+        found.text, found.groups, found.pairs = self.aligned(found.a, found.b) if found.good else (b"", 0, [])
+        return found
+
+    def unit(self, unit: str, spaced: bool) -> Unit:
         found = self.units.get(unit)
         if found is None:
-            found = Unit()
-            found.a, found.b, found.good = self.encode(unit)
-            found.text, found.groups, found.pairs = self.aligned(found.a, found.b) if found.good else (b"", 0, [])
+            found = self.made(unit, spaced)
             if len(unit) <= UNIT_BYTES:
                 if len(self.units) >= UNITS:
                     self.units.clear()
@@ -135,14 +154,14 @@ class Aligner:
         """Units of a text that stands after a space. A unit but the first begins after the space before it, or at its newline."""
         parts = text.split(" ")
         if any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
-            joined = [parts[0]]
+            joined, last = [], [parts[0]]
             for p in parts[1:]:
-                last = joined[-1]
-                if last and p and not last[-1].isspace() and not p[0].isspace():
-                    joined.append(p)
+                if last[-1] and p and not last[-1][-1].isspace() and not p[0].isspace():
+                    joined.append(" ".join(last))
+                    last = [p]
                 else:
-                    joined[-1] = last + " " + p
-            parts = joined
+                    last.append(p)
+            parts = [*joined, " ".join(last)]
         if "\n" not in text:
             return parts
         out: list[str] = []
@@ -168,7 +187,7 @@ def counted(pairs: list[int] | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def whole(al: Aligner, text: str) -> dict:
     """A document of one fragment."""
-    units = [al.unit(u) for u in al.split(text)] if text else []
+    units = al.units_of(text) if text else []
     if not all(u.good for u in units):
         units = []
     pairs, times = counted([p for u in units for p in u.pairs])
@@ -214,13 +233,13 @@ def _safe(part: bytes) -> Iterator[re.Match]:
     return re.finditer(rb"(?<=[!-~]) (?=[!-~])", part)
 
 
-def fragment(al: Aligner, part: str, first: bool, lead: int, size: int) -> dict:
+def fragment(al: Aligner, part: str, lead: int, size: int) -> dict:
     """The fragment of the tokens of ``part`` that end in the ``size`` bytes after ``lead``.
 
     ``part`` stands after a space that is not in it, which counts in ``lead`` and ``size`` (the document's own space,
     where it is its first part).
     """
-    units = [al.unit(u) for u in al.split(part)]
+    units = al.units_of(part)
     good = all(u.good for u in units)
     a = np.array([i for u in units for i in u.a], np.int64)
     b = np.array([i for u in units for i in u.b], np.int64)
@@ -299,7 +318,8 @@ COLUMNS = [c.split()[0] for c in FRAGMENT.split(", ")]
 
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=COLUMNS).astype({c: "Int64" for c in ("uid", "no", "n_a", "n_b", "first", "at", "seam", "n_groups", "n_links")} | {"good": "boolean", "has": "boolean"})
+    whole_rows = [{c: r.get(c) for c in COLUMNS} for r in rows]
+    return pd.DataFrame(whole_rows, columns=COLUMNS, dtype=object).astype({c: "Int64" for c in ("uid", "no", "n_a", "n_b", "first", "at", "seam", "n_groups", "n_links")} | {"good": "boolean", "has": "boolean"})
 
 
 def _group_row(al: Aligner, uid: int, at: int, a: list[int], b: list[int]) -> dict:
@@ -316,7 +336,7 @@ def fragments(parts: DataFrame, byte_bpe: bytes, pieces: bytes) -> DataFrame:
         al = _aligner(*shared.value)
         for f in frames:
             for uid, no, part, lead, size in f[["uid", "no", "part", "lead", "size"]].itertuples(index=False):
-                x = fragment(al, bytes(part).decode(), no == 0, lead, size)
+                x = fragment(al, bytes(part).decode(), lead, size)
                 rows = [{"uid": uid, "no": no, "first": no} | {c: x[c] for c in ("good", "n_a", "n_b", "has", *OPEN)}]
                 if x["n_groups"]:
                     p, t = counted(x["pairs"])
