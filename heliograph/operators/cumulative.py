@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.requests import Series
-from .scan import NANOS, canonical, dimension, in_window
+from .cuts import cut
 from .ingest import finite
+from .scan import NANOS, canonical, dimension, in_window
 
 
 class TelemetryViolation(ValueError):
@@ -21,8 +22,13 @@ class TelemetryViolation(ValueError):
 COUNTER_KEY = ["ServiceName", "MetricName", "MetricUnit", "ResourceSchemaUrl", "ScopeName", "ScopeVersion", "ScopeSchemaUrl"]
 HISTOGRAM_KEY = [*COUNTER_KEY, "MetricDescription", "ScopeDroppedAttrCount"]
 MAPS = ["ResourceAttributes", "ScopeAttributes", "Attributes"]
-# Violation codes in the order they are raised.
-CODES = ["invalid_row", "ambiguous_projection", "boundary_change", "ambiguous_order", "ambiguous_reset", "unproven_reset", "invalid_extrema", "zero_duration", "crosses_bucket"]
+# Violation codes in the order they are raised. Only streams have late rows.
+CODES = ["invalid_row", "ambiguous_projection", "boundary_change", "ambiguous_order", "ambiguous_reset", "unproven_reset", "invalid_extrema", "zero_duration", "crosses_bucket", "late_row"]
+#: A stream is differenced in slices of this length, each in a task of its own.
+SLICE = 86_400 * NANOS
+#: What a snapshot hands on to the next one of its stream, besides its times.
+COUNTER_STATE = ["Value"]
+HISTOGRAM_STATE = ["BucketCounts", "Count", "Sum", "Min", "Max"]
 DEC = "decimal(38,0)"
 
 
@@ -36,11 +42,27 @@ def _rows(df: DataFrame, request: Series, key: list[str]) -> DataFrame:
     return rows.withColumns({"stream": stream, "t": F.col("time_unix") * NANOS, "s": F.col("start_time_unix") * NANOS, **dims})
 
 
-def _intervals(rows: DataFrame, request: Series, amount: str, smaller: Column, extrema: Column, delta: dict[str, Column], empty: Column) -> DataFrame:
-    """One row per snapshot with its interval (begin, t) and, where it contradicts the one before, a code."""
-    w = Window.partitionBy("stream").orderBy("t")
+def _before(rows: DataFrame, request: Series, state: list[str], slice_nanos: int | None) -> DataFrame:
+    """``rows`` with ``p``, the snapshot before each in its stream.
+
+    Slices of a stream are ordered apart from each other. The last snapshot of each goes to the first of the next, one row
+    for each slice, so a stream without end is no task without end.
+    """
+    snapshot = F.struct("t", "s", *state)
+    if slice_nanos is None or request.end - request.start <= slice_nanos:
+        return rows.withColumn("p", F.lag(snapshot).over(Window.partitionBy("stream").orderBy("t")))
+    rows = rows.withColumn("slice", F.col("t") - F.pmod(F.col("t"), F.lit(slice_nanos)))
+    last = rows.groupBy("stream", "slice").agg(F.max_by(snapshot, "t").alias("last"))
+    handed = last.select("stream", "slice", F.lag("last").over(Window.partitionBy("stream").orderBy("slice")).alias("handed")).where("handed IS NOT NULL")
+    rows = rows.withColumn("p", F.lag(snapshot).over(Window.partitionBy("stream", "slice").orderBy("t")))
+    return rows.join(handed, ["stream", "slice"], "left").withColumn("p", F.coalesce("p", "handed")).drop("handed", "slice")
+
+
+def _intervals(rows: DataFrame, request: Series, smaller: Column, extrema: Column, delta: dict[str, Column], empty: Column, unknown: Column | None = None) -> DataFrame:
+    """One row per snapshot, which knows the one before (``p``), with its interval (begin, t) and, where it contradicts that, a code.
+
+    ``unknown``: a first snapshot of which nobody knows what came before is only the base of the next."""
     has, ps, pt = F.col("p.t").isNotNull(), F.col("p.s"), F.col("p.t")
-    rows = rows.withColumn("p", F.lag(F.struct("t", "s", amount, *[c for c in ("Count", "Sum", "Min", "Max") if c in rows.columns and c != amount])).over(w))
     reset = ~has | (F.col("s") > ps)
     code = (
         F.when(has & (F.col("t") == pt), F.lit("ambiguous_order"))
@@ -50,7 +72,7 @@ def _intervals(rows: DataFrame, request: Series, amount: str, smaller: Column, e
     )
     rows = rows.withColumns({"reset": reset, "begin": F.when(reset, F.col("s")).otherwise(pt), "code": F.coalesce(F.col("code"), code)})
     rows = rows.withColumns({k: F.when(F.col("reset"), F.col(k)).otherwise(v) for k, v in delta.items()})
-    base = ~has & (F.col("s") < request.start)
+    base = ~has & (F.col("s") < request.start if unknown is None else (F.col("s") < request.start) | unknown)
     length = F.col("t") - F.col("begin")
     rows = rows.withColumns({"base": base, "length": length, "code": F.coalesce("code", F.when(~base & (length == 0) & ~empty, F.lit("zero_duration")))})
     rows = rows.withColumn("used", ~F.col("base") & (F.col("length") > 0))
@@ -97,16 +119,15 @@ CHECKS = {"_code": lambda: F.min(_rank(F.col("code"))), "_lo": lambda: F.min("st
 
 def _checked(sums: DataFrame, dims: list[str], strict: bool) -> DataFrame:
     """Rows of ``sums`` that hold intervals. Strict: the first code raises; intervals are differenced once, and their sums, a row for each
-    bucket and projection, are kept for the check and the result."""
+    bucket and projection, are written for the check and the result, in files that go with the result."""
     if strict:
-        sums = sums.persist()
+        sums = cut(sums)
         bounds = "bounds" in sums.columns
         per = sums.groupBy(*dims).agg(F.min("_code").alias("code"), F.min("_lo").alias("lo"), F.max("_hi").alias("hi"), *([F.min("bounds").alias("b_lo"), F.max("bounds").alias("b_hi")] if bounds else []))
         changed = F.when(F.col("b_lo") != F.col("b_hi"), _rank(F.lit("boundary_change"))) if bounds else F.lit(None).cast("bigint")
         many = F.when(F.col("lo") != F.col("hi"), _rank(F.lit("ambiguous_projection")))
         first = per.agg(F.min(F.least("code", many, changed)).alias("first")).first()["first"]
         if first is not None:
-            sums.unpersist()
             raise TelemetryViolation(CODES[first - 1])
     return sums.where("interval_count > 0").drop(*CHECKS)
 
@@ -118,17 +139,30 @@ def _types(df: DataFrame, want: dict[str, str]) -> None:
         raise TelemetryViolation("type_drift")
 
 
-def counter_intervals(df: DataFrame, request: Series) -> DataFrame:
+def counter_snapshots(df: DataFrame, request: Series) -> DataFrame:
+    """Snapshots of monotonic cumulative sums in the window, those outside their domain with a code."""
+    _types(df, {"Value": "double", "AggregationTemporality": "int", "IsMonotonic": "boolean"})
     rows = _rows(df.where("IsMonotonic"), request, COUNTER_KEY)
     bad = (F.col("s") > F.col("t")) | ~finite(F.col("Value")) | (F.col("Value") < 0)
-    rows = rows.withColumn("code", F.when(bad, F.lit("invalid_row")))
-    return _intervals(rows, request, "Value", F.col("Value") < F.col("p.Value"), F.lit(False), {"Value": F.col("Value") - F.col("p.Value")}, F.col("Value") == 0)
+    return rows.withColumn("code", F.when(bad, F.lit("invalid_row")))
+
+
+def counter_differences(rows: DataFrame, request: Series, unknown: Column | None = None) -> DataFrame:
+    """Intervals of counter snapshots that know the one before."""
+    return _intervals(rows, request, F.col("Value") < F.col("p.Value"), F.lit(False), {"Value": F.col("Value") - F.col("p.Value")}, F.col("Value") == 0, unknown)
+
+
+def counter_intervals(df: DataFrame, request: Series, slice_nanos: int | None = SLICE) -> DataFrame:
+    return counter_differences(_before(counter_snapshots(df, request), request, COUNTER_STATE, slice_nanos), request)
 
 
-def counter_series(df: DataFrame, request: Series, strict: bool = True) -> DataFrame:
+def counter_series(df: DataFrame, request: Series, strict: bool = True, slice_nanos: int | None = SLICE) -> DataFrame:
     """Increase and rate of cumulative monotonic sums, with interval and reset counts."""
-    _types(df, {"Value": "double", "AggregationTemporality": "int", "IsMonotonic": "boolean"})
-    rows = counter_intervals(df, request)
+    return counter_sums(counter_intervals(df, request, slice_nanos), request, strict)
+
+
+def counter_sums(rows: DataFrame, request: Series, strict: bool = True) -> DataFrame:
+    """Intervals, just made or stored by a stream, as increase and rate."""
     dims = [d.replace("-", "_") for d in request.group_by]
     rows = rows if strict else _settle(rows, violations(rows, dims), strict)
     groups = _groups(request)
@@ -146,7 +180,9 @@ def _zip(op, a: Column, b: Column) -> Column:
     return F.zip_with(a, b, op)
 
 
-def histogram_intervals(df: DataFrame, request: Series) -> DataFrame:
+def histogram_snapshots(df: DataFrame, request: Series) -> DataFrame:
+    """Snapshots of cumulative histograms in the window, those outside their domain with a code."""
+    _types(df, {"Count": "decimal(20,0)", "Sum": "double", "BucketCounts": "array<decimal(20,0)>", "ExplicitBounds": "array<double>", "Min": "double", "Max": "double"})
     rows = _rows(df, request, HISTOGRAM_KEY)
     bounds, buckets, count = F.col("ExplicitBounds"), F.col("BucketCounts"), F.col("Count")
     total = F.aggregate(buckets, F.lit(0).cast(DEC), lambda acc, x: (acc + x).cast(DEC))
@@ -155,11 +191,20 @@ def histogram_intervals(df: DataFrame, request: Series) -> DataFrame:
         (F.col("s") <= F.col("t")) & (F.col("Flags") == 0) & (F.size(buckets) == F.size(bounds) + 1) & F.forall(bounds, finite) & rising
         & F.forall(buckets, lambda x: x >= 0) & (total == count) & finite(F.col("Sum")) & ((count == 0) | (F.col("Min") <= F.col("Max"))) & ((count > 0) | (F.col("Sum") == 0))
     )
-    rows = rows.withColumns({"code": F.when(~F.coalesce(good, F.lit(False)), F.lit("invalid_row")), "bounds": bounds})
+    return rows.withColumns({"code": F.when(~F.coalesce(good, F.lit(False)), F.lit("invalid_row")), "bounds": bounds})
+
+
+def histogram_differences(rows: DataFrame, request: Series, unknown: Column | None = None) -> DataFrame:
+    """Intervals of histogram snapshots that know the one before."""
+    buckets, count = F.col("BucketCounts"), F.col("Count")
     smaller = (count < F.col("p.Count")) | F.exists(_zip(lambda a, b: a < b, buckets, F.col("p.BucketCounts")), lambda x: F.coalesce(x, F.lit(False)))
     inward = (count > 0) & (F.col("p.Count") > 0) & ((F.col("Min") > F.col("p.Min")) | (F.col("Max") < F.col("p.Max")))
     delta = {"BucketCounts": _zip(lambda a, b: (a - b).cast("decimal(20,0)"), buckets, F.col("p.BucketCounts")), "Sum": F.col("Sum") - F.col("p.Sum"), "Count": (count - F.col("p.Count")).cast("decimal(20,0)")}
-    return _intervals(rows, request, "BucketCounts", smaller, inward, delta, F.col("Count") == 0)
+    return _intervals(rows, request, smaller, inward, delta, F.col("Count") == 0, unknown)
+
+
+def histogram_intervals(df: DataFrame, request: Series, slice_nanos: int | None = SLICE) -> DataFrame:
+    return histogram_differences(_before(histogram_snapshots(df, request), request, HISTOGRAM_STATE, slice_nanos), request)
 
 
 def bounded_quantile(buckets: Column, bounds: Column, total: Column, num: int, den: int) -> Column:
@@ -186,10 +231,13 @@ def bounded_quantile(buckets: Column, bounds: Column, total: Column, num: int, d
 QUANTILES = {"p50": (1, 2), "p95": (19, 20), "p99": (99, 100)}
 
 
-def histogram_series(df: DataFrame, request: Series, strict: bool = True) -> DataFrame:
+def histogram_series(df: DataFrame, request: Series, strict: bool = True, slice_nanos: int | None = SLICE) -> DataFrame:
     """Histograms of what happened between snapshots, merged by bucket and dimensions."""
-    _types(df, {"Count": "decimal(20,0)", "Sum": "double", "BucketCounts": "array<decimal(20,0)>", "ExplicitBounds": "array<double>", "Min": "double", "Max": "double"})
-    rows = histogram_intervals(df, request)
+    return histogram_sums(histogram_intervals(df, request, slice_nanos), request, strict)
+
+
+def histogram_sums(rows: DataFrame, request: Series, strict: bool = True) -> DataFrame:
+    """Intervals, just made or stored by a stream, as merged histograms."""
     dims = [d.replace("-", "_") for d in request.group_by]
     if not strict:
         changed = rows.groupBy("stream").agg(F.min("bounds").alias("lo"), F.max("bounds").alias("hi")).where("lo != hi").select("stream", F.lit("boundary_change").alias("code"), F.lit(None).cast("long").alias("t"))

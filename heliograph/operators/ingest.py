@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources import schema as s
+from ..sources.text import double_text
 from . import typed
 
 NANOS = 1_000_000_000
@@ -16,7 +17,7 @@ def text(c: Column) -> Column:
 
 def value_text(v: Column) -> Column:
     """A typed value as text: bytes in base64, arrays and maps as their JSON, nothing as ''."""
-    return F.coalesce(v["string_value"], v["bool_value"].cast("string"), v["int_value"].cast("string"), v["double_value"].cast("string"), F.base64(v["bytes_value"]), v["json_value"], F.lit(""))
+    return F.coalesce(v["string_value"], v["bool_value"].cast("string"), v["int_value"].cast("string"), double_text(v["double_value"]), F.base64(v["bytes_value"]), v["json_value"], F.lit(""))
 
 
 def attribute_map(attrs: Column) -> Column:

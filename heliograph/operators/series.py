@@ -30,14 +30,18 @@ def group_columns(request: Series, bucket_of: Column | None) -> list[Column]:
     return cols + [dimension(d, request.max_text_length).alias(d.replace("-", "_")) for d in request.group_by]
 
 
+def wanted(df: DataFrame, request: Series) -> DataFrame:
+    """Points of the metric in the window; of histograms only those with delta temporality."""
+    rows = in_window(df, request.start, request.end).where(F.col("MetricName") == request.metric_name)
+    return rows.where("AggregationTemporality = 1") if request.kind == "histogram" else rows
+
+
 def metric_series(df: DataFrame, request: Series, approximate: bool = True) -> DataFrame:
     """Aggregates of the stored points; of histograms only those with delta temporality. No row stands for no points.
 
     Percentiles are sketched, in bounded memory; exact ones keep a group's distinct values and are made on request.
     """
-    rows = in_window(df, request.start, request.end).where(F.col("MetricName") == request.metric_name)
-    if request.kind == "histogram":
-        rows = rows.where("AggregationTemporality = 1")
+    rows = wanted(df, request)
     nanos, b = F.col("time_unix") * NANOS, request.bucket_nanos
     groups = group_columns(request, nanos - F.pmod(nanos, F.lit(b)) if b else None)
     measures = _measures(request, approximate)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import schema as s
+from .text import double_text
 
 # Names of the format, and of its numbered kinds.
-_SCALARS = "stringValue string, boolValue boolean, intValue string, doubleValue double, bytesValue string"
-_VALUE = f"struct<{_SCALARS}, arrayValue struct<values array<struct<{_SCALARS}>>>, kvlistValue struct<values array<struct<key string, value struct<{_SCALARS}>>>>>"
+_VALUE = "variant"
 KINDS = ["internal", "server", "client", "producer", "consumer"]
 STATUS = ["unset", "ok", "error"]
 TEMPORALITY = ["unspecified", "delta", "cumulative"]
@@ -31,21 +31,41 @@ SCHEMAS = {
 }
 
 
+#: Arrays and maps within each other are written out down to this depth; what lies deeper stays as the format has it.
+DEPTH = 12
+
+
 def _quoted(c: Column) -> Column:
     """A text as JSON."""
     return F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
 
 
-def _scalar(v: Column) -> Column:
-    return F.coalesce(F.when(v["stringValue"].isNotNull(), _quoted(v["stringValue"])), v["boolValue"].cast("string"), v["intValue"], v["doubleValue"].cast("string"), F.when(v["bytesValue"].isNotNull(), _quoted(v["bytesValue"])), F.lit("null"))
+def _get(v: Column, path: str, kind: str) -> Column:
+    return F.try_variant_get(v, f"$.{path}", kind)
+
+
+def _inner(v: Column, depth: int = DEPTH) -> Column:
+    """A value within an array or a map, as JSON."""
+    text, raw = _get(v, "stringValue", "string"), _get(v, "bytesValue", "string")
+    scalar = F.coalesce(F.when(text.isNotNull(), _quoted(text)), _get(v, "boolValue", "boolean").cast("string"), _get(v, "intValue", "bigint").cast("string"), double_text(_get(v, "doubleValue", "double")), F.when(raw.isNotNull(), _quoted(raw)))
+    if depth == 0:
+        return F.coalesce(scalar, F.to_json(v), F.lit("null"))
+    return F.coalesce(scalar, _nested(v, depth - 1), F.lit("null"))
+
+
+def _nested(v: Column, depth: int = DEPTH) -> Column:
+    """An array or a map as JSON, null where the value is neither. Items and entries are laid out alike, so each level is one pass."""
+    items, entries = _get(v, "arrayValue", "struct<values array<variant>>"), _get(v, "kvlistValue", "struct<values array<struct<key string, value variant>>>")
+    plain = F.transform(items["values"], lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")))
+    parts = F.transform(F.coalesce(plain, entries["values"]), lambda e: F.concat(F.when(e["key"].isNotNull(), F.concat(_quoted(e["key"]), F.lit(":"))).otherwise(""), _inner(e["value"], depth)))
+    body = F.array_join(F.coalesce(parts, F.array().cast("array<string>")), ",")
+    return F.concat(F.when(items.isNotNull(), F.lit("[")).when(entries.isNotNull(), F.lit("{")), body, F.when(items.isNotNull(), F.lit("]")).otherwise(F.lit("}")))
 
 
 def _value(v: Column) -> Column:
-    items = F.concat(F.lit("["), F.array_join(F.transform(v["arrayValue"]["values"], _scalar), ","), F.lit("]"))
-    pairs = F.concat(F.lit("{"), F.array_join(F.transform(v["kvlistValue"]["values"], lambda e: F.concat(_quoted(e["key"]), F.lit(":"), _scalar(e["value"]))), ","), F.lit("}"))
     return F.struct(
-        v["stringValue"].alias("string_value"), v["boolValue"].alias("bool_value"), v["intValue"].cast("long").alias("int_value"), v["doubleValue"].alias("double_value"),
-        F.unbase64(v["bytesValue"]).alias("bytes_value"), F.coalesce(items, pairs).alias("json_value"),
+        _get(v, "stringValue", "string").alias("string_value"), _get(v, "boolValue", "boolean").alias("bool_value"), _get(v, "intValue", "bigint").alias("int_value"), _get(v, "doubleValue", "double").alias("double_value"),
+        F.unbase64(_get(v, "bytesValue", "string")).alias("bytes_value"), _nested(v).alias("json_value"),
     )
 
 
@@ -76,13 +96,43 @@ def _scope(x: Column) -> Column:
     return F.struct(x["scope"]["name"].alias("name"), x["scope"]["version"].alias("version"), _attrs(x["scope"]["attributes"]).alias("attributes"), x["schemaUrl"].alias("schema_url"))
 
 
-def _lines(spark: SparkSession, path: str, signal: str, stream: bool) -> DataFrame:
-    return (spark.readStream if stream else spark.read).schema(SCHEMAS[signal]).json(path)
+def lines(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """(line): requests as they come, one a line."""
+    return (spark.readStream if stream else spark.read).text(path).select(F.col("value").alias("line"))
+
+
+# What a request of each signal holds.
+ROOTS = {"spans": "resourceSpans", "logs": "resourceLogs", "metrics": "resourceMetrics"}
+
+
+def requests(lines_: DataFrame, signal: str) -> DataFrame:
+    """(line, request, reason): each line that is not blank as a request, or the reason why it is none.
+
+    ``malformed``: no JSON, or not of the format's types. ``no_request``: JSON without what a request of the signal holds.
+    """
+    root = ROOTS[signal]
+    schema = f"{SCHEMAS[signal]}, _broken string"
+    parsed = lines_.where(F.trim("line") != "").select("line", F.from_json("line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}).alias("request"))
+    reason = F.when(F.col("request").isNull() | F.col("request._broken").isNotNull(), "malformed").when(F.col(f"request.{root}").isNull(), "no_request")
+    return parsed.withColumn("reason", reason)
+
+
+def rejects(requests_: DataFrame) -> DataFrame:
+    """(line, reason) of the lines that are no requests."""
+    return requests_.where("reason IS NOT NULL").select("line", "reason")
+
+
+def _good(requests_: DataFrame, signal: str) -> DataFrame:
+    return requests_.where("reason IS NULL").select(F.explode(f"request.{ROOTS[signal]}").alias("r"))
 
 
 def read_spans(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """Records like ``schema.SPAN_RECORD``, one for each span of each request (a JSON line)."""
-    df = _lines(spark, path, "spans", stream).select(F.explode("resourceSpans").alias("r")).select("r", F.explode("r.scopeSpans").alias("s")).select("r", "s", F.explode("s.spans").alias("v"))
+    """Records like ``schema.SPAN_RECORD``, one for each span of each request (a JSON line); ``rejects`` has the other lines."""
+    return span_records(requests(lines(spark, path, stream), "spans"))
+
+
+def span_records(requests_: DataFrame) -> DataFrame:
+    df = _good(requests_, "spans").select("r", F.explode("r.scopeSpans").alias("s")).select("r", "s", F.explode("s.spans").alias("v"))
     v = F.col("v")
     return df.select(
         v["name"].alias("name"), _name(v["kind"], KINDS, 1, "SPAN_KIND_").alias("kind"), v["startTimeUnixNano"].cast("long").alias("start_time_unix_nano"), v["endTimeUnixNano"].cast("long").alias("end_time_unix_nano"),
@@ -95,7 +145,11 @@ def read_spans(spark: SparkSession, path: str, stream: bool = False) -> DataFram
 
 def read_logs(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """Records like ``schema.LOG_RECORD``."""
-    df = _lines(spark, path, "logs", stream).select(F.explode("resourceLogs").alias("r")).select("r", F.explode("r.scopeLogs").alias("s")).select("r", "s", F.explode("s.logRecords").alias("v"))
+    return log_records(requests(lines(spark, path, stream), "logs"))
+
+
+def log_records(requests_: DataFrame) -> DataFrame:
+    df = _good(requests_, "logs").select("r", F.explode("r.scopeLogs").alias("s")).select("r", "s", F.explode("s.logRecords").alias("v"))
     v = F.col("v")
     return df.select(
         v["timeUnixNano"].cast("long").alias("timestamp_unix_nano"), v["observedTimeUnixNano"].cast("long").alias("observed_time_unix_nano"), v["traceId"].alias("trace_id"), v["spanId"].alias("span_id"), v["flags"].alias("trace_flags"),
@@ -105,7 +159,10 @@ def read_logs(spark: SparkSession, path: str, stream: bool = False) -> DataFrame
 
 def read_metrics(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """Records like ``schema.METRIC_RECORD``."""
+    return metric_records(requests(lines(spark, path, stream), "metrics"))
+
 
+def metric_records(requests_: DataFrame) -> DataFrame:
     def metric(m: Column) -> Column:
         kind = F.when(m["gauge"].isNotNull(), "gauge").when(m["sum"].isNotNull(), "sum").when(m["histogram"].isNotNull(), "histogram")
         data = F.coalesce(m["gauge"], m["sum"], m["histogram"])
@@ -121,9 +178,10 @@ def read_metrics(spark: SparkSession, path: str, stream: bool = False) -> DataFr
             data["isMonotonic"].alias("monotonic"), F.get(data["dataPoints"], F.lit(0))["explicitBounds"].alias("explicit_bounds"), points.alias("data_points"),
         )
 
-    df = _lines(spark, path, "metrics", stream).select(F.explode("resourceMetrics").alias("r"))
+    df = _good(requests_, "metrics")
     scopes = F.transform(F.col("r.scopeMetrics"), lambda x: F.struct(_scope(x).alias("scope"), F.transform(x["metrics"], metric).alias("metrics")))
     return df.select(_resource("r"), scopes.alias("scope_metrics"))
 
 
+RECORDS_OF = {"spans": span_records, "logs": log_records, "metrics": metric_records}
 RECORDS = {"spans": s.SPAN_RECORD, "logs": s.LOG_RECORD, "metrics": s.METRIC_RECORD}

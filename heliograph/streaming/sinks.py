@@ -9,7 +9,8 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
 from ..operators import ingest, typed
-from ..sources import schema as s
+from ..sources import otlp, schema as s
+from .commits import commit
 
 Fields = Sequence[typed.TypedField]
 SORT = {"otel_traces": ["ServiceName", "SpanName", "timestamp_nanos"], "otel_logs": ["five_minutes", "ServiceName", "timestamp_nanos"]}
@@ -42,12 +43,15 @@ def append_lookup(spans: DataFrame, path: str, batch: str | None = None) -> None
     writer.option("parquet.bloom.filter.enabled#TraceId", "true").parquet(target)
 
 
-def _each(path: str, write: Callable[[DataFrame, str], None]) -> Callable[[DataFrame, int], None]:
+def _each(path: str, stream: str, write: Callable[[DataFrame, str], None]) -> Callable[[DataFrame, int], None]:
+    """Each batch that has rows is written to all its tables, then marked as whole. An empty batch publishes nothing."""
+
     def run(batch: DataFrame, number: int) -> None:
         kept = batch.persist()
         try:
-            if not kept.isEmpty():
+            if rows := kept.count():
                 write(kept, str(number))
+                commit(batch.sparkSession, path, stream, number, rows)
         finally:
             kept.unpersist()
 
@@ -66,29 +70,49 @@ def _of(fields: Fields, table: str) -> list[typed.TypedField]:
     return [f for f in fields if f.table == table]
 
 
-def span_stream(records: DataFrame, path: str, checkpoint: str, fields: Fields = ()) -> DataStreamWriter:
+def write_spans(records: DataFrame, path: str, number: str, fields: Fields = ()) -> None:
     own = _of(fields, "otel_traces")
+    append_lookup(_store(ingest.spans(records, fields=own), path, "otel_traces", number, own), path, number)
 
-    def write(batch: DataFrame, number: str) -> None:
-        append_lookup(_store(ingest.spans(batch, fields=own), path, "otel_traces", number, own), path, number)
 
-    return records.writeStream.foreachBatch(_each(path, write)).option("checkpointLocation", checkpoint)
+def write_logs(records: DataFrame, path: str, number: str, fields: Fields = ()) -> None:
+    own = _of(fields, "otel_logs")
+    _store(ingest.logs(records, fields=own), path, "otel_logs", number, own)
 
 
-def log_stream(records: DataFrame, path: str, checkpoint: str, fields: Fields = ()) -> DataStreamWriter:
-    own = _of(fields, "otel_logs")
+def write_metrics(records: DataFrame, path: str, number: str, fields: Fields = ()) -> None:
+    for kind, rows in (("gauge", ingest.gauges), ("sum", ingest.sums), ("histogram", ingest.histograms)):
+        table = f"otel_metrics_{kind}"
+        own = _of(fields, table)
+        _store(rows(ingest.metric_points(records, kind), fields=own), path, table, number, own)
+
+
+WRITE = {"spans": write_spans, "logs": write_logs, "metrics": write_metrics}
 
-    def write(batch: DataFrame, number: str) -> None:
-        _store(ingest.logs(batch, fields=own), path, "otel_logs", number, own)
 
-    return records.writeStream.foreachBatch(_each(path, write)).option("checkpointLocation", checkpoint)
+def _stream(signal: str, records: DataFrame, path: str, checkpoint: str, fields: Fields) -> DataStreamWriter:
+    each = _each(path, signal, lambda batch, number: WRITE[signal](batch, path, number, fields))
+    return records.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+
+
+def span_stream(records: DataFrame, path: str, checkpoint: str, fields: Fields = ()) -> DataStreamWriter:
+    return _stream("spans", records, path, checkpoint, fields)
+
+
+def log_stream(records: DataFrame, path: str, checkpoint: str, fields: Fields = ()) -> DataStreamWriter:
+    return _stream("logs", records, path, checkpoint, fields)
 
 
 def metric_stream(records: DataFrame, path: str, checkpoint: str, fields: Fields = ()) -> DataStreamWriter:
+    return _stream("metrics", records, path, checkpoint, fields)
+
+
+def request_stream(lines: DataFrame, signal: str, path: str, checkpoint: str, fields: Fields = ()) -> DataStreamWriter:
+    """OTLP JSON requests, a line each, into the tables of ``signal``; lines that are no request go, as they are, to ``rejected/requests_<signal>``."""
+
     def write(batch: DataFrame, number: str) -> None:
-        for kind, rows in (("gauge", ingest.gauges), ("sum", ingest.sums), ("histogram", ingest.histograms)):
-            table = f"otel_metrics_{kind}"
-            own = _of(fields, table)
-            _store(rows(ingest.metric_points(batch, kind), fields=own), path, table, number, own)
+        requests = otlp.requests(batch, signal)
+        otlp.rejects(requests).write.mode("overwrite").parquet(f"{path}/rejected/requests_{signal}/batch={number}")
+        WRITE[signal](otlp.RECORDS_OF[signal](requests), path, number, fields)
 
-    return records.writeStream.foreachBatch(_each(path, write)).option("checkpointLocation", checkpoint)
+    return lines.writeStream.foreachBatch(_each(path, signal, write)).option("checkpointLocation", checkpoint)
