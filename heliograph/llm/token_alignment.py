@@ -36,6 +36,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -53,16 +54,15 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 LONG, CHUNK, MARGIN = 1 << 16, 1 << 15, 1 << 12
 #: Fragments that are put together at once.
 ARITY = 8
-#: Units kept in a task's memory, and the longest unit that is kept.
-UNITS, UNIT_BYTES = 200_000, 256
-#: Letters of a text that the byte-level tokenizer splits itself.
-SPLIT = 4096
+#: Units kept in a task's memory, about how many bytes of each, and how many new ones are encoded together.
+UNITS, UNIT_BYTES, TOGETHER = 200_000, 256, 4096
 #: Bytes of text that are aligned at once.
 WINDOW = 1 << 20
 #: Rows of pairs that are broadcast.
 FREQUENT = 1_000_000
 # How the byte-level tokenizer splits text before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONG_SPACE = re.compile(r"\s{1000}")
 SAFE_NEWLINE = re.compile(r"(?<=\S)\n(?=\S)")
 
 
@@ -73,14 +73,8 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Unit:
-    """What a unit of text has: token ids, whether both kinds of tokens give its bytes back, and its alignment."""
-
-    __slots__ = ("a", "b", "good", "text", "pairs", "groups")
-
-
 class Aligner:
-    """Both tokenizers, and the units seen."""
+    """Both tokenizers, and the units seen: their numbers, and where their pairs are in one long array."""
 
     def __init__(self, byte_bpe: bytes, pieces: bytes):
         letters, vocabulary = byte_letters(), json.loads(byte_bpe)
@@ -98,57 +92,112 @@ class Aligner:
             raise ValueError("pieces reach over spaces or newlines: texts cannot be cut there")
         self.n_b = len(names)
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.units: dict[str, Unit] = {}
+        self.reset()
 
     def merged(self, text: str) -> list[int]:
-        """A's ids; long texts are split here, as the library's own splitting has a bounded stack."""
-        if len(text) <= SPLIT:
+        """A's ids; texts with long runs of white space are split here, as the library's own splitting has a bounded stack."""
+        if not LONG_SPACE.search(text):
             return self.a.encode_ordinary(text)
         return [i for p in regex.findall(PATTERN, text) for i in self.merge.encode_ordinary(p)]
 
-    def encode(self, unit: str, spaced: bool) -> tuple[list[int], list[int], bool]:
-        """Ids of a unit, which stands after a space (``spaced``), or begins with a newline that is its own first byte."""
-        if not spaced:
-            whole, a, b = unit.encode(), self.merged(unit), self.b.encode(unit)[1:]
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Ids of a text that stands after a space, and whether both kinds give its bytes back."""
+        whole, a, b = b" " + text.encode(), self.merged(" " + text), self.b.encode(text)
+        return np.array(a, np.int64), np.array(b, np.int64), b"".join([self.bytes_a[i] for i in a]) == whole and b"".join([self.bytes_b[i] for i in b]) == whole
+
+    def reset(self) -> None:
+        self.index: dict[str | tuple[str], int] = {}
+        self.texts: list[bytes] = []
+        self.size = 0
+        #: n_a, n_b, n_groups, whether the bytes come back, and the begin of its pairs, of each unit.
+        self.facts, self.starts, self.pairs = np.zeros((1024, 4), np.int64), np.zeros(1025, np.int64), np.zeros(4096, np.int64)
+
+    def _put(self, keys: list, texts: list[bytes], facts: np.ndarray, sizes: np.ndarray, pairs: np.ndarray) -> None:
+        n, m = len(self.texts), int(self.starts[len(self.texts)])
+        for name, need in (("facts", n + len(keys)), ("starts", n + len(keys) + 1), ("pairs", m + len(pairs))):
+            x = getattr(self, name)
+            if need > len(x):
+                setattr(self, name, np.concatenate([x, np.zeros((max(need, 2 * len(x)) - len(x), *x.shape[1:]), x.dtype)]))
+        self.facts[n : n + len(keys)] = facts
+        self.starts[n + 1 : n + len(keys) + 1] = m + np.cumsum(sizes)
+        self.pairs[m : m + len(pairs)] = pairs
+        self.index.update(zip(keys, range(n, n + len(keys))))
+        self.texts += texts
+        self.size += sum(map(len, texts)) + 8 * len(pairs)
+
+    def _one(self, key: str | tuple[str], unit: str, spaced: bool) -> None:
+        """A unit by itself, which stands after a space (``spaced``), or begins with a newline that is its own first byte."""
+        if spaced:
+            a, b, good = self.tokens(unit)
         else:
-            whole, a, b = b" " + unit.encode(), self.merged(" " + unit), self.b.encode(unit)
-        return a, b, b"".join([self.bytes_a[i] for i in a]) == whole and b"".join([self.bytes_b[i] for i in b]) == whole
-
-    def units_of(self, text: str) -> list[Unit]:
-        """The units of a text that stands after a space."""
-        first, *rest = self.split(text)
-        # Only the first may begin with a newline that is not where a unit was cut.
-        return [self.unit(first, True) if first[:1] != "\n" else self.made(first, True), *[self.unit(u, u[:1] != "\n") for u in rest]]
-
-    def made(self, unit: str, spaced: bool) -> Unit:
-        found = Unit()
-        found.a, found.b, found.good = self.encode(unit, spaced)
-        found.text, found.groups, found.pairs = self.aligned(found.a, found.b) if found.good else (b"", 0, [])
-        return found
-
-    def unit(self, unit: str, spaced: bool) -> Unit:
-        found = self.units.get(unit)
-        if found is None:
-            found = self.made(unit, spaced)
-            if len(unit) <= UNIT_BYTES:
-                if len(self.units) >= UNITS:
-                    self.units.clear()
-                self.units[unit] = found
-        return found
-
-    def aligned(self, a: list[int], b: list[int]) -> tuple[bytes, int, list[int]]:
-        """Groups as text, their number, and the pairs of links, of tokens that begin and end together."""
-        x, y = np.array(a, np.int64), np.array(b, np.int64)
-        ea, eb = np.cumsum(self.size_a[x]), np.cumsum(self.size_b[y])
-        ends = np.union1d(ea, eb)
-        pairs = x[np.searchsorted(ea, ends)] * self.n_b + y[np.searchsorted(eb, ends)]
-        both = np.intersect1d(ea, eb)
-        i, j = np.searchsorted(ea, both) + 1, np.searchsorted(eb, both) + 1
-        text, p, q = [], 0, 0
+            whole, a, b = unit.encode(), self.merged(unit), self.b.encode(unit)[1:]
+            good = b"".join([self.bytes_a[i] for i in a]) == whole and b"".join([self.bytes_b[i] for i in b]) == whole
+        text, n, pairs = self.aligned(a, b) if good else (b"", 0, np.zeros(0, np.int64))
+        self._put([key], [text], np.array([[len(a), len(b), n, good]]), np.array([len(pairs)]), pairs)
+
+    def _many(self, units: list[str]) -> None:
+        """Units without white space, encoded as one text: they are cut apart where a space stands between them."""
+        a, b, good = self.tokens(" ".join(units))
+        if not good:
+            for u in units:
+                self._one(u, u, True)
+            return
+        last = np.cumsum([len(u.encode()) + 1 for u in units])
+        ea, eb = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        ends, both, pairs = self.merged_ends(a, b, ea, eb)
+        at = [np.searchsorted(e, last, "right") for e in (ea, eb, both, ends)]
+        n_a, n_b, groups, links = (np.diff(x, prepend=0) for x in at)
+        texts, p = self.group_texts(a, b, np.searchsorted(ea, both) + 1, np.searchsorted(eb, both) + 1), 0
+        joined = []
+        for q in at[2].tolist():
+            joined.append(texts[p] if q == p + 1 else ";".join(texts[p:q]))
+            p = q
+        self._put(units, [t.encode() for t in joined], np.stack([n_a, n_b, groups, np.ones_like(groups)], axis=1), links, pairs)
+
+    def numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """The units of each text, as numbers; new ones are encoded together."""
+        if len(self.texts) > UNITS or self.size > UNITS * UNIT_BYTES:
+            self.reset()
+        split, lists = [self.split(t) if t else [] for t in texts], []
+        # Only the first unit may begin with a newline that is not where it was cut.
+        for units in split:
+            if units and units[0][:1] == "\n":
+                units[0] = (units[0],)
+        new = [u for u in dict.fromkeys(chain.from_iterable(split)) if u not in self.index]
+        plain = [u for u in new if isinstance(u, str) and len(u) <= UNIT_BYTES and len(u.split(None, 1)) == 1 and not u[0].isspace() and not u[-1].isspace()]
+        for i in range(0, len(plain), TOGETHER):
+            self._many(plain[i : i + TOGETHER])
+        for u in new:
+            if u not in self.index:
+                self._one(u, u[0] if isinstance(u, tuple) else u, isinstance(u, tuple) or u[:1] != "\n")
+        for units in split:
+            lists.append(np.fromiter(map(self.index.__getitem__, units), np.int64, len(units)))
+        return lists
+
+    def merged_ends(self, a: np.ndarray, b: np.ndarray, ea: np.ndarray, eb: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ends, common ends, and the pair that is linked before each end."""
+        every = np.concatenate([ea, eb])
+        every.sort()
+        again = every[1:] == every[:-1]
+        ends = every[np.concatenate([[True], ~again])] if len(every) else every
+        return ends, every[1:][again], a[np.searchsorted(ea, ends)] * self.n_b + b[np.searchsorted(eb, ends)]
+
+    @staticmethod
+    def group_texts(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[str]:
+        """Each group's ids as text; groups end before ``i`` in a and ``j`` in b."""
+        x, y, out, p, q = list(map(str, a.tolist())), list(map(str, b.tolist())), [], 0, 0
         for k, m in zip(i.tolist(), j.tolist()):
-            text.append(",".join(map(str, a[p:k])) + "|" + ",".join(map(str, b[q:m])))
+            out.append((x[p] if k == p + 1 else ",".join(x[p:k])) + "|" + (y[q] if m == q + 1 else ",".join(y[q:m])))
             p, q = k, m
-        return ";".join(text).encode(), len(text), pairs.tolist()
+        return out
+
+    def aligned(self, a: list[int] | np.ndarray, b: list[int] | np.ndarray) -> tuple[bytes, int, np.ndarray]:
+        """Groups as text, their number, and the pairs of links, of tokens that begin and end together."""
+        x, y = np.asarray(a, np.int64), np.asarray(b, np.int64)
+        ea, eb = np.cumsum(self.size_a[x]), np.cumsum(self.size_b[y])
+        _, both, pairs = self.merged_ends(x, y, ea, eb)
+        texts = self.group_texts(x, y, np.searchsorted(ea, both) + 1, np.searchsorted(eb, both) + 1)
+        return ";".join(texts).encode(), len(texts), pairs
 
     def split(self, text: str) -> list[str]:
         """Units of a text that stands after a space. A unit but the first begins after the space before it, or at its newline."""
@@ -179,22 +228,27 @@ def _aligner(byte_bpe: bytes, pieces: bytes) -> Aligner:
     return Aligner(byte_bpe, pieces)
 
 
-def counted(pairs: list[int] | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def counted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs and how often each comes."""
-    p, n = np.unique(np.asarray(pairs, np.int64), return_counts=True)
+    p, n = np.unique(pairs, return_counts=True)
     return p.astype(np.int32), n.astype(np.int32)
 
 
-def whole(al: Aligner, text: str) -> dict:
-    """A document of one fragment."""
-    units = al.units_of(text) if text else []
-    if not all(u.good for u in units):
-        units = []
-    pairs, times = counted([p for u in units for p in u.pairs])
-    return {
-        "n_a": sum(len(u.a) for u in units), "n_b": sum(len(u.b) for u in units), "n_groups": sum(u.groups for u in units), "n_links": int(times.sum()),
-        "sha": hashlib.sha256(b";".join([u.text for u in units])).hexdigest() if units else "", "pairs": pairs, "times": times,
-    }
+def whole(al: Aligner, texts: list[str]) -> list[dict]:
+    """Documents of one fragment each."""
+    out = []
+    for units in al.numbers(texts):
+        facts = al.facts[units]
+        if not len(units) or not facts[:, 3].all():
+            out.append({"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "sha": "", "pairs": np.zeros(0, np.int32), "times": np.zeros(0, np.int32)})
+            continue
+        first, sizes = al.starts[units], al.starts[units + 1] - al.starts[units]
+        at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        pairs, times = counted(al.pairs[at])
+        sha = hashlib.sha256(b";".join([al.texts[i] for i in units.tolist()])).hexdigest()
+        n_a, n_b, groups, _ = facts.sum(axis=0).tolist()
+        out.append({"n_a": n_a, "n_b": n_b, "n_groups": groups, "n_links": int(sizes.sum()), "sha": sha, "pairs": pairs, "times": times})
+    return out
 
 
 def ranges(text: bytes) -> Iterator[tuple[int, int, int, int]]:
@@ -239,10 +293,7 @@ def fragment(al: Aligner, part: str, lead: int, size: int) -> dict:
     ``part`` stands after a space that is not in it, which counts in ``lead`` and ``size`` (the document's own space,
     where it is its first part).
     """
-    units = al.units_of(part)
-    good = all(u.good for u in units)
-    a = np.array([i for u in units for i in u.a], np.int64)
-    b = np.array([i for u in units for i in u.b], np.int64)
+    a, b, good = al.tokens(part)
     ea, eb = np.cumsum(al.size_a[a]), np.cumsum(al.size_b[b])
     ka, kb = ((e > lead) & (e <= lead + size) for e in (ea, eb))
     a, b, ea, eb = a[ka], b[kb], ea[ka], eb[kb]
@@ -252,7 +303,7 @@ def fragment(al: Aligner, part: str, lead: int, size: int) -> dict:
         return out | {"prefix_a": a.tolist(), "prefix_b": b.tolist(), "suffix_a": [], "suffix_b": []}
     (i, j), (k, m) = ((int(np.searchsorted(ea, x)) + 1, int(np.searchsorted(eb, x)) + 1) for x in (both[0], both[-1]))
     if len(both) > 1:
-        out["closed"], out["n_groups"], out["pairs"] = al.aligned(a[i:k].tolist(), b[j:m].tolist())
+        out["closed"], out["n_groups"], out["pairs"] = al.aligned(a[i:k], b[j:m])
     return out | {"prefix_a": a[:i].tolist(), "prefix_b": b[:j].tolist(), "suffix_a": a[k:].tolist(), "suffix_b": b[m:].tolist()}
 
 
@@ -295,7 +346,7 @@ def first_pass(docs: DataFrame, byte_bpe: bytes, pieces: bytes) -> DataFrame:
             for lo, hi in slices(sizes, WINDOW):
                 short = [i for i in range(lo, hi) if sizes[i] <= LONG]
                 if short:
-                    yield _done([whole(al, column[i].as_py() or "") for i in short], {c: batch.column(c).take(pa.array(short)) for c in ("uid", "doc_id")}, range_types)
+                    yield _done(whole(al, [column[i].as_py() or "" for i in short]), {c: batch.column(c).take(pa.array(short)) for c in ("uid", "doc_id")}, range_types)
                 for i in (i for i in range(lo, hi) if sizes[i] > LONG):
                     text = column[i].as_py().encode()
                     for no, (left, begin, end, right) in enumerate(ranges(text)):
