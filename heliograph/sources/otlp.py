@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import schema as s
-from .text import double_text
+from .text import bound, double_sql, let
 
 # Names of the format, and of its numbered kinds.
 _VALUE = "variant"
@@ -32,40 +32,34 @@ SCHEMAS = {
 
 
 #: Arrays and maps within each other are written out down to this depth; what lies deeper stays as the format has it.
-DEPTH = 12
+DEPTH = 8
 
 
-def _quoted(c: Column) -> Column:
-    """A text as JSON."""
-    return F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
+def _get(name: str, kind: str) -> str:
+    return f"try_variant_get(v_, '$.{name}', '{kind}')"
 
 
-def _get(v: Column, path: str, kind: str) -> Column:
-    return F.try_variant_get(v, f"$.{path}", kind)
+def _quoted(text: str) -> str:
+    """SQL of a text as JSON, null for none."""
+    return f"if({text} IS NULL, NULL, substr(to_json(array({text})), 2, length(to_json(array({text}))) - 2))"
 
 
-def _inner(v: Column, depth: int = DEPTH) -> Column:
-    """A value within an array or a map, as JSON."""
-    text, raw = _get(v, "stringValue", "string"), _get(v, "bytesValue", "string")
-    scalar = F.coalesce(F.when(text.isNotNull(), _quoted(text)), _get(v, "boolValue", "boolean").cast("string"), _get(v, "intValue", "bigint").cast("string"), double_text(_get(v, "doubleValue", "double")), F.when(raw.isNotNull(), _quoted(raw)))
-    if depth == 0:
-        return F.coalesce(scalar, F.to_json(v), F.lit("null"))
-    return F.coalesce(scalar, _nested(v, depth - 1), F.lit("null"))
-
-
-def _nested(v: Column, depth: int = DEPTH) -> Column:
-    """An array or a map as JSON, null where the value is neither. Items and entries are laid out alike, so each level is one pass."""
-    items, entries = _get(v, "arrayValue", "struct<values array<variant>>"), _get(v, "kvlistValue", "struct<values array<struct<key string, value variant>>>")
-    plain = F.transform(items["values"], lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")))
-    parts = F.transform(F.coalesce(plain, entries["values"]), lambda e: F.concat(F.when(e["key"].isNotNull(), F.concat(_quoted(e["key"]), F.lit(":"))).otherwise(""), _inner(e["value"], depth)))
-    body = F.array_join(F.coalesce(parts, F.array().cast("array<string>")), ",")
-    return F.concat(F.when(items.isNotNull(), F.lit("[")).when(entries.isNotNull(), F.lit("{")), body, F.when(items.isNotNull(), F.lit("]")).otherwise(F.lit("}")))
+def _nested(depth: int) -> str:
+    """SQL of an array or a map ``v_`` as JSON, null where the value is neither. Items and entries are laid out alike, so each level is one pass."""
+    scalar = ", ".join([_quoted(_get("stringValue", "string")), f"cast({_get('boolValue', 'boolean')} AS string)", f"cast({_get('intValue', 'bigint')} AS string)", let("d_", _get("doubleValue", "double"), double_sql()), _quoted(_get("bytesValue", "string"))])
+    inner = f"coalesce({scalar}, {_nested(depth - 1) if depth else 'to_json(v_)'}, 'null')"
+    part = f"concat(if(e_.key IS NULL, '', concat({_quoted('e_.key')}, ':')), {let('v_', 'e_.value', inner)})"
+    items = "transform(a_.items.values, x_ -> struct(cast(NULL AS string) AS key, x_ AS value))"
+    body = f"array_join(transform(coalesce({items}, a_.entries.values, array()), e_ -> {part}), ',')"
+    both = f"struct({_get('arrayValue', 'struct<values:array<variant>>')} AS items, {_get('kvlistValue', 'struct<values:array<struct<key:string,value:variant>>>')} AS entries)"
+    return let("a_", both, f"if(a_.items IS NULL AND a_.entries IS NULL, NULL, concat(if(a_.items IS NULL, '{{', '['), {body}, if(a_.items IS NULL, '}}', ']')))")
 
 
 def _value(v: Column) -> Column:
-    return F.struct(
-        _get(v, "stringValue", "string").alias("string_value"), _get(v, "boolValue", "boolean").alias("bool_value"), _get(v, "intValue", "bigint").alias("int_value"), _get(v, "doubleValue", "double").alias("double_value"),
-        F.unbase64(_get(v, "bytesValue", "string")).alias("bytes_value"), _nested(v).alias("json_value"),
+    return bound(
+        v, "v_",
+        f"struct({_get('stringValue', 'string')} AS string_value, {_get('boolValue', 'boolean')} AS bool_value, {_get('intValue', 'bigint')} AS int_value, {_get('doubleValue', 'double')} AS double_value, "
+        f"unbase64({_get('bytesValue', 'string')}) AS bytes_value, {_nested(DEPTH)} AS json_value)",
     )
 
 
