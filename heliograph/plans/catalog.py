@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import cumulative, ingest, reports, scan, series, typed
+from ..operators import cumulative, ingest, reports, rollup, scan, series, typed
 from ..sources import adapters as a, schema
+from . import results
 from .requests import MAX_INT64, Limits, Series, TopValues
 
 #: All of time: every query reads its whole tables.
@@ -45,6 +46,12 @@ def d_1b(spark, d):
     return series.top_values(_logs(spark, d), TopValues("logs", ["service-name", "severity-text", "event-name", "scope-name", "trace-id"], START, END, 5, limits=ALL))
 
 
+def d_1s(spark, d):
+    """Trace and span ids, service and name by sketch: the rows that exact counts give."""
+    rows = a.order_spans(spark, d).withColumn("ServiceName", F.concat(F.lit("s"), F.left("TraceId", F.lit(2))))
+    return series.top_values_sketched(rows, TopValues("spans", ["trace-id", "service-name", "span-name"], START, END, 5, limits=ALL))
+
+
 def a_8(spark, d):
     u = scan.metric_union(a.gauges(spark, d), a.sums(spark, d, True), a.histograms(spark, d, True))
     return u.groupBy("MetricName", "ServiceName").agg(F.count("*").alias("n"))
@@ -52,7 +59,7 @@ def a_8(spark, d):
 
 def d_1c(spark, d):
     u = scan.metric_union(a.gauges(spark, d), a.sums(spark, d, True), a.histograms(spark, d, True))
-    return series.top_values(u, TopValues("metrics", ["service-name", "metric-name", "metric-unit", "scope-name"], START, END, 5, limits=ALL))
+    return series.top_values(u, TopValues("metrics", ["service-name", "metric-name", "metric-unit", "scope-name", "deployment-environment"], START, END, 5, limits=ALL))
 
 
 def a_7(spark, d):
@@ -95,6 +102,75 @@ def d_7(spark, d):
     return r6(flat, "sum", "avg", "p50", "p50_error", "p95")
 
 
+def d_6s(spark, d):
+    """The counter of d_6 in slices of seven hours, which hand their last snapshot on."""
+    q = Series("cumulative-counter", "events.click", START, END, ["increase", "rate"], ["service-name"], "1h", None, temporality="cumulative", monotonic=True, limits=ALL)
+    return r6(cumulative.counter_series(a.all_sums(spark, d), q, slice_nanos=7 * 3600 * 10**9), "increase", "rate")
+
+
+def d_2r(spark, d):
+    """Minutes rolled up to hours and then to days, with sketched quantiles that lie within the sketch's bound."""
+    minutes = rollup.partials(a.gauges(spark, d), 60 * 10**9, ["service-name"])
+    days = rollup.merged(rollup.merged(minutes, 3600 * 10**9), 86_400 * 10**9)
+    out = rollup.finished(days, ["count", "sum", "min", "max", "avg", "p50", "p95"])
+    # Twice the bound: it holds with a confidence of 99 %, and there are many days.
+    off, v = 2 * rollup.rank_error(), F.col("Value").cast("double")
+    day = rollup.start_of(F.col("time_unix") * 10**9, 86_400 * 10**9)
+    exact = a.gauges(spark, d).groupBy(day.alias("bucket_start_nanos"), F.col("ServiceName").alias("service_name")).agg(*[F.percentile(v, F.lit(min(1.0, max(0.0, q + s * off)))).alias(f"{n}{'lh'[s > 0]}") for n, q in (("p50", 0.5), ("p95", 0.95)) for s in (-1, 1)])
+    both = out.join(exact, ["bucket_start_nanos", "service_name"])
+    # A sketch of few points gives one of them, the exact quantile lies between two.
+    near = [((F.col(n) >= F.col(f"{n}l")) & (F.col(n) <= F.col(f"{n}h")) | (F.col("count") * off < 2)).alias(f"{n}_near") for n in ("p50", "p95")]
+    return r6(both.select("bucket_start_nanos", "MetricName", "service_name", "count", "sum", "min", "max", "avg", *near), "sum", "avg")
+
+
+def d_9c(spark, d):
+    """Matches and coverage of one scan: every match with the counts of all rows."""
+    rows, fields = _typed_spans(spark, d)
+    found = typed.typed_matches(rows, typed.bound_field(fields, typed.typed_fields(spark, fields, "otel_traces").where("key = 'k'").first().schema_binding), "gte", 50, START, END, 50, ALL)
+    return _with_coverage(spark, found)
+
+
+def d_12c(spark, d):
+    rows, fields = _typed_logs(spark, d)
+    return _with_coverage(spark, typed.typed_matches(rows, fields[1], "starts-with", "n-pur", START, END, 50, ALL))
+
+
+def _with_coverage(spark, found):
+    matches, coverage = found.answer()  # at most 50 rows
+    return spark.createDataFrame(matches, found.rows.schema).select("*", *[F.lit(n).cast("long").alias(c) for c, n in coverage.items()])
+
+
+def d_14(spark, d):
+    """Bindings of all typed columns of points, as queries accept them."""
+    return _discovered(spark, d, "gauge").unionByName(_discovered(spark, d, "sum")).unionByName(_discovered(spark, d, "histogram"))
+
+
+def _discovered(spark, d, kind):
+    """Each binding with the number of rows that its field is valid in, asked by that binding alone."""
+    rows, fields = _typed_points(kind)(spark, d)
+    found = typed.typed_fields(spark, fields, f"otel_metrics_{kind}")
+    out = None
+    for r in found.collect():
+        valid = typed.typed_coverage(rows, typed.bound_field(fields, r.schema_binding), START, END, ALL).select("valid")
+        one = valid.select(F.lit(r.metric_kind).alias("metric_kind"), F.lit(r.key).alias("key"), F.lit(r.schema_binding.field_id).alias("field_id"), F.lit(r.schema_binding.manifest_version).cast("long").alias("manifest_version"), F.lit(",".join(r.operators)).alias("operators"), "valid")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def e_11(spark, d):
+    """The series of d_4 through the declared shape of its result."""
+    q = Series("histogram", "latency.view", START, END, ["count", "sum", "avg"], ["service-name"], "1h", None, limits=ALL)
+    both = a.histograms(spark, d, False).unionByName(a.histograms(spark, d, True))
+    return r6(results.shaped(series.metric_series(both, q), results.series_shape(q), q.max_text_length), "sum", "avg").withColumn("count", F.col("count").cast("long"))
+
+
+def d_24t(spark, d):
+    """The difference of d_24b by digests of days and ranges of spans."""
+    written = a.spans(spark, d)
+    read = written.where("event_id % 50 != 0").withColumn("StatusCode", F.when(F.col("event_id") % 75 == 1, "Lost").otherwise(F.col("StatusCode")))
+    return reports.difference_by_tree(written, read, "timestamp_nanos DIV 86400000000000", "xxhash64(SpanId)").select("side", "SpanId", "StatusCode")
+
+
 def d_23(spark, d):
     return r6(reports.dashboard(a.spans(spark, d), approximate=False), "p95_ms")
 
@@ -251,7 +327,7 @@ b_5 = _point("b_5", lambda r: r6(ingest.gauges(ingest.metric_points(r, "gauge"))
 b_6 = _point("b_6", lambda r: r6(ingest.sums(ingest.metric_points(r, "sum")).groupBy("MetricName", "AggregationTemporality", "IsMonotonic").agg(F.count("*").alias("n"), F.sum("Value").alias("total")), "total"))
 b_7 = _point("b_7", lambda r: r6(ingest.histograms(ingest.metric_points(r, "histogram")).groupBy("MetricName").agg(F.count("*").alias("n"), F.sum("Sum").alias("total"), F.max("Min").alias("least"), F.sum(F.get("BucketCounts", F.lit(0))).cast("long").alias("b0")), "total"))
 
-QUERIES = {f.__name__: f for f in (a_7, a_8, a_14, b_1, b_2, b_5, b_6, b_7, b_23, b_25, c_3, c_5, c_7, d_1a, d_1b, d_1c, d_2, d_3, d_4, d_5, d_6, d_7, d_8, d_9, d_10, d_11, d_12, d_13, d_23, d_24, d_24b, d_25)}
+QUERIES = {f.__name__: f for f in (a_7, a_8, a_14, b_1, b_2, b_5, b_6, b_7, b_23, b_25, c_3, c_5, c_7, d_1a, d_1b, d_1c, d_1s, d_2, d_2r, d_3, d_4, d_5, d_6, d_6s, d_7, d_8, d_9, d_9c, d_10, d_11, d_12, d_12c, d_13, d_14, d_23, d_24, d_24b, d_24t, d_25, e_11)}
 for _n, _k in ((17, "gauge"), (18, "sum"), (19, "histogram")):
     QUERIES[f"d_{_n}"], QUERIES[f"d_{_n + 3}"] = _point_queries(_k)
 
@@ -259,7 +335,7 @@ STATUS = "CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 WHEN 'error' TH
 NOTE_STATUS = "CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 WHEN 'signup' THEN 2 ELSE 3 END"
 COVER = "SELECT count(*) AS total, count(*) FILTER (st = 3) AS valid, count(*) FILTER (st = 2) AS present_empty, count(*) FILTER (st = 1) AS absent, count(*) FILTER (st = 4) AS invalid, count(*) FILTER (st = 0 AND held) AS fallback, count(*) FILTER (st = 0 AND NOT held) AS unavailable, 0::BIGINT AS unknown_status FROM"
 ORDER_SPANS = "s AS (SELECT epoch_us(o_orderdate::TIMESTAMP) // 1000000 AS t, o_orderkey::VARCHAR AS TraceId, o_orderkey::VARCHAR AS SpanId, '' AS ParentSpanId FROM orders UNION ALL SELECT epoch_us(l_shipdate::TIMESTAMP) // 1000000, l_orderkey::VARCHAR, (l_orderkey * 10 + l_linenumber)::VARCHAR, l_orderkey::VARCHAR FROM lineitem)"
-UNION = f"u AS (SELECT 'event.value' AS name, svc, sec AS t FROM e UNION ALL SELECT 'events.' || event_type, svc, d + hour * 3600 FROM g UNION ALL SELECT 'latency.' || event_type, svc, d + hour * 3600 FROM g)"
+UNION = f"u AS (SELECT 'event.value' AS name, svc, sec AS t, env FROM e UNION ALL SELECT 'events.' || event_type, svc, d + hour * 3600, '' FROM g UNION ALL SELECT 'latency.' || event_type, svc, d + hour * 3600, '' FROM g)"
 
 ORACLES = {
     "a_7": f"WITH {E} SELECT trace AS TraceId, span AS SpanId, tns AS timestamp_nanos, event_type AS SpanName, svc AS ServiceName, duration AS Duration FROM e",
@@ -278,7 +354,7 @@ ORACLES = {
     "c_7": f"WITH {E}, t AS (SELECT *, {STATUS} AS st, {NOTE_STATUS} AS ns FROM e) SELECT event_type AS SpanName, " + ", ".join(f"count(*) FILTER ({c} = {i}) AS {n}_{i}" for n, c in (("k", "st"), ("note", "ns")) for i in range(5)) + ", sum(CASE WHEN st = 3 THEN k::BIGINT ELSE 0 END)::BIGINT AS k_sum FROM t GROUP BY 1",
     "d_1a": f"WITH {E} " + _top(SPAN_FIELDS, "e", "spans", 5),
     "d_1b": f"WITH {E} " + _top({"service-name": "svc", "severity-text": "CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END", "event-name": "event_type", "scope-name": "''", "trace-id": "trace"}, "e", "logs", 5),
-    "d_1c": f"WITH {E}, {GRID}, {UNION} " + _top({"service-name": "svc", "metric-name": "name", "metric-unit": "'ms'", "scope-name": "CASE WHEN name != '' THEN 'events' END"}, "u", "metrics", 5),
+    "d_1c": f"WITH {E}, {GRID}, {UNION} " + _top({"service-name": "svc", "metric-name": "name", "metric-unit": "'ms'", "scope-name": "CASE WHEN name != '' THEN 'events' END", "deployment-environment": "env"}, "u", "metrics", 5),
     "d_2": f"WITH {E} SELECT (sec - sec % 3600) * 1000000000 AS bucket_start_nanos, svc AS service_name, count(*) AS count, round(sum(value), 6) AS sum, min(value) AS min, max(value) AS max, round(avg(value), 6) AS avg, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99 FROM e GROUP BY 1, 2",
     "d_3": f"WITH {E}, {GRID} SELECT svc AS service_name, count(*) AS count, round(sum(c)::DOUBLE, 6) AS sum, max(c)::DOUBLE AS max, round(avg(c), 6) AS avg FROM g WHERE event_type = 'view' GROUP BY 1",
     "d_4": f"WITH {E}, {GRID} SELECT (d + hour * 3600) * 1000000000 AS bucket_start_nanos, svc AS service_name, sum(c)::BIGINT AS count, round(sum(v), 6) AS sum, CASE WHEN sum(c) = 0 THEN 0.0 ELSE round(sum(v) / sum(c), 6) END AS avg FROM g WHERE event_type = 'view' GROUP BY 1, 2",
@@ -308,3 +384,11 @@ ORACLES["d_20"] = f"WITH {E} SELECT sec AS time_unix, 'event.value' AS MetricNam
 for _n, _stem, _v in ((18, "events.", "sum(c) OVER (PARTITION BY event_type, svc, d ORDER BY hour)"), (19, "latency.", "c")):
     ORACLES[f"d_{_n}"] = f"WITH {E}, {GRID} {COVER} (SELECT {STATUS} AS st, hour % 2 = 0 AS held FROM g)"
     ORACLES[f"d_{_n + 3}"] = f"WITH {E}, {GRID}, p AS (SELECT *, ({_v})::DOUBLE AS point FROM g) SELECT d + hour * 3600 AS time_unix, '{_stem}' || event_type AS MetricName, svc AS ServiceName, point, hour::BIGINT AS typed_value FROM p WHERE {STATUS} = 3 AND hour < 20"
+ORACLES["d_6s"], ORACLES["d_24t"], ORACLES["e_11"] = ORACLES["d_6"], ORACLES["d_24b"], ORACLES["d_4"]
+ORACLES["d_1s"] = f"WITH {ORDER_SPANS} " + _top({"trace-id": "TraceId", "service-name": "'s' || left(TraceId, 2)", "span-name": "CASE WHEN ParentSpanId = '' THEN 'order' ELSE 'line' END"}, "s", "spans", 5)
+ORACLES["d_2r"] = f"WITH {E} SELECT (sec - sec % 86400) * 1000000000 AS bucket_start_nanos, 'event.value' AS MetricName, svc AS service_name, count(*) AS count, round(sum(value), 6) AS sum, min(value) AS min, max(value) AS max, round(avg(value), 6) AS avg, true AS p50_near, true AS p95_near FROM e GROUP BY 1, 3"
+for _n, _status, _held in (("d_9", STATUS, "event_id % 2 = 0"), ("d_12", NOTE_STATUS, "false")):
+    ORACLES[f"{_n}c"] = ORACLES[_n].replace(f"WITH {E} ", f"WITH {E}, m AS (", 1) + f"), c AS ({COVER} (SELECT {_status} AS st, {_held} AS held FROM e)) SELECT * FROM m, c"
+ORACLES["d_14"] = f"""WITH {E}, {GRID}, p AS (SELECT 'gauge' AS kind, event_type FROM e UNION ALL SELECT 'sum', event_type FROM g UNION ALL SELECT 'histogram', event_type FROM g),
+ v AS (SELECT kind, 'k' AS key, count(*) FILTER ({STATUS} = 3) AS valid FROM p GROUP BY 1 UNION ALL SELECT kind, 'note', count(*) FILTER ({NOTE_STATUS} = 3) FROM p GROUP BY 1)
+ SELECT kind AS metric_kind, key, 'attribute_' || sha256('{{"signal":"metrics","table":"otel_metrics_' || kind || '","location":"point","key":"' || key || '"}}')[:20] AS field_id, 1::BIGINT AS manifest_version, CASE key WHEN 'k' THEN 'eq,gte,lt' ELSE 'eq,starts-with,contains' END AS operators, valid FROM v"""

@@ -86,7 +86,8 @@ def _metric_columns(df: DataFrame, name: Column, attributes: Column, start: Colu
 def gauges(spark: SparkSession, d: str) -> DataFrame:
     e = events(spark, d).withColumn("Value", F.col("value").cast("double"))
     at = F.floor(F.col("tns") / F.lit(1_000_000_000)).cast("long")
-    return _metric_columns(e, F.lit("event.value"), F.create_map(F.lit("event_type"), F.col("event_type")), at, at)
+    df = _metric_columns(e, F.lit("event.value"), F.create_map(F.lit("event_type"), F.col("event_type")), at, at)
+    return df.withColumn("ResourceAttributes", F.create_map(F.lit("service.name"), F.col("svc"), F.lit("deployment.environment.name"), _env()))
 
 
 def _grid(spark: SparkSession, d: str) -> DataFrame:

@@ -30,5 +30,5 @@ def double_sql() -> str:
 
 
 def double_text(x: Column) -> Column:
-    """A double as JSON writes it: the fewest digits, without exponent from 1e-6 up to 1e21 (1, 0.1, 1e+21, 1.5e-7)."""
+    """A double as JSON writes it: the digits of its Spark text, without exponent from 1e-6 up to 1e21 (1, 0.1, 1e+21, 1.5e-7)."""
     return bound(x, "d_", double_sql())
