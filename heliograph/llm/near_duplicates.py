@@ -55,6 +55,8 @@ FACTORS = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, ROWS, dty
 ADDENDS = np.random.Generator(np.random.PCG64(6)).integers(0, 1 << 63, ROWS, dtype=np.uint64)
 #: A row looks for a text's least k-mers among about this many first, and among all only where these are too few.
 SOME = 16
+#: Bytes of the texts of some pairs, up to which they are broadcast.
+SMALL_BYTES = 16 << 20
 #: Bits of a print.
 PRINT = 2048
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -308,10 +310,20 @@ def _near(a: str = "a", b: str = "b") -> Column:
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) that are near duplicates."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    rows = small_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"))
+    """Those of ``pairs`` (a, b) that are near duplicates.
+
+    Many pairs of few texts, as within a large group, would move each text once for each of its pairs. So texts that together stay
+    within SMALL_BYTES are broadcast; others are joined by shuffle.
+    """
+    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    used = cut(texts.join(used, "node", "left_semi"))
+    size = used.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    side = F.broadcast if size <= SMALL_BYTES else lambda t: t
+    left = side(used.select(F.col("node").alias("a"), F.col("text").alias("text_a")))
+    right = side(used.select(F.col("node").alias("b"), F.col("text").alias("text_b")))
+    # Pairs are dealt to all tasks, also where few of them fill few partitions.
+    dealt = pairs.repartition("a", "b") if size <= SMALL_BYTES else pairs
+    rows = small_batches(dealt.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"))
     return rows.mapInArrow(_verify, "a long, b long, good boolean").where("good").select("a", "b")
 
 
