@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources import schema as s
-from ..sources.text import double_text
+from ..sources.text import bound, double_sql, let
 from . import typed
 
 NANOS = 1_000_000_000
@@ -15,23 +15,24 @@ def text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def _value_sql(v: str) -> str:
+    number = let("d_", f"{v}.double_value", double_sql())
+    return f"coalesce({v}.string_value, cast({v}.bool_value AS string), cast({v}.int_value AS string), {number}, base64({v}.bytes_value), {v}.json_value, '')"
+
+
 def value_text(v: Column) -> Column:
-    """A typed value as text: bytes in base64, arrays and maps as their JSON, nothing as ''."""
-    return F.coalesce(v["string_value"], v["bool_value"].cast("string"), v["int_value"].cast("string"), double_text(v["double_value"]), F.base64(v["bytes_value"]), v["json_value"], F.lit(""))
+    """A typed value as text: doubles as JSON has them, bytes in base64, arrays and maps as their JSON, nothing as ''."""
+    return bound(v, "v_", _value_sql("v_"))
 
 
 def attribute_map(attrs: Column) -> Column:
     """Entries as a map of texts; of equal keys the last wins."""
-    entries = F.filter(F.coalesce(attrs, F.array().cast(s.ATTRS)), lambda e: e["key"].isNotNull())
-
-    def last(all_: Column) -> Column:
-        texts = F.transform(all_, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), value_text(e["value"]).alias("text")))
-        # Only where a key comes twice are entries sorted, so that the last of each is the one before another key.
-        kept = F.transform(F.array(F.array_sort(texts)), lambda x: F.filter(x, lambda e, i: ~F.coalesce(F.get(x, i + 1)["key"] == e["key"], F.lit(False))))
-        once = F.size(F.array_distinct(all_["key"])) == F.size(all_)
-        return F.map_from_entries(F.transform(F.when(once, texts).otherwise(F.element_at(kept, 1)), lambda e: F.struct(e["key"], e["text"])))
-
-    return F.element_at(F.transform(F.array(entries), last), 1)
+    texts = f"transform(a_, e_ -> struct(e_.key AS key, {_value_sql('e_.value')} AS text))"
+    # Only where a key comes twice is each entry compared with those after it.
+    last = "filter(a_, (e_, i_) -> NOT exists(slice(a_, i_ + 2, size(a_)), f_ -> f_.key = e_.key))"
+    distinct = let("a_", f"if(size(array_distinct(a_.key)) = size(a_), a_, {last})", f"map_from_entries({texts})")
+    named = let("a_", "if(exists(a_, e_ -> e_.key IS NULL), filter(a_, e_ -> e_.key IS NOT NULL), a_)", distinct)
+    return bound(attrs, "a_", f"if(a_ IS NULL OR size(a_) = 0, cast(map() AS map<string, string>), {named})")
 
 
 def _typed(fields: list[typed.TypedField], places: dict[str, str]) -> list[Column]:

@@ -48,7 +48,9 @@ def top_values_sketched(df: DataFrame, request: TopValues, tracked: int = TRACKE
     counts = cut(counts)
     facts = {r["field"]: r for r in counts.groupBy("field").agg(F.sum("count").alias("all"), F.sort_array(F.collect_list("count"), asc=False).alias("counts")).select("field", "all", F.get("counts", F.lit(request.limit - 1)).alias("last")).collect()}
     # Either the proposed values are all there are, or the last one wanted comes more often than any other can.
-    sure = {r["field"] for r in found if (x := facts[r["field"]])["all"] == r["n"] or (x["last"] or 0) > max(3.5 / tracked * r["n"], r["least"])}
+    # A sketch that keeps no value proposes none.
+    known = [(r, facts[r["field"]]) for r in found if r["field"] in facts]
+    sure = {r["field"] for r, x in known if x["all"] == r["n"] or (x["last"] or 0) > max(3.5 / tracked * r["n"], r["least"])}
     rest = [f for f in request.fields if f not in sure and any(r["field"] == f for r in found)]
     if rest:
         counts = counts.where(~F.col("field").isin(rest)).unionByName(_cells(df, request, rest).groupBy("field", "value").agg(F.count("*").alias("count")))

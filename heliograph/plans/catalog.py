@@ -311,12 +311,15 @@ def c_5(spark, d):
 
 def _point(name, own):
     def query(spark, d):
-        e = a.events(spark, d)
-        bucket = F.array(*[F.when(sum((F.col("value") > b).cast("int") for b in a.BOUNDS) == i, 1).otherwise(0).cast("decimal(20,0)") for i in range(5)])
-        null = lambda t: F.lit(None).cast(t)
-        point = F.struct(F.col("tns").alias("start_time_unix_nano"), (F.col("tns") + 1_500_000_000).alias("time_unix_nano"), null(schema.ATTRS).alias("attributes"), F.col("value").alias("value"), F.lit(1).cast("decimal(20,0)").alias("count"), F.col("value").alias("sum"), bucket.alias("bucket_counts"), null("double").alias("min"), F.col("value").alias("max"))
-        metric = lambda kind: F.struct(F.concat(F.lit("m."), "event_type").alias("name"), null("string").alias("description"), F.lit("ms").alias("unit"), F.lit(kind).alias("type"), F.when(F.col("event_id") % 2 == 0, "delta").otherwise("cumulative").alias("temporality"), F.lit(True).alias("monotonic"), F.array(*map(F.lit, a.BOUNDS)).alias("explicit_bounds"), F.array(point, point).alias("data_points"))
-        records = e.select(null(schema.RESOURCE).alias("resource"), F.array(F.struct(null(schema.SCOPE).alias("scope"), F.array(metric("gauge"), metric("sum"), metric("histogram")).alias("metrics"))).alias("scope_metrics"))
+        """A gauge, a sum and a histogram for each event, of two points each; a point has what its kind has."""
+        e = a.spread(a.events(spark, d))
+        bucket = ", ".join(f"cast(if({' + '.join(f'int(value > {b}D)' for b in a.BOUNDS)} = {i}, 1, 0) AS decimal(20,0))" for i in range(5))
+        attrs, resource, scope = (t.simpleString() for t in (schema.ATTRS, schema.RESOURCE, schema.SCOPE))
+        point = lambda value, count, buckets: f"struct(tns AS start_time_unix_nano, tns + 1500000000 AS time_unix_nano, cast(NULL AS {attrs}) AS attributes, cast({value} AS double) AS value, cast({count} AS decimal(20,0)) AS count, cast({value if buckets is None else 'value'} AS double) AS sum, cast({buckets or 'NULL'} AS array<decimal(20,0)>) AS bucket_counts, cast(NULL AS double) AS min, cast(value AS double) AS max)"
+        numbers, counts = point("value", "NULL", None), point("NULL", "1", f"array({bucket})")
+        metric = lambda kind, p: f"struct(concat('m.', event_type) AS name, cast(NULL AS string) AS description, 'ms' AS unit, '{kind}' AS type, if(event_id % 2 = 0, 'delta', 'cumulative') AS temporality, true AS monotonic, array({', '.join(f'{b}D' for b in a.BOUNDS)}) AS explicit_bounds, array({p}, {p}) AS data_points)"
+        metrics = f"array({metric('gauge', numbers)}, {metric('sum', numbers)}, {metric('histogram', counts)})"
+        records = e.selectExpr(f"cast(NULL AS {resource}) AS resource", f"array(struct(cast(NULL AS {scope}) AS scope, {metrics} AS metrics)) AS scope_metrics")
         return own(records)
 
     query.__name__ = name

@@ -18,6 +18,12 @@ def events(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/events.parquet").withColumns({"tns": micros * 1000, "svc": service, "k": F.get_json_object("props", "$.k")})
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as there are cores, where its files give fewer: turning records into rows is work for each row, so one small file should not be one task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _env() -> Column:
     return F.when(F.col("user_id") % 2 == 0, "prod").otherwise("test")
 
@@ -44,7 +50,7 @@ def order_spans(spark: SparkSession, d: str) -> DataFrame:
 
 def span_records(spark: SparkSession, d: str) -> DataFrame:
     """Events as raw span records."""
-    e = events(spark, d)
+    e = spread(events(spark, d))
     value = lambda **kw: F.struct(*[(kw.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name) for f in s.VALUE])
     entry = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
     attrs = F.array(entry("k", value(int_value=F.col("k").cast("long"))), entry("type", value(string_value=F.col("event_type"))), entry("type", value(string_value=F.upper("event_type"))), entry("odd", value(bool_value=F.col("event_id") % 2 == 1)))
@@ -61,7 +67,7 @@ def span_records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def log_records(spark: SparkSession, d: str) -> DataFrame:
-    e = events(spark, d)
+    e = spread(events(spark, d))
     value = lambda **kw: F.struct(*[(kw.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name) for f in s.VALUE])
     null = lambda name: F.lit(None).cast(s.LOG_RECORD[name].dataType).alias(name)
     is_error = F.col("event_type") == "error"

@@ -32,7 +32,7 @@ SCHEMAS = {
 
 
 #: Arrays and maps within each other are written out down to this depth; what lies deeper stays as the format has it.
-DEPTH = 8
+DEPTH = 5
 
 
 def _get(name: str, kind: str) -> str:

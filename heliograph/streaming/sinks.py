@@ -58,12 +58,17 @@ def _each(path: str, stream: str, write: Callable[[DataFrame, str], None]) -> Ca
     return run
 
 
-def _store(rows: DataFrame, path: str, table: str, number: str, fields: Fields) -> DataFrame:
-    """Valid rows into their table, the others with their violations beside it. Gives the valid ones."""
-    good, bad = ingest.split_violations(rows)
-    append(good, path, table, number, fields)
-    bad.write.mode("overwrite").parquet(f"{path}/rejected/{table}/batch={number}")
-    return good
+def _store(rows: DataFrame, path: str, table: str, number: str, fields: Fields, also: Callable[[DataFrame], None] | None = None) -> None:
+    """Valid rows into their table (and to ``also``), the others with their violations beside it. Records are turned into rows once."""
+    marked = ingest.with_violations(rows).persist()
+    try:
+        good = marked.where(F.size("violations") == 0).drop("violations")
+        append(good, path, table, number, fields)
+        if also is not None:
+            also(good)
+        marked.where(F.size("violations") > 0).write.mode("overwrite").parquet(f"{path}/rejected/{table}/batch={number}")
+    finally:
+        marked.unpersist()
 
 
 def _of(fields: Fields, table: str) -> list[typed.TypedField]:
@@ -72,7 +77,7 @@ def _of(fields: Fields, table: str) -> list[typed.TypedField]:
 
 def write_spans(records: DataFrame, path: str, number: str, fields: Fields = ()) -> None:
     own = _of(fields, "otel_traces")
-    append_lookup(_store(ingest.spans(records, fields=own), path, "otel_traces", number, own), path, number)
+    _store(ingest.spans(records, fields=own), path, "otel_traces", number, own, lambda good: append_lookup(good, path, number))
 
 
 def write_logs(records: DataFrame, path: str, number: str, fields: Fields = ()) -> None:
