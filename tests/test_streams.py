@@ -137,11 +137,12 @@ def test_lines_that_are_no_requests_are_kept(spark, tmp_path):
 
 
 def test_batches_without_marker_are_invisible(spark, tmp_path):
-    records = lambda *n: otlp.span_records(otlp.requests(spark.createDataFrame([(body(*map(span, n)),)], "line string"), "spans"))
+    parsed = lambda signal, text: otlp.RECORDS_OF[signal](otlp.requests(spark.createDataFrame([(text,)], "line string"), signal))
+    fixed = lambda df: spark.createDataFrame(df.collect(), df.schema)  # noqa: E731  parsed once
+    records = lambda *n: fixed(parsed("spans", body(*map(span, n))))
     metric = {"resourceMetrics": [{"resource": {}, "scopeMetrics": [{"scope": {}, "metrics": [{"name": "g", "gauge": {"dataPoints": [{"timeUnixNano": "1700000001000000000", "asDouble": 1.5}]}}, {"name": "c", "sum": {"aggregationTemporality": 2, "isMonotonic": True, "dataPoints": [{"startTimeUnixNano": "1", "timeUnixNano": "1700000001000000000", "asInt": 7}]}}, {"name": "h", "histogram": {"aggregationTemporality": 1, "dataPoints": [{"timeUnixNano": "1700000001000000000", "count": 3, "sum": 6.0, "bucketCounts": [1, 2], "explicitBounds": [10.0], "min": 1, "max": 3}]}}]}]}]}
     log = {"resourceLogs": [{"resource": {}, "scopeLogs": [{"scope": {}, "logRecords": [{"timeUnixNano": "5", "body": {"stringValue": "x"}}]}]}]}
-    points_ = otlp.metric_records(otlp.requests(spark.createDataFrame([(json.dumps(metric),)], "line string"), "metrics"))
-    logs = otlp.log_records(otlp.requests(spark.createDataFrame([(json.dumps(log),)], "line string"), "logs"))
+    points_, logs = fixed(parsed("metrics", json.dumps(metric))), fixed(parsed("logs", json.dumps(log)))
     path = str(tmp_path)
     assert commits.read_table(spark, path, "otel_traces").count() == 0
     for number in ("0", "1"):  # the second batch is killed before its marker
