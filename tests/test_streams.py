@@ -54,7 +54,9 @@ def run(spark, root, points, expiry_ms=None):
     df = snapshots(spark, points)
     df.coalesce(1).write.mode("append").parquet(f"{root}/in")
     stream = spark.readStream.schema(df.schema).parquet(f"{root}/in")
-    differencing.store_intervals(differencing.counter_intervals(stream, request, expiry_ms), request, f"{root}/out", f"{root}/check").trigger(availableNow=True).start().awaitTermination(120)
+    query = differencing.store_intervals(differencing.counter_intervals(stream, request, expiry_ms), request, f"{root}/out", f"{root}/check").trigger(availableNow=True).start()
+    query.awaitTermination(120 if expiry_ms is None else 25)  # with expiry Spark goes on making batches without rows
+    query.stop()
     return request, spark.read.parquet(f"{root}/out")
 
 
