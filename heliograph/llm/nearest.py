@@ -1,20 +1,26 @@
 """Operator 1: approximate nearest neighbours by collision-counting hashing.
 
-Every vector is hashed by random projections, one number each. In a block of
-vectors each projection is a sorted array. A query opens a window around its own
-number in every array and counts how often each vector falls inside; widening the
-windows by a factor repeats the count at the next radius without other hash
-tables (virtual rehashing). A vector that collides in ``threshold`` of the arrays
-is verified: its distance is computed on the original numbers. A query stops in a
-block when a vector at the distance of its k-th best would have reached the
-threshold with probability ``certainty``.
+A hash function is a set of pivots, drawn from the vectors: a vector falls into the cell
+of the pivot it is nearest to. A query opens in every function the cells of its nearest
+pivots and counts in how many functions each vector is met; opening twice as many cells
+repeats the count at the next radius without other hash tables (virtual rehashing). A
+vector met in ``threshold`` functions is verified: its distance is computed on the
+original numbers. Cells are chosen by the query where vectors are few, so a far vector
+is met in few functions.
+
+Radius and threshold are fitted in each block on a bounded sample of its rows: of all
+radii and thresholds that find the share ``recall`` of the sample's true neighbours
+(brute force, weighted by the chance that a neighbour in the block is one of all blocks),
+the cheapest is taken. A query that meets fewer than k vectors lowers its threshold,
+then widens its radius; the last one holds every vector. A query whose k-th best is
+farther than that of all of the sample is none the fit holds for, and goes to the last.
 
 Vectors are dealt into blocks by a hash, so many equal vectors spread over all
-blocks; queries go in blocks too, and a task holds one block of each. Only what
-the windows newly take in is counted at a radius. Each task leaves at most k rows a
-query, and the k best of all tasks are the answer. Every vector meets every query's
-arrays once, so the work grows with vectors times queries, as a stated query set
-against all rows does; blocks only bound memory and what is moved.
+blocks; queries go in blocks too, and a task holds one block of each. Equal vectors of a
+block are one node. Each task leaves at most k rows a query, and the k best of all tasks
+are the answer. Hashing is in proportion to the vectors and is most of the work up to
+about a million; counting and verifying a few hundredths of the vectors for every
+query grows with vectors times queries, so larger query blocks have more and finer cells.
 
 Defined results: vectors that are null, zero, or hold null or non-finite numbers
 take no part, nor those with a null id or another length than the commonest (of
@@ -29,16 +35,21 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import cut, table
 
-PROJECTIONS = 40
-#: A block of this many vectors (64 doubles each: 16 MB, and as much again for its arrays) and a block of queries fit one task.
+#: Hash functions, and the cells that a query opens in each at the radii that are fitted.
+FUNCTIONS, RADII = 64, (1, 2, 4, 8)
+#: Cells of a function (more for large query blocks), and the vectors of a cell at least.
+CELLS, CELL_ROWS = 128, 16
+#: Rows of a block on which radius and threshold are fitted, and the share of their neighbours to be found.
+SAMPLE, RECALL = 96, 0.97
+#: A block of this many vectors (64 doubles each: 16 MB, and as much again for its lists) and a block of queries fit one task.
 BLOCK_ROWS, QUERY_ROWS = 32768, 16384
-#: Queries of a block whose windows are laid out at once.
-AT_ONCE = 512
+#: Numbers of a block of vectors at most: those of more than 128 numbers make blocks of fewer rows.
+BLOCK_NUMBERS = 1 << 22
 
 
 def usable(rows: DataFrame, vector: str = "embedding", id_col: str = "vec_id") -> DataFrame:
@@ -49,77 +60,160 @@ def usable(rows: DataFrame, vector: str = "embedding", id_col: str = "vec_id") -
     return good.select(F.col(id_col).cast("long").alias("vec_id"), v.cast("array<double>").alias("v"))
 
 
-def chance(distance: float | np.ndarray, half_window: float, projections: int, threshold: int) -> np.ndarray:
-    """The probability that a vector at this distance collides in ``threshold`` projections or more."""
-    p = np.array([math.erf(half_window / (max(d, 1e-12) * math.sqrt(2))) for d in np.atleast_1d(distance)])
-    k = np.arange(threshold, projections + 1)
-    logs = np.array([math.lgamma(projections + 1) - math.lgamma(i + 1) - math.lgamma(projections - i + 1) for i in k])
-    p = np.clip(p, 1e-15, 1 - 1e-15)[:, None]
-    return np.exp(logs + k * np.log(p) + (projections - k) * np.log1p(-p)).sum(1)
+class Cells:
+    """Hash functions over the distinct vectors of a block: pivots, and the vectors of each cell."""
+
+    def __init__(self, vectors: np.ndarray, pivots_from: np.ndarray, functions: int, cells: int, rng: np.random.Generator):
+        # Hashing works on single numbers around the middle, of size 2 at most; distances are not taken from them.
+        self.scale = np.abs(vectors).max() or 1.0
+        self.middle = np.median(vectors / self.scale, axis=0)
+        self.x, self.n, self.cells = self.small(vectors), len(vectors), cells
+        self.squares = (self.x * self.x).sum(axis=1)
+        self.pivots, self.members, self.starts = [], [], []
+        for _ in range(functions):
+            p = self.x[rng.choice(pivots_from, cells, replace=False)]
+            self.pivots.append((p.T.copy(), (p * p).sum(axis=1) / 2))
+            cell = np.argmax(self.nearness(self.x, -1), axis=1).astype(np.uint16)
+            self.members.append(np.argsort(cell, kind="stable"))
+            self.starts.append([0, *np.cumsum(np.bincount(cell, minlength=cells)).tolist()])
+
+    def small(self, vectors: np.ndarray) -> np.ndarray:
+        return (vectors / self.scale - self.middle).astype(np.float32)
+
+    def nearness(self, x: np.ndarray, function: int) -> np.ndarray:
+        """(rows, cells): larger for pivots that are nearer."""
+        p, half = self.pivots[function]
+        return x @ p - half
+
+    def opened(self, x: np.ndarray, radius: int) -> np.ndarray:
+        """(functions, rows, radius): the cells of the nearest pivots, in no order."""
+        if radius >= self.cells:
+            return np.broadcast_to(np.arange(self.cells), (len(self.pivots), len(x), self.cells))
+        return np.stack([np.argpartition(-self.nearness(x, f), radius - 1, axis=1)[:, :radius] for f in range(len(self.pivots))])
+
+    def ordered(self, x: np.ndarray) -> np.ndarray:
+        """(functions, rows, cells): all cells, that of the nearest pivot first."""
+        return np.stack([np.argsort(-self.nearness(x, f), axis=1, kind="stable") for f in range(len(self.pivots))])
+
+    def met(self, cells: np.ndarray) -> np.ndarray:
+        """In how many functions each vector lies in the open ``cells`` (functions, cells)."""
+        parts = [m[s[c] : s[c + 1]] for m, s, row in zip(self.members, self.starts, cells.tolist()) for c in row]
+        return np.bincount(np.concatenate(parts), minlength=self.n)
+
+    def screened(self, found: np.ndarray, q: np.ndarray, most: int) -> np.ndarray:
+        """``found`` without what is certainly farther from ``q`` than ``most`` others: rounding of the single numbers is allowed for."""
+        if len(found) <= most:
+            return found
+        about = self.squares[found] - 2 * (self.x.take(found, axis=0) @ q)
+        return found[about <= np.partition(about, most - 1)[most - 1] + 2 * self.doubt(float(q @ q))]
+
+    def doubt(self, square: float) -> float:
+        """The most that a squared distance from a vector of this square is off by rounding."""
+        d, size = self.x.shape[1], float(self.squares.max()) + square
+        return 4 * (d + 4) * 2.0**-24 * size + 1e-14 * d * math.sqrt(size) + 1e-30 * d
+
+
+def fitted(index: Cells, sample: np.ndarray, k: int, blocks: int, recall: float) -> tuple[int, int, float]:
+    """Radius and threshold that find the share ``recall`` of the sample's neighbours with least work (all cells, where none does), and the largest distance of a k-th neighbour in the sample."""
+    k = min(k, index.n - 1)
+    # The chance that the j-th nearest of a block is one of the k nearest of all blocks, as rows are dealt by a hash.
+    share = [math.comb(k, j) * blocks**-j * (1 - 1 / blocks) ** (k - j) for j in range(k + 1)]
+    weight = np.cumsum(share[::-1])[::-1][1:]
+    functions = len(index.pivots)
+    products = index.x @ index.x[sample].T
+    cells, radii = index.ordered(index.x[sample]), [r for r in RADII if r < index.cells]
+    reach, verified, found, counted = 0.0, np.zeros((len(radii), functions + 1)), np.zeros((len(radii), functions + 1)), np.zeros(len(radii))
+    for n, row in enumerate(sample.tolist()):
+        d = index.squares - 2 * products[:, n]
+        d[row] = np.inf
+        near = np.argpartition(d, k - 1)[:k]
+        near = near[np.argsort(d[near], kind="stable")]
+        reach = max(reach, float(d[near[-1]] + index.squares[row]) + index.doubt(float(index.squares[row])))
+        met, before = np.zeros(index.n, np.int64), 0
+        for i, radius in enumerate(radii):
+            met += index.met(cells[:, n, before:radius])
+            before = radius
+            counted[i] += met.sum()
+            verified[i] += np.bincount(met, minlength=functions + 1)[::-1].cumsum()[::-1]
+            found[i] += np.bincount(met[near], weights=weight, minlength=functions + 1)[::-1].cumsum()[::-1]
+    # In units of one count: a cell opened is some 50, a vector of 64 numbers to verify some 25.
+    cost = counted[:, None] / len(sample) + 50 * functions * np.array(radii)[:, None] + verified / len(sample) * 25 * max(1, index.x.shape[1] / 64)
+    cost[found < recall * weight.sum() * len(sample)] = np.inf
+    cost[:, 0] = np.inf
+    if not len(radii) or np.isinf(cost).all():
+        return index.cells, functions, math.inf
+    i, threshold = np.unravel_index(np.argmin(cost), cost.shape)
+    return radii[i], int(threshold), math.sqrt(reach) * float(index.scale)
 
 
 def search_block(
     rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query_rows: np.ndarray, queries: np.ndarray,
-    k: int, seed: int = 7, projections: int = PROJECTIONS, threshold: int | None = None, ratio: float = 1.2, certainty: float = 0.95,
+    k: int, seed: int = 7, blocks: int = 1, functions: int = FUNCTIONS, recall: float = RECALL, work: dict[str, int] | None = None,
 ) -> list[tuple[int, int, float]]:
-    """(query row, vector id, distance) of at most k vectors a query, by collision counting inside one block. Rows tell a query's own vector."""
-    threshold = threshold or int(projections * 0.6)
-    axes = np.random.Generator(np.random.PCG64(seed)).standard_normal((vectors.shape[1], projections))
-    hashes, wanted = (vectors @ axes).T.copy(), (queries @ axes).T.copy()
-    columns = np.argsort(hashes, axis=1, kind="stable")
-    ranked = np.take_along_axis(hashes, columns, axis=1)
-    spread = float(np.median(np.abs(hashes - np.median(hashes, axis=1, keepdims=True)))) or 1.0
-    reach = float(max(hashes.max() - wanted.min(), wanted.max() - hashes.min(), spread))
-    # Half windows of all radii; the last holds every vector.
-    halves = [spread * 0.3]
-    while halves[-1] < reach:
-        halves.append(halves[-1] * ratio)
-    levels = np.array(halves)
-    # The largest distance that each radius finds with the certainty asked for.
-    grid = np.geomspace(1e-3, 1e3, 400) * spread
-    sure = [grid[np.searchsorted(-chance(grid, h, projections, threshold), -certainty, "right") - 1] for h in halves]
+    """(query row, vector id, distance) of at most k vectors a query, by collision counting inside one of ``blocks``. Rows tell a query's own vector; ``work`` adds up what was verified."""
+    # Equal vectors are one node; of its rows the k of least id can be wanted, and one more where a query's own is among them.
+    order = np.lexsort((rows, ids))
+    rows, ids, vectors = rows[order], ids[order], vectors[order] + 0.0
+    _, first, node = np.unique(vectors.view(np.dtype((np.void, vectors.shape[1] * 8))).ravel(), return_index=True, return_inverse=True)
+    by_node = np.argsort(node, kind="stable")
+    starts = np.searchsorted(node[by_node], np.arange(len(first) + 1))
+    held = np.minimum(np.diff(starts), k + 1)
+    vectors = vectors[first]
+    rng = np.random.Generator(np.random.PCG64(seed))
+    n = len(vectors)
+    sample = rng.choice(n, min(n, SAMPLE), replace=False)
+    others = np.setdiff1d(np.arange(n), sample) if n >= 4 * SAMPLE else np.arange(n)
+    index = Cells(vectors, others, functions, max(1, min(max(CELLS, int(2 * math.sqrt(len(queries)))), n // CELL_ROWS)), rng)
+    radius, threshold, reach = fitted(index, sample, k, blocks, recall) if n > 1 else (index.cells, 1, math.inf)
+    small = index.small(queries)
+    cells = index.opened(small, radius)
     out: list[tuple[int, int, float]] = []
-    position = {int(i): n for n, i in enumerate(rows)}
-    counts, seen = np.zeros(len(ids), np.int32), np.zeros(len(ids), bool)
-    for at in range(0, len(queries), AT_ONCE):
-        part = wanted[:, at : at + AT_ONCE]
-        edges_lo = np.stack([np.searchsorted(r, (w[:, None] - levels), "left") for r, w in zip(ranked, part)])
-        edges_hi = np.stack([np.searchsorted(r, (w[:, None] + levels), "right") for r, w in zip(ranked, part)])
-        for n, (q_row, q) in enumerate(zip(query_rows[at : at + AT_ONCE].tolist(), queries[at : at + AT_ONCE])):
-            counts[:], seen[:] = 0, False
-            if q_row in position:
-                seen[position[q_row]] = True  # not its own neighbour
-            best_d, best_i = np.zeros(0), np.zeros(0, np.int64)
-            lo = hi = None
-            for level in range(len(halves)):
-                new_lo, new_hi = edges_lo[:, n, level].tolist(), edges_hi[:, n, level].tolist()
-                if lo is None:
-                    parts = [c[x:y] for c, x, y in zip(columns, new_lo, new_hi) if x < y]
-                else:
-                    parts = [c[x:y] for c, x, y in zip(columns, new_lo, lo) if x < y] + [c[x:y] for c, x, y in zip(columns, hi, new_hi) if x < y]
-                lo, hi = new_lo, new_hi
-                if not parts:
-                    continue
-                taken = np.concatenate(parts)
-                np.add.at(counts, taken, 1)
-                found = np.unique(taken[(counts[taken] >= threshold) & ~seen[taken]])
-                if len(found):
-                    seen[found] = True
-                    d = np.sqrt(((vectors[found] - q) ** 2).sum(1))
-                    d, i = np.concatenate([best_d, d]), np.concatenate([best_i, ids[found]])
-                    keep = np.lexsort((i, d))[:k]
-                    best_d, best_i = d[keep], i[keep]
-                if len(best_d) >= k and best_d[-1] <= sure[level]:
-                    break
-            out += [(q_row, int(i), float(d)) for d, i in zip(best_d, best_i)]
+    mine = dict(zip(rows.tolist(), node.tolist()))
+
+    def best(found: np.ndarray, q: np.ndarray, near: np.ndarray, q_row: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and distances of the k nearest rows of the nodes ``found``, without the query's own row."""
+        # Nodes that are farther than k + 1 others have no row among the k best.
+        found = index.screened(found, near, k + 1)
+        d = np.sqrt(((vectors[found] - q) ** 2).sum(axis=1))
+        picked = np.concatenate([by_node[starts[f] : starts[f] + held[f]] for f in found.tolist()])
+        d = np.repeat(d, held[found])
+        other = rows[picked] != q_row
+        picked, d = picked[other], d[other]
+        first = np.lexsort((ids[picked], d))[:k]
+        return ids[picked[first]], d[first]
+
+    for i, (q_row, q) in enumerate(zip(query_rows.tolist(), queries)):
+        own = mine.get(q_row)
+        want = min(k, len(rows) - (own is not None))
+        met, wide, least = index.met(cells[:, i]), radius, threshold
+        while True:
+            found = np.flatnonzero(met >= least) if wide < index.cells else np.arange(n)
+            if work is not None:
+                work["verified"] = work.get("verified", 0) + len(found)
+            got, d = best(found, q, small[i], q_row) if len(found) else (ids[:0], np.zeros(0))
+            if wide >= index.cells or len(got) >= want and d[-1] <= reach:
+                break
+            if len(got) >= want:  # farther off than all of the sample, so the fit says nothing of it
+                wide = index.cells
+            elif least > 1:
+                least -= 1
+            else:
+                wide = min(2 * wide, index.cells)
+                met = index.met(index.ordered(small[i : i + 1])[:, 0, :wide])
+        out += zip([q_row] * len(got), got.tolist(), d.tolist())
     return out
 
 
+def matrix(column: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy() for c in column.chunks]).reshape(len(column), -1)
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, seed: int = 7) -> DataFrame:
     """query_id, rank, vec_id and score (Euclidean distance) of the k nearest of rows (vec_id, v)."""
     vectors = cut(vectors.select("vec_id", "v", F.monotonically_increasing_id().alias("row")))
     length = vectors.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).orderBy(F.desc("n"), "dim").first()
     n, asked_for, dim = (length["n"], length["q"], length["dim"]) if length else (0, 0, 0)
+    block_rows, query_rows = (max(1, min(x, BLOCK_NUMBERS // max(1, dim))) for x in (block_rows, query_rows))
     n_blocks, q_blocks = max(1, -(-n // block_rows)), max(1, -(-asked_for // query_rows))
     n_blocks = max(n_blocks, min(8, -(-n // 2048)))  # small tables: use more tasks than one
     deal = lambda parts, s: F.pmod(F.xxhash64(F.lit(s), "row"), F.lit(parts)).cast("int")
@@ -128,13 +222,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, block_rows: int =
     held = same.withColumn("b", deal(n_blocks, 1)).withColumn("qb", every(q_blocks))
     asked = same.where(is_query).withColumn("qb", deal(q_blocks, 2)).withColumn("b", every(n_blocks))
 
-    def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def one(left: pa.Table, right: pa.Table) -> pa.Table:
         rows: list = []
-        if len(left) and len(right):
-            rows = search_block(left["row"].to_numpy(), left["vec_id"].to_numpy(), np.stack(left["v"].to_numpy()), right["row"].to_numpy(), np.stack(right["v"].to_numpy()), k, seed)
-        return pd.DataFrame(rows, columns=["query", "vec_id", "score"]).astype({"query": "int64", "vec_id": "int64", "score": "float64"})
+        if left.num_rows and right.num_rows:
+            rows = search_block(left["row"].to_numpy(), left["vec_id"].to_numpy(), matrix(left["v"]), right["row"].to_numpy(), matrix(right["v"]), k, seed, n_blocks)
+        return pa.table([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 3, (pa.int64(), pa.int64(), pa.float64()))], ["query", "vec_id", "score"])
 
-    local = held.groupBy("b", "qb").cogroup(asked.groupBy("b", "qb")).applyInPandas(one, "query long, vec_id long, score double")
+    local = held.groupBy("b", "qb").cogroup(asked.groupBy("b", "qb")).applyInArrow(one, "query long, vec_id long, score double")
     # Each task keeps the k best rows of a query before they move.
     rank = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
     best = local.withColumn("rank", rank).where(F.col("rank") <= k)
