@@ -86,10 +86,16 @@ class Cells:
         return x @ p - half
 
     def opened(self, x: np.ndarray, radius: int) -> np.ndarray:
-        """(functions, rows, radius): the cells of the nearest pivots, in no order."""
+        """(functions, rows, radius): the cells of the nearest pivots, the nearest first."""
         if radius >= self.cells:
             return np.broadcast_to(np.arange(self.cells), (len(self.pivots), len(x), self.cells))
-        return np.stack([np.argpartition(-self.nearness(x, f), radius - 1, axis=1)[:, :radius] for f in range(len(self.pivots))])
+        out, rows = np.empty((len(self.pivots), len(x), radius), np.int64), np.arange(len(x))
+        for f in range(len(self.pivots)):
+            near = self.nearness(x, f)
+            for r in range(radius):  # few: cheaper than a partition of each row
+                out[f, :, r] = near.argmax(axis=1)
+                near[rows, out[f, :, r]] = -np.inf
+        return out
 
     def ordered(self, x: np.ndarray) -> np.ndarray:
         """(functions, rows, cells): all cells, that of the nearest pivot first."""
